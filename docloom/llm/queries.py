@@ -5,10 +5,12 @@ from __future__ import annotations
 from .chat_format import OP4_SQL, op4_chat_format
 from .sentencepiece_codec import op5_sentencepiece
 from .sharding import op3_sharding
+from .simhash import op10_simhash
 
 QUERIES = {
     "op3_sharding": op3_sharding,
     "op4_chat_format": op4_chat_format,
     "op5_sentencepiece": op5_sentencepiece,
+    "op10_simhash": op10_simhash,
 }
 ORACLE_SQL = {"op4_chat_format": OP4_SQL}
