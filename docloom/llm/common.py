@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: Bytes of text that one numpy step works on, which bounds a Python worker's memory.
 SLICE_BYTES = 2 << 20
@@ -71,7 +72,6 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def tree_sum(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    return df.groupBy(*keys).agg(F.sum(value).alias(value))
+def extended(df: DataFrame, columns: str) -> StructType:
+    """``df``'s schema with the given columns after it."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(columns).fields])

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from .chat_format import OP4_SQL, op4_chat_format
+from .language_id import op6_language_id
 from .sentencepiece_codec import op5_sentencepiece
 from .sharding import op3_sharding
 from .simhash import op10_simhash
+from .topk import OP9_SQL, op9_topk
 
 QUERIES = {
     "op3_sharding": op3_sharding,
     "op4_chat_format": op4_chat_format,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_language_id": op6_language_id,
+    "op9_topk": op9_topk,
     "op10_simhash": op10_simhash,
 }
-ORACLE_SQL = {"op4_chat_format": OP4_SQL}
+ORACLE_SQL = {"op4_chat_format": OP4_SQL, "op9_topk": OP9_SQL}

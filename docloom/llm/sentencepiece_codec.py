@@ -13,7 +13,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from .common import replaced, slices
+from .common import extended, replaced, slices
 
 SPACE = "▁"
 #: Entries of each half of a worker's memory of chunk encodings, and of its memory of pair checks.
@@ -217,7 +217,7 @@ def encoded(docs: DataFrame, model: str, text_col: str = "text", out_col: str =
     from pyspark.sql.pandas.types import to_arrow_schema
 
     base = docs.drop(out_col)
-    schema = base.schema.add(out_col, "array<int>")
+    schema = extended(base, f"`{out_col}` array<int>")
     arrow = to_arrow_schema(schema)
 
     def run(batches):
@@ -236,7 +236,7 @@ def decoded(tokens: DataFrame, model: str, tokens_col: str = "tokens", out_col:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     base = tokens.drop(out_col)
-    schema = base.schema.add(out_col, "string")
+    schema = extended(base, f"`{out_col}` string")
     arrow = to_arrow_schema(schema)
 
     def run(batches):
