@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat_format import OP4_SQL, op4_chat_format
+from .decontamination import OP1_SQL, op1_decontamination
 from .language_id import op6_language_id
 from .sentencepiece_codec import op5_sentencepiece
 from .sharding import op3_sharding
@@ -10,6 +11,7 @@ from .simhash import op10_simhash
 from .topk import OP9_SQL, op9_topk
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op3_sharding": op3_sharding,
     "op4_chat_format": op4_chat_format,
     "op5_sentencepiece": op5_sentencepiece,
@@ -17,4 +19,4 @@ QUERIES = {
     "op9_topk": op9_topk,
     "op10_simhash": op10_simhash,
 }
-ORACLE_SQL = {"op4_chat_format": OP4_SQL, "op9_topk": OP9_SQL}
+ORACLE_SQL = {"op1_decontamination": OP1_SQL, "op4_chat_format": OP4_SQL, "op9_topk": OP9_SQL}
