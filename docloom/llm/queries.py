@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chat_format import OP4_SQL, op4_chat_format
 from .decontamination import OP1_SQL, op1_decontamination
 from .language_id import op6_language_id
+from .secret_scan import op8_secret_scan
 from .sentencepiece_codec import op5_sentencepiece
 from .sharding import op3_sharding
 from .simhash import op10_simhash
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_chat_format": op4_chat_format,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_language_id": op6_language_id,
+    "op8_secret_scan": op8_secret_scan,
     "op9_topk": op9_topk,
     "op10_simhash": op10_simhash,
 }
