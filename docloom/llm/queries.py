@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chat_format import OP4_SQL, op4_chat_format
 from .decontamination import OP1_SQL, op1_decontamination
 from .language_id import op6_language_id
+from .quality_lm import op2_quality
 from .secret_scan import op8_secret_scan
 from .sentencepiece_codec import op5_sentencepiece
 from .sharding import op3_sharding
@@ -13,6 +14,7 @@ from .topk import OP9_SQL, op9_topk
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_quality": op2_quality,
     "op3_sharding": op3_sharding,
     "op4_chat_format": op4_chat_format,
     "op5_sentencepiece": op5_sentencepiece,
