@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chat_format import OP4_SQL, op4_chat_format
 from .decontamination import OP1_SQL, op1_decontamination
 from .language_id import op6_language_id
+from .pii import op7_pii
 from .quality_lm import op2_quality
 from .secret_scan import op8_secret_scan
 from .sentencepiece_codec import op5_sentencepiece
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_chat_format": op4_chat_format,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_language_id": op6_language_id,
+    "op7_pii": op7_pii,
     "op8_secret_scan": op8_secret_scan,
     "op9_topk": op9_topk,
     "op10_simhash": op10_simhash,
