@@ -248,6 +248,27 @@ def decoded(tokens: DataFrame, model: str, tokens_col: str = "tokens", out_col:
     return base.mapInArrow(run, schema)
 
 
+def tokenized(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with tokens, n_tokens and round_trip, whether the ids decode to the text (a null text: to an empty one), in one pass."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    base = docs.drop("tokens", "n_tokens", "round_trip")
+    schema = extended(base, "tokens array<int>, n_tokens long, round_trip boolean")
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        c = codec(model)
+        for batch in batches:
+            texts = [t or "" for t in batch.column(batch.schema.names.index(text_col)).to_pylist()]
+            for a, b in slices(texts):
+                ids = [c.encode(t) for t in texts[a:b]]
+                same = [c.decode(i) == t.replace(SPACE, " ") for i, t in zip(ids, texts[a:b], strict=True)]
+                columns = {"tokens": pa.array(ids, pa.list_(pa.int32())).cast(arrow.field("tokens").type), "n_tokens": pa.array([len(i) for i in ids], pa.int64()), "round_trip": pa.array(same)}
+                yield replaced(batch.slice(a, b - a), columns, arrow)
+
+    return base.mapInArrow(run, schema)
+
+
 def round_trip(docs: DataFrame, model: str) -> DataFrame:
     """Digests of every document's ids and of what they decode to: one pass, nothing kept of a text but its digests."""
 
