@@ -1,0 +1 @@
+"""Operators of the document and row engine."""

@@ -1,0 +1 @@
+"""Plans of the document and row engine."""

@@ -1,0 +1 @@
+"""Sources of the document and row engine."""

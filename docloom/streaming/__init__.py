@@ -1,0 +1 @@
+"""Streaming of the document and row engine."""
