@@ -27,7 +27,7 @@ class Engine:
             return self._documents().search(options)
         if options.family("read.triples."):
             return triples.rows(self._documents().search(self._as_documents(options)), options)
-        if query := options.text("read.opticQuery"):
+        if query := options.text("read.query"):
             given = views.params_of(options)
             given = {k: (params.get(k, v), t) for k, (v, t) in given.items()}
             df = dsl.Builder(self.views, self.store, {k: v for k, (v, _) in given.items()}).frame(query)

@@ -29,7 +29,7 @@ def permissions(text: str | None) -> dict[str, list[str]]:
 
 def permissions_column(text: Column) -> Column:
     """The same for a column, as a map of arrays; capabilities of a role are in order."""
-    parts = F.transform(F.split(text, ","), F.trim)
+    parts = F.transform(F.split(text, ","), lambda c: F.trim(c))
     pairs = F.transform(F.sequence(F.lit(0), F.floor(F.size(parts) / 2).cast("int") - 1), lambda i: F.struct(F.element_at(parts, 2 * i + 1).alias("role"), F.lower(F.element_at(parts, 2 * i + 2)).alias("cap")))
     roles = F.array_distinct(F.transform(pairs, lambda p: p["role"]))
     return F.map_from_entries(F.transform(roles, lambda r: F.struct(r, F.transform(F.filter(pairs, lambda p: p["role"] == r), lambda p: p["cap"]))))
@@ -40,7 +40,7 @@ def collections(text: str | None) -> list[str]:
 
 
 def collections_column(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda c: c != "")
+    return F.filter(F.transform(F.split(text, ","), lambda c: F.trim(c)), lambda c: c != "")
 
 
 def json_keys(values: Column) -> Column:

@@ -44,10 +44,10 @@ def of_rows(df: DataFrame, options: Options | dict | None = None) -> DataFrame:
     if shape == "triple":
         return with_metadata(triples.documents(df, options), options, {"collections"})
     if shape == "document":
-        named = uris.from_template(options.text("write.uriTemplate"), df.columns, F.decode("content", F.lit("UTF-8"))) if options.has("write.uriTemplate") else uris.standard(F.col("URI"), options)
+        named = uris.from_template(options.text("write.uriTemplate"), df.columns, F.decode("content", "UTF-8")) if options.has("write.uriTemplate") else uris.standard(F.col("URI"), options)
         docs = df.select(named.alias("URI"), *[F.col(n) for n in DOCUMENT.names[1:]])
     elif shape == "file":
-        text = F.decode("content", F.lit("UTF-8"))
+        text = F.decode("content", "UTF-8")
         named = uris.from_template(options.text("write.uriTemplate"), df.columns, text, options.flag("write.uriTemplate.warnOnMissingField")) if options.has("write.uriTemplate") else uris.standard(F.col("path"), options)
         docs = blank(df.select(named.alias("URI"), "content"))
     else:
@@ -185,7 +185,7 @@ def changed(docs: DataFrame, stored: DataFrame, options: Options | dict | None =
 
 def problem() -> Column:
     """Why a document can't be stored, or null."""
-    text = F.decode("content", F.lit("UTF-8"))
+    text = F.decode("content", "UTF-8")
     bad_json = (F.col("format") == "JSON") & F.try_parse_json(text).isNull()
     bad_xml = (F.col("format") == "XML") & ~text.rlike(r"(?s)^\s*<.*>\s*$")
     none = F.col("URI").isNull() | (F.trim("URI") == "")

@@ -72,7 +72,7 @@ def with_text(docs: DataFrame) -> DataFrame:
     @F.pandas_udf("struct<text:string,metadata:map<string,string>>")
     def run(content: pd.Series, name: pd.Series) -> pd.DataFrame:
         found = [extract(None if c is None else bytes(c), n or "") for c, n in zip(content, name, strict=True)]
-        return pd.DataFrame({"text": [f[0] if f else None for f in found], "metadata": [list(f[1].items()) if f else None for f in found]})
+        return pd.DataFrame({"text": [f[0] if f else None for f in found], "metadata": [f[1] if f else None for f in found]})
 
     return docs.withColumn("__x", run("content", "URI")).withColumns({"extracted_text": F.col("__x.text"), "extracted_metadata": F.col("__x.metadata")}).drop("__x")
 
@@ -177,7 +177,7 @@ def splitter(options: Options) -> Callable[[Column], Column] | None:
 
 def selected_text(options: Options, prefix: str = "write.splitter.") -> Column:
     """The text to split: by XPath, by JSON pointers (an empty one means the document), or all of it."""
-    text = F.decode("content", F.lit("UTF-8"))
+    text = F.decode("content", "UTF-8")
     namespaces = options.family("xpath.")
     if path := options.text(f"{prefix}xpath"):
         return xpath_text(text, path, namespaces)
@@ -312,7 +312,7 @@ def existing_chunks(docs: DataFrame, options: Options | dict | None = None) -> D
     where, field = options.text("write.embedder.chunks.jsonPointer", "/chunks"), options.text("write.embedder.text.jsonPointer", "/text").strip("/")
     from ..functions.pointers import json_pointer
 
-    found = json_pointer(F.decode("content", F.lit("UTF-8")), where)
+    found = json_pointer(F.decode("content", "UTF-8"), where)
     listed = F.when(F.trim(found).startswith("["), found).otherwise(F.concat(F.lit("["), found, F.lit("]")))
     texts = F.transform(F.from_json(listed, "array<string>"), lambda c: F.get_json_object(c, f"$.{field.replace('/', '.')}"))
     kept = F.filter(F.coalesce(texts, F.array().cast("array<string>")), lambda t: t.isNotNull() & (F.trim(t) != ""))
@@ -330,7 +330,7 @@ def chunk_objects(options: Options) -> Column:
     vectors = as_text(F.transform("chunks", lambda c: c["embedding"])) if packed else F.transform("chunks", lambda c: c["embedding"])
     return F.transform(
         F.arrays_zip(F.col("chunks").alias("c"), vectors.alias("v")),
-        lambda x: F.struct(x["c"]["text"].alias("text"), F.decode(x["c"]["classification"], F.lit("UTF-8")).alias("classification"), x["c"]["metadata"].alias("chunk-metadata"), x["c"]["modelName"].alias("model-name"), x["v"].alias(name)),
+        lambda x: F.struct(x["c"]["text"].alias("text"), F.decode(x["c"]["classification"], "UTF-8").alias("classification"), x["c"]["metadata"].alias("chunk-metadata"), x["c"]["modelName"].alias("model-name"), x["v"].alias(name)),
     )
 
 
@@ -396,7 +396,7 @@ def pipeline(docs: DataFrame, options: Options | dict | None = None, classifier=
     """Extract, split, classify, embed, assemble, each if the options ask for it; an external service, if given, stands for the first four."""
     options = Options.of(options)
     if service is not None:
-        docs = served(docs, service, options.number("write.nuclia.timeout", 120, 1))
+        docs = served(docs, service, options.number("write.service.timeout", 120, 1))
     else:
         if options.flag("write.extractedText"):
             docs = extracted(docs, options)

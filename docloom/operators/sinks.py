@@ -214,7 +214,7 @@ def process(df: DataFrame, options: Options | dict | None = None, function: Call
 def register_graphs(rows: DataFrame, store, options: Options | dict | None = None) -> DataFrame:
     """Graphs that rows use and the store has no graph document for, written as such; writing them again changes nothing."""
     options = Options.of(options)
-    known = store.read().filter(F.array_contains("collections", "graphs")).select(F.decode("content", F.lit("UTF-8")).alias("graph"))
+    known = store.read().filter(F.array_contains("collections", "graphs")).select(F.decode("content", "UTF-8").alias("graph"))
     new = triples.graphs(rows, options, known)
     docs = new.select(F.concat(F.lit("/graphs/"), F.sha2("graph", 256), F.lit(".txt")).alias("URI"), F.encode("graph", "UTF-8").alias("content"), F.lit("TEXT").alias("format"), F.array(F.lit("graphs")).alias("collections"))
     from .documents import blank, with_metadata

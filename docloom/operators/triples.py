@@ -79,7 +79,7 @@ def rows(documents: DataFrame, options: Options | dict | None = None) -> DataFra
     ``read.triples.graphs`` keeps those graphs alone; a graph that is no absolute IRI gets ``read.triples.baseIri`` before it.
     """
     options = Options.of(options)
-    text = F.decode("content", F.lit("UTF-8"))
+    text = F.decode("content", "UTF-8")
     pick = lambda name: F.regexp_extract(F.col("t"), rf"(?s)<(?:\w+:)?{name}(?:\s[^>]*)?>(.*?)</(?:\w+:)?{name}>", 1)
     attribute = lambda name: F.nullif(F.regexp_extract(F.col("t"), rf'<(?:\w+:)?object[^>]*?\s{name}="([^"]*)"', 1), F.lit(""))
     wanted = options.listed("read.triples.graphs")

@@ -153,15 +153,15 @@ class Builder:
         return base.select(*[F.col(names.quoted(c)).alias(name if c == "__uri" else names.qualified(*prefix, c)) for c in base.columns])
 
     def _fromSearchDocs(self, query=None) -> DataFrame:  # noqa: N802
-        from .search import cts_column
+        from .search import query_column
 
         docs = self._documents()
-        docs = docs if query is None else docs.filter(cts_column(query))
-        return docs.select(F.col("URI").alias("uri"), F.decode("content", F.lit("UTF-8")).alias("doc"))
+        docs = docs if query is None else docs.filter(query_column(query))
+        return docs.select(F.col("URI").alias("uri"), F.decode("content", "UTF-8").alias("doc"))
 
     def _fromLexicons(self, refs) -> DataFrame:  # noqa: N802
         """{name: reference}: one row for each distinct combination of a document's values."""
-        docs = self._documents().select("URI", F.explode_outer("collections").alias("__collection"), F.decode("content", F.lit("UTF-8")).alias("__doc"))
+        docs = self._documents().select("URI", F.explode_outer("collections").alias("__collection"), F.decode("content", "UTF-8").alias("__doc"))
         cols = []
         for name, ref in refs.items():
             call = ref.calls[-1]
@@ -227,7 +227,7 @@ class Builder:
 
     def _joinDoc(self, df: DataFrame, name, fragment) -> DataFrame:  # noqa: N802
         key = names.resolve(df.columns, self._name(fragment))
-        docs = self._documents().select(F.col("URI").alias(key), F.decode("content", F.lit("UTF-8")).alias(self._name(name)))
+        docs = self._documents().select(F.col("URI").alias(key), F.decode("content", "UTF-8").alias(self._name(name)))
         return df.join(docs, names.quoted(key) if "." not in key else key, "inner")
 
     def _joinInner(self, df: DataFrame, other, on) -> DataFrame:  # noqa: N802
@@ -286,7 +286,7 @@ class Builder:
         if name == "sqlCondition":
             return F.expr(args[0])
         if name.endswith("Query"):
-            from .search import cts_column
+            from .search import query_column
 
-            return cts_column(value)
+            return query_column(value)
         raise DslError(f"{name} is not supported")

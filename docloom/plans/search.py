@@ -216,7 +216,7 @@ def has_words(text: Column, wanted: str) -> Column:
 def property_text(text: Column, name: str) -> Column:
     """The texts of a JSON property or an XML element anywhere in a document, joined by spaces."""
     key = re.escape(name)
-    as_json = F.regexp_extract_all(text, F.lit(rf'"{key}"\s*:\s*(?:"((?:[^"\\]|\\.)*)"|(-?[\w.]+))'), F.lit(0))
+    as_json = F.regexp_extract_all(text, F.lit(rf'"{key}"\s*:\s*(?:"((?:[^"\\]++|\\.)*+)"|(-?[\w.]+))'), F.lit(0))
     as_xml = F.regexp_extract_all(text, F.lit(rf"(?s)<(?:\w+:)?{key}(?:\s[^>]*)?>(.*?)</(?:\w+:)?{key}>"), F.lit(1))
     as_json = F.transform(as_json, lambda m: F.regexp_replace(m, rf'^"{key}"\s*:\s*', ""))
     return F.array_join(F.concat(as_json, as_xml), " ")
@@ -224,7 +224,7 @@ def property_text(text: Column, name: str) -> Column:
 
 def plain_text(text: Column) -> Column:
     """A document's words without the names of JSON properties and XML elements."""
-    return F.regexp_replace(F.regexp_replace(text, r"<[^>]*>", " "), r'"(?:[^"\\]|\\.)*"\s*:', " ")
+    return F.regexp_replace(F.regexp_replace(text, r"<[^>]*>", " "), r'"(?:[^"\\]++|\\.)*+"\s*+:', " ")
 
 
 def predicate(query, text: Column, uri: Column, collections: Column, filtered: bool = True) -> Column:
@@ -264,10 +264,10 @@ def of_options(options: Options, constraints: Constraints = Constraints()):
 
 def matching(documents: DataFrame, query, filtered: bool = True) -> DataFrame:
     """Document rows that a tree selects."""
-    return documents.filter(predicate(query, F.decode(F.coalesce("content", F.lit(b"")), F.lit("UTF-8")), F.col("URI"), F.col("collections"), filtered))
+    return documents.filter(predicate(query, F.decode(F.coalesce("content", F.lit(b"")), "UTF-8"), F.col("URI"), F.col("collections"), filtered))
 
 
-def cts_column(value) -> Column:
+def query_column(value) -> Column:
     """A query call inside a row query, over document rows."""
     from .dsl import Chain
 
@@ -289,4 +289,4 @@ def cts_column(value) -> Column:
             return In({"collectionQuery": "collection", "directoryQuery": "directory", "documentQuery": "uri"}[call.name], listed(call.args[0]))
         raise SearchError(f"{call.name} is not supported")
 
-    return predicate(tree(value), F.decode("content", F.lit("UTF-8")), F.col("URI"), F.col("collections"))
+    return predicate(tree(value), F.decode("content", "UTF-8"), F.col("URI"), F.col("collections"))

@@ -61,7 +61,7 @@ class View:
         if self.collections:
             documents = documents.filter(F.arrays_overlap("collections", F.array(*[F.lit(c) for c in self.collections])))
         inner = T.StructType([T.StructField(c.path or c.name, T.StringType() if isinstance(data_type(c.type), T.BinaryType) else data_type(c.type)) for c in self.columns])
-        text = F.decode("content", F.lit("UTF-8"))
+        text = F.decode("content", "UTF-8")
         if self.context:
             parsed = documents.select(F.col("URI").alias("__uri"), F.explode(F.from_json(F.get_json_object(text, f"$.{self.context}"), T.ArrayType(inner))).alias("r"))
         else:
@@ -103,6 +103,6 @@ def bound(df: DataFrame, params: dict[str, tuple[object, str]]) -> DataFrame:
 
 
 def params_of(options: Options) -> dict[str, tuple[object, str]]:
-    kinds = options.family("read.optic.param.type.")
-    values = {k: v for k, v in options.family("read.optic.param.").items() if not k.startswith("type.")}
+    kinds = options.family("read.param.type.")
+    values = {k: v for k, v in options.family("read.param.").items() if not k.startswith("type.")}
     return {k: (v, kinds.get(k, "string")) for k, v in values.items()}

@@ -17,7 +17,7 @@ from . import rdf, readers
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 #: Spark's own file options, which are passed on.
 PASSED = ("pathGlobFilter", "recursiveFileLookup", "modifiedBefore", "modifiedAfter")
-TYPES = ("rdf", "archive", "mlcp_archive", "json_lines", "aggregate_xml")
+TYPES = ("rdf", "archive", "bulk_archive", "json_lines", "aggregate_xml")
 
 
 def listed(spark: SparkSession, paths: str | list[str], options: Options) -> DataFrame:
@@ -70,7 +70,7 @@ def row_reader(options: Options):
             yield from readers.zipped(path, content, encoding)
         elif what == "archive":
             yield from readers.archive(path, content, categories, encoding)
-        elif what == "mlcp_archive":
+        elif what == "bulk_archive":
             yield from readers.bulk_archive(path, content, categories, encoding)
         elif what == "json_lines":
             yield from readers.json_lines(path, content, encoding)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition, SimpleDataSourceStreamReader
@@ -79,8 +80,6 @@ class BucketSource(DataSource):
         return "bucket int, lower decimal(20,0), upper decimal(20,0)"
 
     def streamReader(self, schema: StructType) -> DataSourceStreamReader:  # noqa: N802
-        from decimal import Decimal
-
         o = Options.of(dict(self.options))
         plan = buckets.plan(o.number("numpartitions", 4, 1), o.number("batchsize", 0, 0), o.number("rowcount", 1, 0))
         flat = [b for p in plan for b in p.buckets]
@@ -92,7 +91,7 @@ def row_id(df: DataFrame, *keys: str) -> DataFrame:
     from pyspark.sql import functions as F
 
     h = F.xxhash64(*keys).cast("decimal(20,0)")
-    return df.withColumn("__row_id", F.when(h < 0, h + F.lit(1 << 64).cast("decimal(20,0)")).otherwise(h))
+    return df.withColumn("__row_id", F.when(h < 0, h + F.lit(Decimal(1 << 64)).cast("decimal(20,0)")).otherwise(h))
 
 
 def stream_view(spark: SparkSession, view: DataFrame, keys: list[str], partitions: int = 4, batch_size: int = 0) -> DataFrame:
@@ -105,7 +104,7 @@ def stream_view(spark: SparkSession, view: DataFrame, keys: list[str], partition
 
     # a bucket's number follows from a row's id, so the stream joins by equality
     total = sum(len(p.buckets) for p in buckets.plan(partitions, batch_size, count)) or 1
-    number = F.floor(F.col("__row_id").cast("decimal(38,0)") * total / F.lit(1 << 64).cast("decimal(38,0)")).cast("int")
+    number = F.floor(F.col("__row_id").cast("decimal(38,0)") * total / F.lit(Decimal(1 << 64)).cast("decimal(38,0)")).cast("int")
     return stream.join(rows.withColumn("bucket", F.least(number, F.lit(total - 1))), "bucket").select(*view.columns)
 
 
