@@ -13,8 +13,10 @@ from .common import mixed, slices, table, written
 
 #: Length of the longest n-grams, in characters.
 ORDER = 5
-#: A language's limit: this quantile of its trusted texts' scores, plus the margin (nats a character).
-QUANTILE, MARGIN = 0.995, 0.12
+#: Of so many trusted texts one, by a hash of its id, is kept out of the model and sets the limits.
+HELD_OUT = 5
+#: A language's limit: this quantile of its held-out trusted texts' scores, plus the margin (nats a character).
+QUANTILE, MARGIN = 0.995, 0.2
 #: Characters at the trusted mean that are added to each text's score, so that short texts need more evidence.
 PRIOR_CHARS = 60
 #: Model entries of one shard; each worker holds one shard of 16 bytes an entry (twice that with its hash table).
@@ -267,20 +269,26 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` rows as (doc_id, lang, chars, score, limit, keep), where doc_id is not null or is.
 
-    score is the mean negative log probability a character (log perplexity) under a model of all trusted texts, with ``PRIOR_CHARS`` characters at the trusted mean
-    added; keep is whether it is at most the language's limit. Languages without trusted texts, null among them, have the
-    limit of all trusted texts. Without any trusted text all rows stay. Null and empty texts score the mean and stay. Rows that repeat stay as often.
+    score is the mean negative log probability a character (log perplexity) under a model of the trusted texts, with ``PRIOR_CHARS`` characters at the
+    trusted mean added; keep is whether it is at most the language's limit. The limits come from trusted texts that the model has not seen, or from all
+    trusted texts where there are none. Languages without trusted texts, null among them, have the limit of all languages. Without any trusted text all rows
+    stay. Null and empty texts score the mean and stay. Rows that repeat stay as often.
     """
     spark = docs.sparkSession
-    ids = written(trusted_ids(labels), "trusted")
+    unseen = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
+    ids = written(trusted_ids(labels).withColumn("unseen", unseen), "trusted")
     few = ids.count() <= BROADCAST_IDS
     good = F.broadcast(ids) if few else ids
-    trusted = docs.filter(F.col("text").isNotNull()).join(good, "doc_id", "left_semi")
+    trusted = docs.filter(F.col("text").isNotNull()).join(good.filter("not unseen"), "doc_id", "left_semi")
     model = estimate(trusted)
     rows = written(scored(docs.select("doc_id", "lang", "text"), model), "lm-scores")
-    known = rows.join(good, "doc_id", "left_semi").filter("chars > 0")
-    total = known.agg(F.sum("logp"), F.sum("chars")).first()
-    mean = -total[0] / total[1] if total[1] else 0.0
+    known = written(rows.filter("chars > 0").join(good, "doc_id"), "lm-known")
+    sums = known.groupBy("unseen").agg(F.sum("logp").alias("logp"), F.sum("chars").alias("chars"))
+    totals = {r["unseen"]: (r["logp"], r["chars"]) for r in sums.collect()}
+    if True in totals:
+        known = known.filter("unseen")
+    total = totals.get(True) or totals.get(False)
+    mean = -total[0] / total[1] if total else 0.0
     score = (-F.col("logp") + PRIOR_CHARS * mean) / (F.col("chars") + PRIOR_CHARS)
     limits = quantiles(known.select("lang", score.alias("score")))
     overall = limits.pop("", None)
