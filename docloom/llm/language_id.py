@@ -22,17 +22,18 @@ UNDETERMINED = "und"
 def buckets(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
     """For each n-gram length, the bucket of the n-gram that starts at each character; and where each text starts.
 
-    Texts are lower-cased and padded with spaces at the end, so a text's n-grams depend on it alone.
+    Texts are lower-cased, and n-grams at the end reach into spaces, so a text's n-grams depend on it alone.
     """
-    pad = " " * max(LENGTHS)
-    low = [t.lower() + pad for t in texts]
-    code = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), "<u4")
-    starts = np.concatenate([[0], np.cumsum([len(t) for t in low])])[:-1]
-    out, h = [], np.zeros(len(code), np.uint32)
+    ahead = max(LENGTHS) - 1
+    low = [t.lower() for t in texts]
+    sizes = np.array([len(t) for t in low], np.int64)
+    code = np.frombuffer((" " * ahead).join([*low, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
+    starts = np.cumsum(sizes) - sizes
+    inside = np.arange(sizes.sum()) + np.repeat(ahead * np.arange(len(low)), sizes)
+    out, h = [], np.zeros(len(inside), np.uint32)
     with np.errstate(over="ignore"):
         for k in range(max(LENGTHS)):
-            ahead = code if k == 0 else np.concatenate([code[k:], np.full(k, 32, code.dtype)])
-            h = (h ^ ahead) * np.uint32(0x9E3779B1) + np.uint32(k + 1)
+            h = (h ^ code[inside + k]) * np.uint32(0x9E3779B1) + np.uint32(k + 1)
             if k + 1 in LENGTHS:
                 g = h ^ (h >> np.uint32(15))
                 out.append(((g * np.uint32(0x85EBCA6B)) >> np.uint32(16)).astype(np.int64) % BUCKETS)
