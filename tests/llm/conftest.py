@@ -29,5 +29,9 @@ def make(spark):
 def words():
     rng = random.Random(5)
     vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
-    return lambda n, seed: " ".join(random.Random(seed).choice(vocabulary) for _ in range(n)) if n else ""
 
+    def text(n, seed):
+        own = random.Random(seed)
+        return " ".join(own.choice(vocabulary) for _ in range(n))
+
+    return text
