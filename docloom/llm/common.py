@@ -16,6 +16,18 @@ from pyspark.sql.types import StructType
 SLICE_BYTES = 2 << 20
 
 
+#: Rows of an Arrow batch, where the session has Spark's default: texts vary from a few bytes to many, and a batch is held on both sides.
+BATCH_ROWS = 512
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches of at most ``BATCH_ROWS`` rows unless it has a setting of its own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, "10000") == "10000":
+        spark.conf.set(name, BATCH_ROWS)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
     where = spark.conf.get("spark.checkpoint.dir", "")
@@ -30,7 +42,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     The files go when the application ends.
     """
-    spark = df.sparkSession
+    spark = bounded(df.sparkSession)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     jvm = spark.sparkContext._jvm
@@ -40,7 +52,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def slices(texts: list[str | None], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:

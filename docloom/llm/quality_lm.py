@@ -19,7 +19,7 @@ HELD_OUT = 5
 QUANTILE, MARGIN = 0.995, 0.2
 #: Characters at the trusted mean that are added to each text's score, so that short texts need more evidence.
 PRIOR_CHARS = 60
-#: Model entries of one shard; each worker holds one shard of 16 bytes an entry (twice that with its hash table).
+#: Model entries of one shard; each worker holds one shard, 13 bytes an entry and up to 36 in its hash tables.
 SHARD_ROWS = 2_000_000
 #: Ids of trusted documents that are broadcast (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
@@ -57,9 +57,9 @@ def counts(trusted: DataFrame) -> DataFrame:
     """The distinct ORDER-grams of all trusted texts with their counts: columns c1..c5, n. Counted in each task, then summed by n-gram."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, len(b), 256)):
             texts = [p for t in batch.column(0).to_pylist() if t for p, _ in parts_of(t) if len(p) >= ORDER]
-            for a, b in slices(texts, 2 * PART_CHARS):
+            for a, b in slices(texts, PART_CHARS):
                 code, begin = characters(texts[a:b])
                 inside = np.ones(len(code), bool)
                 for k in range(ORDER - 1):
@@ -142,18 +142,18 @@ def estimate(trusted: DataFrame) -> DataFrame:
 
 
 class Table:
-    """Values by 64-bit key: an open hash table in two numpy arrays, looked up for many keys at once."""
+    """Values by 64-bit key: an open hash table in two numpy arrays, at most two thirds full, looked up for many keys at once."""
 
     def __init__(self, key: np.ndarray, value: np.ndarray):
-        self.bits = max(4, int(len(key)).bit_length() + 1)
+        self.bits = max(4, int(1.5 * len(key)).bit_length())
         size = 1 << self.bits
-        self.key, self.value, self.full = np.zeros(size, np.int64), np.full(size, np.nan, np.float32), np.zeros(size, bool)
+        self.key, self.value = np.zeros(size, np.int64), np.full(size, np.nan, np.float32)  # a free slot's value is NaN
         slot, left = self._slot(key), np.arange(len(key))
         while len(left):
-            free = ~self.full[slot]
+            free = np.isnan(self.value[slot])
             _, first = np.unique(np.where(free, slot, -1), return_index=True)
             first = first[free[first]]
-            self.key[slot[first]], self.value[slot[first]], self.full[slot[first]] = key[left[first]], value[left[first]], True
+            self.key[slot[first]], self.value[slot[first]] = key[left[first]], value[left[first]]
             rest = np.ones(len(left), bool)
             rest[first] = False
             left, slot = left[rest], (slot[rest] + 1) & (size - 1)
@@ -164,14 +164,12 @@ class Table:
     def get(self, key: np.ndarray) -> np.ndarray:
         """The values, NaN where there is none."""
         slot = self._slot(key)
-        out = np.where(self.key[slot] == key, self.value[slot], np.float32(np.nan))
-        open_ = np.flatnonzero((self.key[slot] != key) & self.full[slot])
+        out = self.value[slot]
+        open_ = np.flatnonzero((self.key[slot] != key) & ~np.isnan(out))
         while len(open_):
-            slot[open_] = (slot[open_] + 1) & (len(self.key) - 1)
-            here = slot[open_]
-            same = self.key[here] == key[open_]
-            out[open_[same]] = self.value[here[same]]
-            open_ = open_[~same & self.full[here]]
+            slot[open_] = here = (slot[open_] + 1) & (len(self.key) - 1)
+            out[open_] = self.value[here]
+            open_ = open_[(self.key[here] != key[open_]) & ~np.isnan(out[open_])]
         return out
 
 
@@ -179,7 +177,8 @@ class Shard:
     """A shard's log probabilities and back-off weights, and the unigrams and bigrams, which every shard has."""
 
     def __init__(self, rows: pa.Table, number: int, of: int):
-        kind, k, key, value = (rows.column(c).to_numpy() for c in ("kind", "k", "key", "value"))
+        what, key, value = (rows.column(c).to_numpy() for c in ("what", "key", "value"))
+        kind, k = what >> 4, what & 15
         self.number, self.of = number, of
         self.unseen = float(value[(kind == 1) & (k == 0)][0])
         self.p = {n: Table(key[at], value[at]) for n in range(1, ORDER + 1) for at in [(kind == 0) & (k == n)]}
@@ -189,7 +188,7 @@ class Shard:
         """Each text's log probability over the places whose two characters before lie in this shard."""
         cut = [(i, p, skip) for i, t in enumerate(texts) for p, skip in parts_of(t)]
         out = np.zeros(len(texts))
-        for a, b in slices([p for _, p, _ in cut], 2 * PART_CHARS):
+        for a, b in slices([p for _, p, _ in cut], PART_CHARS):
             np.add.at(out, [i for i, _, _ in cut[a:b]], self._sums([p for _, p, _ in cut[a:b]], np.array([s for _, _, s in cut[a:b]])))
         return out
 
@@ -228,7 +227,7 @@ def shards(model: DataFrame) -> list[pa.Table]:
     of = max(1, -(-model.count() // SHARD_ROWS))
     for number in range(of):
         mine = model if of == 1 else model.filter(F.col("shard_key").isNull() | (F.pmod("shard_key", F.lit(of)) == number))
-        yield number, of, mine.select("kind", "k", "key", "value").toArrow()
+        yield number, of, mine.select((F.col("kind") * 16 + F.col("k")).cast("tinyint").alias("what"), "key", F.col("value").cast("float").alias("value")).toArrow()
 
 
 def scored(docs: DataFrame, model: DataFrame) -> DataFrame:
@@ -246,7 +245,7 @@ def scored(docs: DataFrame, model: DataFrame) -> DataFrame:
 
         def run(batches, shared=shared):
             shard = Shard(*shared.value)
-            for batch in batches:
+            for batch in (b.slice(at, 256) for b in batches for at in range(0, len(b), 256)):
                 texts = [t or "" for t in batch.column(len(carried)).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(carried))], pa.array([len(t) for t in texts], pa.int64()), pa.array(shard.score(texts))], names=names)
 
