@@ -63,6 +63,25 @@ class _Folder:
         os.replace(draft, target)
 
 
+def _by_partition(rows: DataFrame, work: Callable[[Iterator[dict]], tuple[int, int]]) -> tuple[int, int]:
+    """Sums of the two numbers that ``work`` gives for the rows of each partition; rows come in Arrow batches, as dicts."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        def each():
+            for batch in batches:
+                maps = [f.name for f in batch.schema if pa.types.is_map(f.type)]
+                for r in batch.to_pylist():
+                    yield r | {m: None if r[m] is None else dict(r[m]) for m in maps}
+
+        good, bad = work(each())
+        yield pa.RecordBatch.from_pydict({"good": [good], "bad": [bad]})
+
+    done = rows.mapInArrow(run, "good long, bad long").agg(F.coalesce(F.sum("good"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
+    return done[0], done[1]
+
+
 def write_files(docs: DataFrame, path: str, options: Options | dict | None = None) -> int:
     """Writes document rows: a file each at the path of its URI, gzip files, or one zip a partition. Returns the number of documents.
 
@@ -82,7 +101,7 @@ def write_files(docs: DataFrame, path: str, options: Options | dict | None = Non
         content = pretty(content, r["URI"]) if indent else content
         return content.decode().encode(encoding) if encoding else content
 
-    def write(found: Iterator) -> Iterator[int]:
+    def write(found: Iterator[dict]) -> tuple[int, int]:
         from pyspark import TaskContext
 
         n, z, buffer = 0, None, io.BytesIO()
@@ -96,7 +115,7 @@ def write_files(docs: DataFrame, path: str, options: Options | dict | None = Non
             if z is None:
                 z = zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED)
             if any(r[m] is not None for m in METADATA):
-                z.writestr(r["__entry"], metadata.to_xml(r.asDict()))
+                z.writestr(r["__entry"], metadata.to_xml(r))
             if r["content"] is not None:
                 z.writestr(r["URI"], shown(r))
             n += 1
@@ -105,9 +124,9 @@ def write_files(docs: DataFrame, path: str, options: Options | dict | None = Non
         if z is not None:
             z.close()
             folder.put(f"{datetime.now(timezone.utc):%Y%m%d%H%M%SZ}-{TaskContext.get().partitionId()}.zip", buffer.getvalue())
-        yield n
+        return n, 0
 
-    return sum(rows.rdd.mapPartitions(write).collect())  # one number a partition
+    return _by_partition(rows, write)[0]
 
 
 def write_rdf(rows: DataFrame, path: str, options: Options | dict | None = None) -> int:
@@ -123,17 +142,17 @@ def write_rdf(rows: DataFrame, path: str, options: Options | dict | None = None)
     serialized([], syntax)
     folder = _Folder(path)
 
-    def write(found: Iterator) -> Iterator[int]:
+    def write(found: Iterator[dict]) -> tuple[int, int]:
         from pyspark import TaskContext
 
-        kept = [r.asDict() for r in found]
+        kept = list(found)
         if kept:
             content = serialized(kept, syntax, graph)
             name = f"{datetime.now(timezone.utc):%Y%m%d%H%M%SZ}-{TaskContext.get().partitionId()}.{syntax}"
             folder.put(name + (".gz" if squeezed else ""), gzip.compress(content, mtime=0) if squeezed else content)
-        yield len(kept)
+        return len(kept), 0
 
-    return sum(rows.rdd.mapPartitions(write).collect())
+    return _by_partition(rows, write)[0]
 
 
 def ntriples(rows: DataFrame) -> DataFrame:
@@ -183,7 +202,7 @@ def process(df: DataFrame, options: Options | dict | None = None, function: Call
     given, abort, as_uris = options.family("write.vars."), options.flag("write.abortOnFailure", True), df.columns == ["URI"]
     rows = df if as_uris else df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("URI"))
 
-    def work(found: Iterator) -> Iterator[tuple[int, int]]:
+    def work(found: Iterator[dict]) -> tuple[int, int]:
         good = bad = 0
         batch: list[str] = []
 
@@ -205,10 +224,10 @@ def process(df: DataFrame, options: Options | dict | None = None, function: Call
                 flush()
         if batch:
             flush()
-        yield good, bad
+        return good, bad
 
-    done = rows.rdd.mapPartitions(work).collect()
-    return {"success": sum(g for g, _ in done), "failed": sum(b for _, b in done)}
+    good, bad = _by_partition(rows, work)
+    return {"success": good, "failed": bad}
 
 
 def register_graphs(rows: DataFrame, store, options: Options | dict | None = None) -> DataFrame:

@@ -20,11 +20,6 @@ def folder() -> str:
     return f"{tempfile.gettempdir()}/docloom-{uuid.uuid4().hex}"
 
 
-def _kept(df):
-    """A small result held apart from the files it was read from."""
-    return df.select(*[F.col(c) for c in df.columns])
-
-
 @query("SELECT '/' || source || '/' || doc_id || '.txt' AS \"URI\", CAST(length(text) AS BIGINT) AS chars, md5(text) AS digest, lang, CAST(n_chars AS INTEGER) AS quality, 'TEXT' AS format FROM documents")
 def files_archive_round_trip(spark, sf_dir):
     """Documents with metadata into archives, one a partition, and back."""

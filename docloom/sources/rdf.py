@@ -18,8 +18,8 @@ LANG_STRING = RDF + "langString"
 XML_NS = "{http://www.w3.org/XML/1998/namespace}"
 #: What a blank node's label follows in a row.
 BLANK = "http://docloom.dev/blank/"
-#: The graph of quads that name none.
-DEFAULT_GRAPH = "http://docloom.dev/graph/default"
+#: Fixed value: the graph of quads that name none.
+DEFAULT_GRAPH = "urn:x-arq:DefaultGraphNode"
 
 QUADS = {"nq": "nquads", "trig": "trig", "trix": "trix"}
 TRIPLES = {"nt": "ntriples", "ttl": "turtle", "n3": "turtle", "rdf": "rdfxml", "xml": "rdfxml", "owl": "rdfxml", "json": "rdfjson", "rj": "rdfjson"}
@@ -131,14 +131,18 @@ class _turtle:  # noqa: N801
         while at < len(text):
             m = _TTL.match(text, at)
             if not m or m.end() == at:
-                raise RdfError(f"can't read {text[at : at + 30]!r}")
+                self.tokens.append(("bad", text[at : at + 30]))  # an error only when it is reached: what stands before is read
+                break
             at = m.end()
             if m.lastgroup != "skip":
                 self.tokens.append((m.lastgroup, m[m.lastgroup]))
         self.pos, self.prefixes, self.base, self.count = 0, {}, "", 0
 
     def peek(self) -> tuple[str, str]:
-        return self.tokens[self.pos] if self.pos < len(self.tokens) else ("end", "")
+        token = self.tokens[self.pos] if self.pos < len(self.tokens) else ("end", "")
+        if token[0] == "bad":
+            raise RdfError(f"can't read {token[1]!r}")
+        return token
 
     def take(self, mark: str | None = None) -> tuple[str, str]:
         token = self.peek()
@@ -193,17 +197,17 @@ class _turtle:  # noqa: N801
 
     def block(self, graph: Term | None) -> Iterator[tuple]:
         self.take("{")
-        out: list[tuple] = []
         while self.peek() != ("mark", "}"):
+            out: list[tuple] = []
             subject = self.term(out, graph)
             if self.peek() not in (("mark", "."), ("mark", "}")):
                 self.predicates(subject, out, graph)
             if self.peek() == ("mark", "."):
                 self.take()
+            yield from out
         self.take("}")
         if self.peek() == ("mark", "."):
             self.take()
-        yield from out
 
     def predicates(self, subject: Term, out: list[tuple], graph: Term | None) -> None:
         while True:

@@ -36,6 +36,9 @@ def gzipped(path: str, content: bytes, encoding: str | None = None) -> Iterator[
 
 
 def zip_entries(content: bytes) -> Iterator[tuple[str, bytes]]:
+    """The entries that are files; bytes that are no zip have none."""
+    if not zipfile.is_zipfile(io.BytesIO(content)):
+        return
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         for info in z.infolist():
             if not info.is_dir():

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 from ..operators import documents, sinks
@@ -134,5 +134,3 @@ def to_code(stream: DataFrame, function: Callable, checkpoint: str, options: Opt
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
-
-__all__ = ["BucketSource", "ListReader", "PartitionSource", "SimpleDataSourceStreamReader", "stream_custom", "stream_view", "to_code", "to_store"]

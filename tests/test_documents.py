@@ -271,3 +271,15 @@ def test_dispatch_needs_something(spark):
 def test_document_row_shape():
     assert DOCUMENT.names == ["URI", "content", "format", "collections", "permissions", "quality", "properties", "metadataValues"]
     assert triples.GROUP == 100
+
+
+def test_bytes_that_are_no_zip_have_no_rows(spark, tmp_path):
+    (tmp_path / "a.zip").write_bytes(b"not a zip")
+    assert files.read(spark, str(tmp_path), {"read.files.compression": "zip"}).collect() == []
+
+
+def test_nested_rows_become_json_and_xml(spark):
+    df = spark.createDataFrame([(1, {"color": "blue", "numbers": [1, 2]})], "id int, data struct<color:string,numbers:array<int>>")
+    assert content(documents.of_rows(df, {"write.uriTemplate": "/{/data/color}/{id}"})) == {"/blue/1": '{"id":1,"data":{"color":"blue","numbers":[1,2]}}'}
+    xml = content(documents.of_rows(df, {"write.uriTemplate": "/{id}", "write.xmlRootName": "row"}))["/1"]
+    assert "<color>blue</color>" in xml and xml.count("<numbers>") == 2

@@ -86,3 +86,12 @@ def test_what_is_written_is_read(syntax):
 def test_bad_files(name, text):
     with pytest.raises(rdf.RdfError):
         list(rdf.parse(name, text.encode()))
+
+
+def test_what_stands_before_an_error_is_read():
+    text = "@prefix : <http://e/> . :g { :s :p 1 . :s :p 2 . :t :p ?? }"
+    rows = []
+    with pytest.raises(rdf.RdfError):
+        for r in rdf.parse("a.trig", text.encode()):
+            rows.append(r["object"])
+    assert rows == ["1", "2"]
