@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -222,8 +223,8 @@ class Shard:
         return ends[begin[1:]] - ends[begin[:-1]]
 
 
-def shards(model: DataFrame) -> list[pa.Table]:
-    """The model's rows, split by shard_key into as many parts as ``SHARD_ROWS`` asks for; rows without one are in every part."""
+def shards(model: DataFrame) -> Iterator[tuple[int, int, pa.Table]]:
+    """(number, how many, rows): the model, split by shard_key into as many parts as ``SHARD_ROWS`` asks for; rows without one are in every part."""
     of = max(1, -(-model.count() // SHARD_ROWS))
     for number in range(of):
         mine = model if of == 1 else model.filter(F.col("shard_key").isNull() | (F.pmod("shard_key", F.lit(of)) == number))
