@@ -122,9 +122,16 @@ def disclosing(texts: DataFrame, rows: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("rows"))
     )
     pairs = written(near.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("rows").alias("both")).filter(F.col("contexts") >= SUPPORT), "pii-pairs")
+
+    def holding(some: DataFrame) -> DataFrame:
+        return some.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
+
+    # rows with fixed spans alone hold a term at most as often as all rows, which rules out common words before all rows are counted
+    least = holding(rows).groupBy("term").agg(F.count("*").alias("least"))
+    pairs = written(pairs.join(least, "term").filter(F.col("both") >= F.col("least") * GENERALISE).drop("least"), "pii-candidates")
     terms = written(pairs.select("term").distinct(), "pii-terms")
+    words = holding(texts)
     few = terms.count() <= BROADCAST_TERMS
-    words = texts.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
     held = (words.join(F.broadcast(terms), "term", "left_semi") if few else words).groupBy("term").agg(F.count("*").alias("rows"))
     share = F.least(F.col("both") / F.col("rows"), F.lit(1.0))
     return written(pairs.join(held, "term").select("entity", "term", share.alias("share")).filter(F.col("share") >= GENERALISE), "pii-told")
