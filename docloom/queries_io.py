@@ -127,15 +127,24 @@ def stream_of_view(spark, sf_dir):
 
 @query("SELECT '/o/' || o_orderkey || '.json' AS \"URI\", CAST(o_custkey AS BIGINT) AS custkey FROM orders WHERE o_orderkey % 5 = 0")
 def stream_into_store(spark, sf_dir):
-    """A file stream of orders into a document store."""
+    """A file stream of all orders into a document store; the SQL compares every fifth key of what is read back."""
+    stored = orders_streamed(spark, sf_dir).read().select("URI", F.decode("content", _TEXT).alias("text"))
+    field = lambda name: F.get_json_object("text", f"$.{name}").cast("long")
+    return stored.filter(field("o_orderkey") % 5 == 0).select("URI", field("o_custkey").alias("custkey"))
+
+
+def orders_streamed(spark, sf_dir):
+    """The store that a file stream of all orders was written to."""
     src, base, check = folder(), folder(), folder()
-    o = table(spark, sf_dir, "orders").filter("o_orderkey % 5 = 0").select("o_orderkey", "o_custkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     o.repartition(2).write.parquet(src)
     engine = Engine(spark, base)
     stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 1).parquet(src)
     q = streams.to_store(stream, engine.store, check, {"write.uriTemplate": "/o/{o_orderkey}.json"})
-    q.awaitTermination(600)
-    return engine.store.read().select("URI", F.get_json_object(F.decode("content", _TEXT), "$.o_custkey").cast("long").alias("custkey"))
+    if not q.awaitTermination(600):
+        q.stop()
+        raise TimeoutError("the stream of orders did not end")
+    return engine.store
 
 
 @query("SELECT '/' || source || '/' || doc_id || '.txt' AS \"URI\", CAST(CASE WHEN lang = 'fr' THEN 2 ELSE 1 END AS INTEGER) AS version, CAST(length(text) AS BIGINT) AS chars FROM documents WHERE lang <> 'es'")

@@ -67,3 +67,13 @@ def test_a_stream_into_custom_code(spark, tmp_path):
 def test_readers_are_registered():
     custom.register_reader("x", lambda v: [])
     assert "x" in custom.READERS
+
+
+def test_all_orders_reach_the_store(spark, tmp_path):
+    from docloom import queries_io
+
+    spark.range(1, 41).selectExpr("id as o_orderkey", "cast(id * 10 as int) as o_custkey").write.parquet(str(tmp_path / "orders.parquet"))
+    store = queries_io.orders_streamed(spark, str(tmp_path))
+    assert sorted(r["URI"] for r in store.read().select("URI").collect()) == sorted(f"/o/{k}.json" for k in range(1, 41))
+    compared = queries_io.stream_into_store(spark, str(tmp_path)).collect()
+    assert sorted((r["URI"], r["custkey"]) for r in compared) == sorted((f"/o/{k}.json", 10 * k) for k in range(5, 41, 5))
