@@ -16,7 +16,7 @@ WORDS = 5
 CONTAINMENT = 0.8
 #: Hash functions of a signature; a window is a candidate if it agrees with an item in any of them.
 HASHES = 64
-#: The least window is two blocks of so many shingles; each size class doubles it.
+#: Items of so many shingles or fewer are found by all their shingles. Larger ones have size classes, each of which doubles this; windows are two such blocks.
 LEAST = 8
 #: Bytes of benchmark text that one broadcast holds; a larger benchmark is searched block by block.
 BLOCK_BYTES = 4 << 20
@@ -77,7 +77,7 @@ def hashed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Items:
-    """A block of benchmark items: shingle sets, size classes, and each class's signatures sorted by hash function."""
+    """A block of benchmark items: shingle sets, the hashes of small items, and for larger ones size classes, each class's signatures sorted by hash function."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = [i for i, _ in items]
@@ -86,8 +86,13 @@ class Items:
         size = np.array([len(s) for s in self.sets], np.int64)
         #: class c holds the items of LEAST * 2**c shingles or fewer that no smaller class holds
         self.of = np.array([max(0, int(np.ceil(np.log2(max(1, n) / LEAST)))) for n in size], np.int64)
+        #: the distinct shingle hashes of class 0 by hash, the item of each, and the least number of them that a document must hold
+        small = [(h, k) for k in range(len(items)) if self.of[k] == 0 for h in set(hashes[begin[k] : begin[k + 1]].tolist())]
+        small.sort()
+        self.small, self.owner = np.array([h for h, _ in small], np.uint64), np.array([k for _, k in small], np.int64)
+        self.least = np.ceil(CONTAINMENT * size - 1e-9).astype(np.int64)
         self.classes = {}
-        for c in sorted({int(c) for c, n in zip(self.of, size, strict=True) if n}):
+        for c in sorted({int(c) for c, n in zip(self.of, size, strict=True) if n} - {0}):
             rows = [k for k in range(len(items)) if self.of[k] == c and size[k]]
             sign = np.array([[(hashes[begin[k] : begin[k + 1]] * _MULTIPLIER[j]).min() for j in range(HASHES)] for k in rows], np.uint64)
             order = np.argsort(sign, axis=0, kind="stable")
@@ -97,13 +102,13 @@ class Items:
             self.classes[c] = (np.take_along_axis(sign, order, 0), np.array(rows, np.int64)[order], seen)
 
     def candidates(self, hashes: np.ndarray, begin: np.ndarray) -> set[tuple[int, int]]:
-        """(text, item) positions with a window whose signature agrees with the item's anywhere.
+        """(text, item) positions: small items of which the text holds enough shingles, larger ones that agree with a window's signature anywhere.
 
-        A class's windows are two adjacent blocks as long as its largest item, so any run of an item's shingles lies in one window
-        and is at least a sixth of it: with 64 functions a copy that meets the containment is missed with odds below one in a million.
-        Block minima of a class come from those of the class below.
+        A class's windows are two adjacent blocks as long as its largest item, and its items are longer than half a block. So a run of an item's
+        shingles as long as a block lies in one window, and what a copy at the containment shares with it is at least 0.8 / 4.2 of both together:
+        all 64 functions miss it with odds below two in a million. Block minima of a class come from those of the class below.
         """
-        found: set[tuple[int, int]] = set()
+        found = self._held(hashes, begin)
         if not self.classes or not len(hashes):
             return found
         made = np.diff(begin)
@@ -128,6 +133,20 @@ class Items:
                     found.update((int(text[w]), int(k)) for k in items[x:y, j])
         return found
 
+    def _held(self, hashes: np.ndarray, begin: np.ndarray) -> set[tuple[int, int]]:
+        """(text, item) positions where the text holds enough of a small item's shingles: none is missed."""
+        if not len(self.small) or not len(hashes):
+            return set()
+        a = np.searchsorted(self.small, hashes)
+        at = np.flatnonzero(self.small[np.minimum(a, len(self.small) - 1)] == hashes)
+        text = np.searchsorted(begin, at, side="right") - 1
+        _, first = np.unique(np.stack([text.astype(np.uint64), hashes[at]]), axis=1, return_index=True)
+        at, text = at[first], text[first]
+        many = np.searchsorted(self.small, hashes[at], side="right") - a[at]
+        item = self.owner[np.repeat(a[at] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+        pairs, shared = np.unique(np.stack([np.repeat(text, many), item]), axis=1, return_counts=True)
+        return {(t, k) for t, k in pairs[:, shared >= self.least[pairs[1]]].T.tolist()}
+
     def contained(self, texts: list[str | None]) -> Iterator[tuple[int, int, int]]:
         """(text, item, shared): of the candidates, those that hold enough of the item's shingles."""
         pairs = sorted(self.candidates(*hashed(texts)))

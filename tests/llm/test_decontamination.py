@@ -90,6 +90,18 @@ def test_signatures_find_copies_at_the_threshold():
     assert tried > 100 and missed == 0
 
 
+def test_no_copy_of_a_small_item_is_missed():
+    rng = random.Random(6)
+    new = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    items = [" ".join(new(5 + k % 3)) for k in range(6000)] + ["one two one two one two one two"]
+    whole = d.Items(list(enumerate(items)))
+    texts = [" ".join(x for item in items[a : a + 100] for x in [*new(30), item.upper(), *new(30)]) for a in range(0, len(items), 100)]
+    got = {(t, k) for t, k, _ in whole.contained(["", None, *texts])}
+    assert got == {(2 + k // 100, k) for k in range(len(items))}
+    near = " ".join([*new(50), *items[0].split()[:4], "other", *new(50)])
+    assert not list(whole.contained([near]))
+
+
 def test_empty_tables(spark, make):
     none = table(spark, [])
     assert d.leaks(make([(1, "a b c d e f")]), none).collect() == []
