@@ -1,4 +1,4 @@
-"""Quality classifier: an interpolated modified Kneser-Ney n-gram model of trusted text, and per-language perplexity limits."""
+"""Quality classifier: interpolated modified Kneser-Ney models of trusted text, of its characters and of how its words recur, and per-language perplexity limits."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import mixed, slices, table, written
@@ -16,10 +16,14 @@ from .common import mixed, slices, table, written
 ORDER = 5
 #: Of so many trusted texts one, by a hash of its id, is kept out of the model and sets the limits.
 HELD_OUT = 5
-#: A language's limit: this quantile of its held-out trusted texts' scores, plus the margin (nats a character).
-QUANTILE, MARGIN = 0.995, 0.2
-#: Characters at the trusted mean that are added to each text's score, so that short texts need more evidence.
-PRIOR_CHARS = 60
+#: A language's limit: this quantile of its held-out trusted texts' scores, plus so many standard errors of their mean. Texts too few to hold the
+#: quantile add a standard deviation for each factor e they lack, as tails that fall off exponentially do; the deviation is at least that of all
+#: trusted texts within their languages.
+QUANTILE, ERRORS = 0.995, 6
+#: Characters and words at the trusted mean that are added to each text's scores, so that short texts need more evidence.
+PRIOR_CHARS, PRIOR_WORDS = 60, 10
+#: Least distances (in words) of the classes that a word's way back to its last occurrence falls into; the last one holds new words too.
+BACK = np.array([1, 2, 3, 4, 5, 7, 9, 13, 17, 33, 65])
 #: Model entries of one shard; each worker holds one shard, 13 bytes an entry and up to 36 in its hash tables.
 SHARD_ROWS = 2_000_000
 #: Ids of trusted documents that are broadcast (8 bytes each); more are joined by shuffle.
@@ -54,6 +58,30 @@ def parts_of(text: str) -> list[tuple[str, int]]:
     return [(text[max(0, a - skip) : a + PART_CHARS], min(a, skip)) for a in range(0, len(text), PART_CHARS)]
 
 
+def rhythm(text: str | None) -> str:
+    """A letter for each word: the class of its distance to its last occurrence, cases apart no difference. Repeated words or lines read like no prose."""
+    out = []
+    for part, _ in parts_of(text or ""):
+        words = part.lower().split()
+        code = np.fromiter(map(hash, words), np.int64, len(words))
+        order = np.argsort(code, kind="stable")
+        same = code[order[1:]] == code[order[:-1]]
+        back = np.full(len(words), BACK[-1])
+        back[order[1:][same]] = (order[1:] - order[:-1])[same]
+        out.append((np.searchsorted(BACK, back, side="right") + 64).astype(np.uint8).tobytes().decode())
+    return "".join(out)
+
+
+def rhythms(trusted: DataFrame) -> DataFrame:
+    """The texts' rhythms, as texts that ``estimate`` takes."""
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([rhythm(t) for t in batch.column(0).to_pylist()], pa.string())], names=["text"])
+
+    return trusted.select("text").mapInArrow(run, "text string")
+
+
 def counts(trusted: DataFrame) -> DataFrame:
     """The distinct ORDER-grams of all trusted texts with their counts: columns c1..c5, n. Counted in each task, then summed by n-gram."""
 
@@ -231,24 +259,35 @@ def shards(model: DataFrame) -> Iterator[tuple[int, int, pa.Table]]:
         yield number, of, mine.select((F.col("kind") * 16 + F.col("k")).cast("tinyint").alias("what"), "key", F.col("value").cast("float").alias("value")).toArrow()
 
 
-def scored(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """(doc_id, lang, chars, logp) of each row. Texts are read once for each shard and the parts' sums added up. Null and empty texts: 0, 0."""
+def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) -> DataFrame:
+    """(doc_id, lang, chars, logp, words, beat) of each row: beat is the log probability of its rhythm under the model of that name, 0 without one.
+
+    Texts are read once for each shard and the parts' sums added up. Null and empty texts: 0 in all four. The rhythm's model has at most
+    len(BACK) ** ORDER n-grams and is one shard at any size.
+    """
     spark = docs.sparkSession
+    beats = None
+    if beat is not None:
+        beats = spark.sparkContext.broadcast(beat.select((F.col("kind") * 16 + F.col("k")).cast("tinyint").alias("what"), "key", F.col("value").cast("float").alias("value")).toArrow())
     carried = ("doc_id", "lang", "text_hash")
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
     kinds = docs.select(*carried).schema
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kinds], "chars long", "logp double"])
-    names = [*carried, "chars", "logp"]
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kinds], "chars long", "logp double", "words long", "beat double"])
+    names = [*carried, "chars", "logp", "words", "beat"]
     parts = []
     rows = docs.select(*carried, "text")
     for number, of, part in shards(model):
         shared = spark.sparkContext.broadcast((part, number, of))
 
-        def run(batches, shared=shared):
+        def run(batches, shared=shared, beats=beats if number == 0 else None):
             shard = Shard(*shared.value)
+            second = Shard(beats.value, 0, 1) if beats is not None else None
             for batch in (b.slice(at, 256) for b in batches for at in range(0, len(b), 256)):
                 texts = [t or "" for t in batch.column(len(carried)).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(carried))], pa.array([len(t) for t in texts], pa.int64()), pa.array(shard.score(texts))], names=names)
+                told = [rhythm(t) for t in texts] if second else [""] * len(texts)
+                beaten = second.score(told) if second else np.zeros(len(texts))
+                own = [pa.array([len(t) for t in texts], pa.int64()), pa.array(shard.score(texts)), pa.array([len(t) for t in told], pa.int64()), pa.array(beaten)]
+                yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(carried))], *own], names=names)
 
         parts.append(rows.mapInArrow(run, schema))
     if len(parts) == 1:
@@ -257,8 +296,9 @@ def scored(docs: DataFrame, model: DataFrame) -> DataFrame:
     for p in parts[1:]:
         every = every.unionByName(p)
     # a row has one part in each shard; rows repeated in full are summed as one and given back as often
-    rows = every.groupBy(*carried, "chars").agg(F.sum("logp").alias("logp"), (F.count("*") / len(parts)).cast("int").alias("times"))
-    return rows.select("doc_id", "lang", "chars", (F.col("logp") / F.col("times")).alias("logp"), F.explode(F.array_repeat(F.lit(0), F.col("times")))).drop("col")
+    rows = every.groupBy(*carried, "chars").agg(*[F.sum(c).alias(c) for c in ("logp", "words", "beat")], (F.count("*") / len(parts)).cast("int").alias("times"))
+    each = [(F.col(c) / F.col("times")).alias(c) for c in ("logp", "beat")]
+    return rows.select("doc_id", "lang", "chars", each[0], (F.col("words") / F.col("times")).cast("long").alias("words"), each[1], F.explode(F.array_repeat(F.lit(0), F.col("times")))).drop("col")
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -267,46 +307,67 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` rows as (doc_id, lang, chars, score, limit, keep), where doc_id is not null or is.
+    """``docs`` rows as (doc_id, lang, chars, score, limit, beat, beat_limit, keep), where doc_id is not null or is.
 
     score is the mean negative log probability a character (log perplexity) under a model of the trusted texts, with ``PRIOR_CHARS`` characters at the
-    trusted mean added; keep is whether it is at most the language's limit. The limits come from trusted texts that the model has not seen, or from all
+    trusted mean added; beat is the same a word for the texts' rhythms, with ``PRIOR_WORDS`` words. keep is whether both are at most the language's limits.
+    The limits come from trusted texts that the models have not seen, or from all
     trusted texts where there are none. Languages without trusted texts, null among them, have the limit of all languages. Without any trusted text all rows
     stay. Null and empty texts score the mean and stay. Rows that repeat stay as often.
     """
-    spark = docs.sparkSession
     unseen = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
     ids = written(trusted_ids(labels).withColumn("unseen", unseen), "trusted")
     few = ids.count() <= BROADCAST_IDS
     good = F.broadcast(ids) if few else ids
     trusted = docs.filter(F.col("text").isNotNull()).join(good.filter("not unseen"), "doc_id", "left_semi")
-    model = estimate(trusted)
-    rows = written(scored(docs.select("doc_id", "lang", "text"), model), "lm-scores")
+    rows = written(scored(docs.select("doc_id", "lang", "text"), estimate(trusted), estimate(rhythms(trusted))), "lm-scores")
     known = written(rows.filter("chars > 0").join(good, "doc_id"), "lm-known")
-    sums = known.groupBy("unseen").agg(F.sum("logp").alias("logp"), F.sum("chars").alias("chars"))
-    totals = {r["unseen"]: (r["logp"], r["chars"]) for r in sums.collect()}
-    if True in totals:
-        known = known.filter("unseen")
+    sums = known.groupBy("unseen").agg(*[F.sum(c).alias(c) for c in ("logp", "chars", "beat", "words")])
+    totals = {r["unseen"]: r for r in sums.collect()}
+    known = known.withColumn("judge", F.col("unseen") if True in totals else F.lit(True))
     total = totals.get(True) or totals.get(False)
-    mean = -total[0] / total[1] if total else 0.0
-    score = (-F.col("logp") + PRIOR_CHARS * mean) / (F.col("chars") + PRIOR_CHARS)
-    limits = quantiles(known.select("lang", score.alias("score")))
+    scores = {}
+    for name, logp, size, prior in (("score", "logp", "chars", PRIOR_CHARS), ("beat", "beat", "words", PRIOR_WORDS)):
+        mean = -total[logp] / total[size] if total and total[size] else 0.0
+        scores[name] = (-F.col(logp) + prior * mean) / (F.col(size) + prior)
+    rows = _limited(rows, known, scores["score"], "limit")
+    rows = _limited(rows, known, scores["beat"], "beat_limit").withColumns(scores)
+    within = (F.col("score") <= F.col("limit")) & (F.col("beat") <= F.col("beat_limit"))
+    return rows.select("doc_id", "lang", "chars", "score", "limit", "beat", "beat_limit", F.coalesce(within, F.lit(True)).alias("keep"))
+
+
+def _limited(rows: DataFrame, known: DataFrame, score: Column, name: str) -> DataFrame:
+    """``rows`` with the limit of each row's language."""
+    limits = quantiles(known.select("lang", "judge", score.alias("score")))
     overall = limits.pop("", None)
-    table_ = spark.createDataFrame([(k[1:], v) for k, v in limits.items()], "lang string, own double")
+    table_ = rows.sparkSession.createDataFrame([(k[1:], v) for k, v in limits.items()], "lang string, own double")
     limit = F.coalesce("own", F.lit(overall)) if overall is not None else F.lit(None).cast("double")
-    out = rows.join(F.broadcast(table_), "lang", "left").withColumn("score", score).withColumn("limit", limit)
-    return out.select("doc_id", "lang", "chars", "score", "limit", F.coalesce(F.col("score") <= F.col("limit"), F.lit(True)).alias("keep"))
+    return rows.join(F.broadcast(table_), "lang", "left").withColumn(name, limit).drop("own")
 
 
 def quantiles(known: DataFrame) -> dict[str, float]:
-    """The limit of each language (keyed "=" + lang) and of all rows (""). Scores are counted in steps of ``STEP``, so no row is gathered."""
-    steps = known.groupBy("lang", F.ceil(F.col("score") / STEP).alias("step")).agg(F.count("*").alias("n"))
-    own = steps.filter("lang is not null").select(F.concat(F.lit("="), "lang").alias("g"), "step", "n")
-    every = steps.groupBy("step").agg(F.sum("n").alias("n")).select(F.lit("").alias("g"), "step", "n")
+    """The limit of each language (keyed "=" + lang) and of all rows (""), from the rows that judge; the others tell only how far scores spread.
+
+    Scores are counted in steps of ``STEP``, so no row is gathered.
+    """
+    steps = known.groupBy("lang", "judge", F.ceil(F.col("score") / STEP).alias("step")).agg(F.count("*").alias("n"))
+    own = steps.filter("lang is not null").select(F.concat(F.lit("="), "lang").alias("g"), "judge", "step", "n")
+    every = steps.groupBy("judge", "step").agg(F.sum("n").alias("n")).select(F.lit("").alias("g"), "judge", "step", "n")
     w = Window.partitionBy("g")
-    below = own.unionByName(every).withColumn("below", F.sum("n").over(w.orderBy("step"))).withColumn("all", F.sum("n").over(w))
-    found = below.filter(F.col("below") >= F.col("all") * QUANTILE).groupBy("g").agg((F.min("step") * STEP + MARGIN).alias("limit"))
-    return {r["g"]: r["limit"] for r in found.collect()}
+    both = own.unionByName(every)
+    below = both.filter("judge").withColumn("below", F.sum("n").over(w.orderBy("step"))).withColumn("all", F.sum("n").over(w))
+    found = below.filter(F.col("below") >= F.col("all") * QUANTILE).groupBy("g").agg(F.min("step").alias("step"))
+    x, n = F.col("step").cast("double"), F.col("n")
+    spread = both.groupBy("g", "judge").agg(F.sum(n).alias("all"), (F.sum(n * x * x) - F.sum(n * x) ** 2 / F.sum(n)).alias("squares")).collect()
+    each = [r for r in spread if r["g"]] or spread
+    pooled = sum(r["squares"] for r in each) / max(1, sum(r["all"] for r in each))
+    held = {r["g"]: r for r in spread if r["judge"]}
+    out = {}
+    for r in found.collect():
+        count = held[r["g"]]["all"]
+        beyond = max(0.0, -math.log((1 - QUANTILE) * count)) + ERRORS / math.sqrt(count)
+        out[r["g"]] = (r["step"] + beyond * math.sqrt(max(held[r["g"]]["squares"] / count, pooled, 0.0))) * STEP
+    return out
 
 
 def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -104,6 +104,21 @@ def test_junk_goes_and_clean_texts_stay(make, labels, words):
     assert sum(r["text"] == "word" for r in kept) == 2
 
 
+def test_repeated_words_go(make, labels, words):
+    good, _, more, marks = corpus(words)
+    rng = random.Random(3)
+    runs = [(2000 + k, " ".join(w for w in rng.sample(good[k][1].strip(".").split(), 8) for _ in range(9)) + ".", "en" if k % 2 else "fr") for k in range(20)]
+    lines = [(3000 + k, "\n".join([words(5, 900 + k) + "."] * 12), "en") for k in range(5)]
+    ids = {r["doc_id"] for r in q.filtered(make(good + more + runs + lines), labels(marks)).collect()}
+    assert {i for i, *_ in good + more} <= ids and not ids & {i for i, *_ in runs + lines}
+
+
+def test_rhythms():
+    assert q.rhythm("a b A a c\tb " + "x y " * 2) == "KKBAKDKKBB"
+    assert q.rhythm(None) == q.rhythm(" \n") == ""
+    assert q.rhythm(" ".join(map(str, [0, *range(64), 0]))) == "KA" + "K" * 63 + "J"
+
+
 def test_join_instead_of_broadcast(make, labels, words, monkeypatch):
     good, bad, more, marks = corpus(words)
     monkeypatch.setattr(q, "BROADCAST_IDS", 0)
