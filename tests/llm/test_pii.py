@@ -1,6 +1,8 @@
 import hashlib
+import math
 import random
 import re
+import time
 
 from conftest_llm import ODD
 from pyspark.sql import functions as F
@@ -74,22 +76,85 @@ def test_terms_that_reveal_an_entity_are_found_and_replaced(make, words):
     assert all(clean[200 + k] == words(60, 900 + k) for k in range(40))
 
 
+def told(docs):
+    rows = docs.select(F.xxhash64("text").alias("row"), "text", pii.base_spans(F.col("text")).alias("found")).filter("size(found) > 0")
+    return {(r["entity"], r["term"]): r["share"] for r in pii.disclosing(docs.select("text"), rows, pii.held(rows)).collect()}
+
+
 def test_share_is_the_plain_estimate(make, words):
     rows = leaking(words) + [(300, "zebulonia alone"), (301, "zebulonia again")]
-    docs = make(rows)
-    found = docs.select("text", pii.base_spans(F.col("text")).alias("found")).filter("size(found) > 0")
-    got = {(r["entity"], r["term"]): r["share"] for r in pii.disclosing(docs.select("text"), found).collect()}
-    assert got["0:zeb@corp.example.com", "zebulonia"] == 6 / 8
+    assert told(make(rows))["0:zeb@corp.example.com", "zebulonia"] == 6 / 8
+
+
+def test_repeated_mentions_in_one_text_and_copies_are_no_evidence(make, words):
+    one = " ".join(f"zebra at z@w.example {words(12, k)}" for k in range(3))
+    rest = [(10 + k, f"zebra {words(20, 40 + k)}") for k in range(3)] + [(50 + k, words(30, 400 + k)) for k in range(40)]
+    assert not [k for k in told(make([(1, one), *rest])) if k[1] == "zebra"]
+    assert told(make([(k, one) for k in range(9)] + rest[3:])) == {}
+
+
+def brute_terms(texts):
+    """Share of each (entity, term) that discloses, straight from the definition."""
+    held, words_ = [], []
+    for t in texts:
+        spans_ = brute(t)
+        held.append({f"{[k for k, _ in PLAIN].index(kind)}:" + (t[a:b].lower() if kind == "email" else t[a:b] if kind == "ip" else re.sub("[^0-9]", "", t[a:b])) for kind, a, b in spans_})
+        words_.append({w.lower() for w in re.findall(r"[^\W\d_]{3,}", t)})
+    out = {}
+    for e in set().union(*held):
+        have = [k for k in range(len(texts)) if e in held[k]]
+        for term in set().union(*[words_[k] for k in have]):
+            both = [k for k in have if term in words_[k]]
+            share = len(both) / sum(term in w for w in words_)
+            if len({texts[k] for k in both}) > 1 and share >= pii.GENERALISE and math.log2(share * len(texts) / len(have)) >= pii.BITS:
+                out[e, term] = share
+    return out
+
+
+def test_terms_are_those_of_the_definition(make):
+    rng = random.Random(3)
+    vocabulary = [f"w{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10]}x" for k in range(60)]
+    names = [f"p{k}@q.example" for k in range(8)]
+    rows = []
+    for k in range(160):
+        own = [rng.choice(vocabulary) for _ in range(rng.randint(1, 12))]
+        if rng.random() < 0.3:
+            i = rng.randrange(8)
+            own += [names[i], f"near{'abcdefgh'[i]}", names[rng.randrange(8)]] * rng.randint(1, 2)
+        rng.shuffle(own)
+        rows.append((k, " ".join(own)))
+    rows += [(500 + k, rows[k][1]) for k in range(0, 160, 7)]
+    want = brute_terms([t for _, t in rows])
+    assert want and told(make(rows)) == want
 
 
 def test_more_rows_than_are_broadcast(make, words, monkeypatch):
     rows = leaking(words) + ODD
     want = sorted((str(k), v) for k, v in spans(pii.found(make(rows))).items())
-    monkeypatch.setattr(pii, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(pii, "BROADCAST_TERMS", 0)
+    monkeypatch.setattr(pii, "BROADCAST_BYTES", 0)
     assert sorted((str(k), v) for k, v in spans(pii.found(make(rows))).items()) == want
 
 
+def test_many_matches_take_linear_time(make):
+    def seconds(n):
+        text = " ".join(f"user{k}@host{k % 7}.example and more words" for k in range(n))
+        docs = make([(1, text)], parts=1)
+        start = time.perf_counter()
+        out = pii.sanitized(docs).collect()[0]["text"]
+        assert out == " ".join(["[EMAIL] and more words"] * n)
+        return time.perf_counter() - start
+
+    seconds(100)
+    short, long = min(seconds(2000) for _ in range(2)), min(seconds(8000) for _ in range(2))
+    assert long < 4 * short + 2
+
+
+def test_clashing_names_stay(make):
+    docs = make([(1, "x a@b.cc")]).withColumns({c: F.lit(c) for c in ("found", "row", "terms", "r", "all", "__found")})
+    out = pii.found(docs).collect()[0]
+    assert [out[c] for c in ("found", "row", "terms", "r", "all", "__found")] == ["found", "row", "terms", "r", "all", "__found"] and len(out["spans"]) == 1
+
+
 def test_replacement_keeps_the_rest(make):
     text = "é😀 a@b.cc, 4111 1111 1111 1111 and +4111111111111111; 10.0.0.1!"
     out = pii.sanitized(make([(1, text), (2, None), (3, "nothing")], extra=True)).orderBy("doc_id").collect()
