@@ -17,7 +17,7 @@ def vectors(spark):
 def brute(rows, queries, k):
     ok = lambda v: v is not None and all(x is not None and math.isfinite(x) for x in v)
     scaled = lambda v: [math.floor(256 * float(np.float32(x))) for x in v]
-    every = {(i, tuple(scaled(v))) for i, v in rows if i is not None and ok(v)}
+    every = [(i, tuple(scaled(v))) for i, v in rows if i is not None and ok(v)]
     out = []
     for i, q in {(i, tuple(scaled(v))) for i, v in queries if i is not None and ok(v)}:
         found = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in every if j != i and len(v) == len(q))[:k]
@@ -44,6 +44,14 @@ def test_results_are_those_of_all_pairs(vectors, monkeypatch):
     check(vectors, data(600, 4, 2, ties=True))
 
 
+def test_one_vector_on_a_third_of_all_rows(vectors, monkeypatch):
+    monkeypatch.setattr(t, "SHARD_ROWS", 100)
+    monkeypatch.setattr(t, "BLOCK_QUERIES", 20)
+    rows = data(400, 6, 8)
+    check(vectors, rows + [(1000 + k, [0.5] * 6) for k in range(200)], every=20)
+    check(vectors, rows + [(7, rows[7][1])] * 150, every=20)  # one row many times: every one is a candidate
+
+
 def test_odd_rows(vectors, monkeypatch):
     rows = data(60, 3, 3) + [(100, None), (101, [1.0, None, 2.0]), (102, [float("nan"), 1.0, 1.0]), (103, [float("inf"), 0.0, 0.0]), (None, [1.0, 1.0, 1.0]), (110, [1.0, 2.0]), (120, [5.0, 1.0]), (130, []), (140, [])]
     rows += [(7, rows[7][1]), (7, rows[7][1]), (10, rows[10][1])]
@@ -68,11 +76,13 @@ def test_pruning_skips_leaves():
     calls = []
     plain = t._dots
     t._dots = lambda a, b, bound: calls.append(len(a) * len(b)) or plain(a, b, bound)
+    tree = t.BallTree.built(np.arange(len(x)), x)
+    tree = t.BallTree.unpacked(tree.packed(), 8)
     try:
-        found = t.best(np.arange(len(x)), x, np.full(5, -1), q, np.full(5, np.iinfo(np.int64).min), 3)
+        found = t.best(tree, np.full(5, -1), q, np.full(5, np.iinfo(np.int64).min), 3)
     finally:
         t._dots = plain
-    assert sum(calls) < 0.5 * len(x) * len(q)
+    assert sum(calls) < 0.3 * len(x) * len(q)
     for i in range(5):
         order = sorted(range(len(x)), key=lambda j: (-float(x[j] @ q[i]), j))[:3]
         assert [j for k, j, _ in found if k == i] == order
