@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Bytes of text that one numpy step works on, which bounds a Python worker's memory.
@@ -29,14 +30,32 @@ def bounded(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
+    """The folder every executor sees, ``spark.checkpoint.dir``. Where it is unset a local session uses its own temp folder; a cluster must name one."""
     where = spark.conf.get("spark.checkpoint.dir", "")
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = f"file://{tempfile.gettempdir()}/docloom-{os.getpid()}"
-        spark.conf.set("spark.checkpoint.dir", where) if spark.conf.isModifiable("spark.checkpoint.dir") else None
     return where.rstrip("/")
 
 
+#: A key with this many rows is hot: the one row it meets goes to every task. There are at most rows / HOT_ROWS of them.
+HOT_ROWS = 1 << 16
+
+
+def spread(rows: DataFrame, named: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with the one row of ``named`` for each key, whose column n is the number of rows: hot keys by broadcast, as no task should hold them."""
+    hot = named.filter(F.col("n") >= HOT_ROWS)
+    many = hot.count()
+    if many == 0:
+        return rows.join(named, key)
+    size = many * 24
+    if size > 64 << 20:
+        return rows.join(named, key)  # as many hot keys fill all partitions evenly
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(named.filter(F.col("n") < HOT_ROWS), key)
+    return rows.join(F.broadcast(hot), key).unionByName(cold)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts lineage, survives lost executors.
 
