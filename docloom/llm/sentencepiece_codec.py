@@ -6,6 +6,7 @@ import codecs
 import hashlib
 import heapq
 import re
+from array import array
 from functools import lru_cache
 
 import ahocorasick
@@ -118,7 +119,16 @@ class Codec:
 
     def walk(self, text: str) -> list[int]:
         """Ids of a text with no two leading spaces, by backtracking."""
-        n, rows, longest, choices = len(text), self.rows, self.matcher.iter_long, self.longest_first
+        n, rows, choices = len(text), self.rows, self.longest_first
+        if n <= LONG:  # from each position on, as it is met
+            first = self.matcher.iter_long
+            size_at = lambda at: size if (found := next(first(text, at), None)) and found[0] + 1 - (size := found[1]) == at else 0
+        else:  # of all positions by one pass of the automaton
+            longest = array("H", bytes(2 * n))
+            for end, size in self.matcher.iter(text):
+                if size > longest[end + 1 - size]:
+                    longest[end + 1 - size] = size
+            size_at = longest.__getitem__
         failed: bytearray | None = None  # bit i: no valid encoding goes through position i
         path: list[str] = []
         untried: list = []  # of each step, an iterator over the shorter matches
@@ -128,9 +138,9 @@ class Codec:
             rows.pairs = 0
         while at < n:
             if matches is None:
-                end, size = next(longest(text, at), (n, 0))
+                size = size_at(at)
                 # a character of no piece never merges: it is its own token and always stays apart
-                matches = iter(choices[text[at : end + 1]] if end + 1 - size == at else (text[at],))
+                matches = iter(choices[text[at : at + size]] if size else (text[at],))
             row = rows[left]
             for piece in matches:
                 if row[piece]:
@@ -270,7 +280,11 @@ def tokenized(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
 
 
 def round_trip(docs: DataFrame, model: str) -> DataFrame:
-    """Digests of every document's ids and of what they decode to: one pass, nothing kept of a text but its digests."""
+    """Digests of every document's ids and of what they decode to: one pass, nothing kept of a text but its digests.
+
+    A null text counts as empty; null ids and repeated rows stay. Long texts are encoded whole, in time linear in their length also where a word is long; a worker
+    holds one at once. Other columns are not read. An empty table gives no rows.
+    """
 
     def run(batches):
         c = codec(model)

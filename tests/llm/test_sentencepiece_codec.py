@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import sentencepiece
 from conftest_llm import ODD
@@ -42,6 +43,21 @@ def test_long_texts():
         assert CODEC.encode(text) == LIBRARY.encode(text)
 
 
+def test_long_words_take_linear_time():
+    rng = random.Random(6)
+
+    def seconds(n):
+        text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789+/") for _ in range(n))
+        start = time.perf_counter()
+        ids = CODEC.encode(text)
+        spent = time.perf_counter() - start
+        assert ids == LIBRARY.encode(text)
+        return spent
+
+    seconds(20_000)
+    assert min(seconds(200_000) for _ in range(2)) < 3 * min(seconds(100_000) for _ in range(2)) + 0.2
+
+
 def test_memory_is_emptied_without_a_trace(monkeypatch):
     monkeypatch.setattr(s, "MEMORY", 50)
     c = s.Codec(MODEL)
