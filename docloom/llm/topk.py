@@ -12,7 +12,7 @@ from .common import table, written
 #: Rows of a shard on average, queries that meet it in one task on average, most rows of a leaf.
 SHARD_ROWS = 4096
 BLOCK_QUERIES = 1024
-LEAF_ROWS = 64
+LEAF_ROWS = 128
 #: Most cells that rows are dealt into by their nearest pivot, so at most 8 bytes x this x dimension are broadcast; shards split the cells.
 CELLS = 1024
 
@@ -99,6 +99,8 @@ def best(tree: BallTree, query_ids: np.ndarray, q: np.ndarray, floor: np.ndarray
             continue
         a, b = tree.runs[node]
         found = _dots(q[who], tree.x[a:b], bound)
+        hit = (held[who] < k) | (found.max(axis=1, initial=_LEAST) >= kth[who])  # the others keep what they have
+        who, found = who[hit], found[hit]
         ids = np.broadcast_to(tree.ids[a:b], found.shape)
         other = ids != query_ids[who][:, None]
         s = np.concatenate([score[who], np.where(other, found, _LEAST)], axis=1)

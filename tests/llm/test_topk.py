@@ -68,7 +68,8 @@ def test_large_components_stay_exact(vectors):
     check(vectors, rows)
 
 
-def test_pruning_skips_leaves():
+def test_pruning_skips_leaves(monkeypatch):
+    monkeypatch.setattr(t, "LEAF_ROWS", 64)
     rng = np.random.default_rng(6)
     centers = rng.normal(0, 300, (40, 8))
     x = np.floor(np.concatenate([c + rng.normal(0, 3, (100, 8)) for c in centers]))
