@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -87,68 +88,133 @@ def _columns(batch: pa.RecordBatch) -> tuple[list, list[str], np.ndarray, np.nda
     return batch.column(0).to_pylist(), [r or "" for r in batch.column(2).to_pylist()], raw, offsets - offsets[0]
 
 
-def _runs(keys: list):
-    start = 0
-    for i in range(1, len(keys) + 1):
-        if i == len(keys) or keys[i] != keys[start]:
-            yield start, i
-            start = i
-
-
 def _ordered(turns: DataFrame) -> DataFrame:
     return turns.select("conv_id", "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
 
+def _points(data: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """For each offset, the code points of ``data`` before it: bytes that don't continue one, summed up between the offsets."""
+    counts = np.zeros(len(place), np.int64)
+    own = np.flatnonzero(np.diff(place) > 0)
+    if len(own):
+        counts[own + 1] = np.add.reduceat((data & 0xC0) != 0x80, place[own], dtype=np.int64)
+    return np.cumsum(counts)
+
+
+def _cuts(conv: np.ndarray, rows: np.ndarray, carried: int) -> np.ndarray:
+    """The rows of a batch at which a formatted part begins: where the conversation changes (conv numbers them), or the part before has ``PART_BYTES``."""
+    begin = np.flatnonzero(np.diff(conv, prepend=conv[:1] - 1))
+    end = np.append(begin[1:], len(conv))
+    out = []
+    for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+        out.append(a)
+        base = rows[a] - (carried if a == 0 else 0)
+        while rows[b] - base >= PART_BYTES:  # rare: cut after the turn that fills the part
+            a = max(a + (base == rows[a]), int(np.searchsorted(rows, base + PART_BYTES)))
+            if a >= b:
+                break
+            if a != out[-1]:
+                out.append(a)
+            base = rows[a]
+    return np.array(out, np.int64)
+
+
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+_PARTS = ("conv_id", "part", "n_turns", "formatted", "loss_spans")
+
+
 def formatted(turns: DataFrame, template: Template = Template()) -> DataFrame:
     """Formatted conversations: (conv_id, part, n_turns, formatted, loss_spans).
 
     loss_spans: code point ranges of ``formatted`` to train on, the texts of ``template.trained_role``. Turns go by (turn, role, text);
     a null text or role counts as empty, rows with a null conv_id form one conversation, repeated rows stay. Only a conversation over
     ``PART_BYTES`` has parts after part 0, cut between turns. No rows give no rows; other columns are not read.
+
+    A batch's formatted texts are one buffer, and its column is that buffer with the conversations' offsets: no text is copied again but that of a
+    conversation which goes on in the next batch.
     """
     schema = "conv_id long, part int, n_turns long, formatted string, loss_spans array<struct<start:long,end:long>>"
 
-    def run(batches):
-        open_ = None  # conversation, part, turns, bytes so far, spans, code points
-        for batch in batches:
-            keys, roles, raw, offsets = _columns(batch)
-            buffer, rows, texts = assemble(roles, raw, offsets, template)
-            data = memoryview(buffer)
-            out = []
-            for a, b in _runs(keys):
-                if open_ and open_[0] != (keys[a],):
-                    out.append(open_)
-                    open_ = None
-                for i in range(a, b):
-                    if open_ and len(open_[3]) >= PART_BYTES:
-                        out.append(open_)
-                        open_ = [open_[0], open_[1] + 1, 0, bytearray(), [], 0]
-                    open_ = open_ or [(keys[a],), 0, 0, bytearray(), [], 0]
-                    turn = bytes(data[rows[i] : rows[i + 1]])
-                    if roles[i] == template.trained_role:
-                        before = open_[5] + len(turn[: texts[i, 0] - rows[i]].decode())
-                        open_[4].append((before, before + len(turn[texts[i, 0] - rows[i] : texts[i, 1] - rows[i]].decode())))
-                    open_[5] += len(turn.decode())
-                    open_[2] += 1
-                    open_[3] += turn
-            if out:
-                yield from _emit(out)
-        if open_:
-            yield from _emit([open_])
-
-    return _ordered(turns).mapInArrow(run, schema)
-
-
-def _emit(parts: list) -> list[pa.RecordBatch]:
-    spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    columns = [
-        pa.array([p[0][0] for p in parts], pa.int64()),
-        pa.array([p[1] for p in parts], pa.int32()),
-        pa.array([p[2] for p in parts], pa.int64()),
-        pa.array([p[3].decode() for p in parts], pa.string()),
-        pa.array([[{"start": a, "end": b} for a, b in p[4]] for p in parts], spans),
-    ]
-    return [pa.RecordBatch.from_arrays(columns, names=["conv_id", "part", "n_turns", "formatted", "loss_spans"])]
+    return _ordered(turns).mapInArrow(lambda batches: assembled(batches, template), schema)
+
+
+def assembled(batches: Iterator[pa.RecordBatch], template: Template) -> Iterator[pa.RecordBatch]:
+    """The formatted parts of batches of (conv_id, turn, role, text) in order."""
+    held = None  # of the part that is still open: conversation, part, turns, its bytes in pieces, their size, code points, spans
+    for batch in batches:
+        if not len(batch):
+            continue
+        keys, roles, raw, offsets = _columns(batch)
+        buffer, rows, texts = assemble(roles, raw, offsets, template)
+        data = np.frombuffer(buffer, np.uint8)
+        n = len(keys)
+        place = np.stack([rows[:-1], texts[:, 0], texts[:, 1]], axis=1).reshape(-1)
+        point = _points(data, np.append(place, rows[-1]))
+        change = np.array([keys[i] != keys[i - 1] for i in range(1, n)], bool)
+        conv = np.concatenate([[0], np.cumsum(change)])
+        goes_on = held is not None and held[0] == (keys[0],)
+        if held is not None and not goes_on:
+            yield _closed(held)
+            held = None
+        begin = _cuts(conv, rows, held[4] if held else 0)
+        if held and held[4] >= PART_BYTES:
+            part = held[1] + 1
+            yield _closed(held)
+            held = [(keys[0],), part, 0, [], 0, 0, []]
+        end = np.append(begin[1:], n)
+        trained = np.flatnonzero(np.fromiter((r == template.trained_role for r in roles), bool, n))
+        owner = np.searchsorted(begin, trained, side="right") - 1
+        base = point[3 * begin]
+        spans = np.stack([point[3 * trained + 1] - base[owner], point[3 * trained + 2] - base[owner]], axis=1)
+        of = np.searchsorted(owner, np.arange(len(begin) + 1))  # the spans of each part
+        numbers, number, last = [], 0, None
+        for a in begin.tolist():
+            number = number + 1 if last is not None and conv[a] == last else held[1] if held and conv[a] == 0 else 0
+            numbers.append(number)
+            last = conv[a]
+        first = 0
+        if held:  # its first part here closes or prolongs the open one
+            a, b = int(begin[0]), int(end[0])
+            held[6] += (spans[of[0] : of[1]] + held[5]).tolist()
+            held[2] += b - a
+            held[3].append(buffer.slice(int(rows[a]), int(rows[b] - rows[a])))
+            held[4] += int(rows[b] - rows[a])
+            held[5] += int(point[3 * b] - base[0])
+            first = 1
+            if len(begin) > 1:
+                yield _closed(held)
+                held = None
+        final = len(begin) - 1
+        if first < final:
+            yield _columned(buffer, keys, rows, begin[first : final + 1], numbers[first:final], spans, of[first : final + 1])
+        if held is None:
+            a = int(begin[final])
+            whole = int(rows[n] - rows[a])
+            held = [(keys[a],), numbers[final], n - a, [buffer.slice(int(rows[a]), whole)], whole, int(point[3 * n] - base[final]), spans[of[final] : of[final + 1]].tolist()]
+    if held:
+        yield _closed(held)
+
+
+def _columned(buffer: pa.Buffer, keys: list, rows: np.ndarray, begin: np.ndarray, numbers: list[int], spans: np.ndarray, of: np.ndarray) -> pa.RecordBatch:
+    """The parts that begin and end inside a batch, straight from its buffer. The last of ``begin`` and ``of`` is where they end."""
+    n = len(begin) - 1
+    offsets = pa.py_buffer(rows[begin].astype("<i8").tobytes())
+    text = pa.Array.from_buffers(pa.large_string(), n, [None, offsets, buffer])
+    if rows[begin[-1]] < 1 << 31:
+        text = pa.Array.from_buffers(pa.string(), n, [None, pa.py_buffer(rows[begin].astype("<i4").tobytes()), buffer])
+    inside = spans[of[0] : of[-1]]
+    pairs = pa.StructArray.from_arrays([pa.array(inside[:, 0].copy()), pa.array(inside[:, 1].copy())], names=["start", "end"])
+    lists = pa.ListArray.from_arrays(pa.array((of - of[0]).astype(np.int32)), pairs)
+    columns = [pa.array([keys[a] for a in begin[:-1].tolist()], pa.int64()), pa.array(numbers, pa.int32()), pa.array(np.diff(begin)), text.cast(pa.string()), lists]
+    return pa.RecordBatch.from_arrays(columns, names=list(_PARTS))
+
+
+def _closed(held: list) -> pa.RecordBatch:
+    """The part that was open, its pieces joined once."""
+    text = b"".join(memoryview(x) for x in held[3])
+    whole = pa.Array.from_buffers(pa.string(), 1, [None, pa.py_buffer(np.array([0, len(text)], "<i4").tobytes()), pa.py_buffer(text)])
+    spans = pa.array([[{"start": a, "end": b} for a, b in held[6]]], _SPANS)
+    return pa.RecordBatch.from_arrays([pa.array([held[0][0]], pa.int64()), pa.array([held[1]], pa.int32()), pa.array([held[2]], pa.int64()), whole, spans], names=list(_PARTS))
 
 
 def parse(text: str, template: Template = Template()) -> list[tuple[str, str]]:

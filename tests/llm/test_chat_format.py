@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
 from docloom.llm import chat_format as c
@@ -40,7 +41,32 @@ def test_formatted_text_reads_back(turns):
     assert got == brute(rows)
 
 
-def test_a_conversation_over_a_part(turns, monkeypatch):
+def test_batches_and_parts_of_any_size(monkeypatch):
+    rng = random.Random(9)
+    rows = [(rng.randint(0, 12), k, rng.choice(["user", "assistant"]), "é<|x" * rng.randint(0, 30)) for k in range(150)] + [(None, k, "assistant", "n" * k) for k in range(9)]
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    kinds = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())])
+    for part in (1, 90, 700, 1 << 20):
+        monkeypatch.setattr(c, "PART_BYTES", part)
+        for n in (1, 2, 7, 40, 500):
+            batches = [pa.RecordBatch.from_pylist([dict(zip(kinds.names, r, strict=True)) for r in rows[k : k + n]], kinds) for k in range(0, len(rows), n)]
+            own = {}
+            for made in c.assembled(iter(batches), c.Template()):
+                made.validate(full=True)
+                for r in made.to_pylist():
+                    own.setdefault(r["conv_id"], []).append(r)
+            assert list(own) == list(dict.fromkeys(r[0] for r in rows))
+            for conv, parts in own.items():
+                assert [r["part"] for r in parts] == list(range(len(parts)))
+                said = [(r, c.parse(r["formatted"])) for r in parts]
+                assert [x for _, turns_ in said for x in turns_] == [(r[2], r[3]) for r in rows if r[0] == conv]
+                for r, turns_ in said:
+                    assert len(turns_) == r["n_turns"]
+                    assert [c.unescape(r["formatted"][x["start"] : x["end"]]) for x in r["loss_spans"]] == [t for role, t in turns_ if role == "assistant"]
+                assert all(len(r["formatted"].encode()) >= part for r in parts[:-1])
+
+
+def test_a_long_conversation(turns):
     rows = [(1, k, "assistant" if k % 2 else "user", f"turn {k} " * 50) for k in range(40)] + [(2, 0, "user", "hi")]
     spans = c.formatted(turns(rows))
     whole = {r["conv_id"]: r for r in c.digests(spans).collect()}
