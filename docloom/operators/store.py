@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..options import Options
@@ -57,18 +57,31 @@ class Store:
 
     # reading
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """Document rows of a version: of each URI, those of its last commit, deletions left out. A document without content has none, not null."""
+    def read(self, version: int | None = None, buckets: list[int] | None = None) -> DataFrame:
+        """Document rows of a version, of some buckets or all: of each URI, those of its last commit, deletions left out. A document without content has none, not null.
+
+        Which commit holds a URI is settled on the URIs alone; content is read from there and not sorted."""
         commits = self._commits(self.latest() if version is None else version)
         if not commits:
             return self.spark.createDataFrame([], DOCUMENT)
         parts = self.spark.read.option("basePath", f"{self.path}/data").parquet(*[f"{self.path}/data/commit={c['id']}" for c in commits])
+        if buckets is not None:
+            parts = parts.filter(F.col("bucket").isin(*buckets)) if buckets else parts.limit(0)
         if len(commits) > 1:
             order = F.create_map(*[x for n, c in enumerate(commits) for x in (F.lit(c["id"]), F.lit(n))])
-            last = Window.partitionBy("bucket", "URI").orderBy(F.desc(F.element_at(order, F.col("commit"))))
-            parts = parts.withColumn("__nth", F.row_number().over(last)).filter("__nth = 1")
+            parts = parts.withColumn("__order", F.element_at(order, F.col("commit")))
+            again = parts.groupBy("URI").agg(F.max("__order").alias("__last"), F.min("__order").alias("__first")).filter("__first < __last").select("URI", "__last")
+            parts = parts.join(again, "URI", "left").filter("__last is null or __last = __order")
         return parts.filter("not deleted").select("URI", F.coalesce("content", F.lit(b"")).alias("content"), *DOCUMENT.names[2:])
 
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64("URI"), F.lit(self.buckets)).cast("int")
+
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows for writing: each bucket in as many tasks, and so files, as there are shuffle partitions for it."""
+        each = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // self.buckets)
+        return rows.repartition(self.buckets * each, "bucket", F.pmod(F.xxhash64("URI", F.lit(1)), F.lit(each)))
+
     def search(self, options: Options | dict | None = None, constraints=search.Constraints(), version: int | None = None) -> DataFrame:
         """Rows that the ``read.documents.*`` options select, with the categories they ask for."""
         options = Options.of(options)
@@ -76,8 +89,10 @@ class Store:
         return categories(found, options)
 
     def lookup(self, uris: DataFrame, version: int | None = None) -> DataFrame:
-        """Rows of the URIs in a (URI) table: a semi join, broadcast only if Spark finds the table small."""
-        return self.read(version).join(uris.select("URI").distinct(), "URI", "left_semi")
+        """Rows of the URIs in a (URI) table: a semi join over their buckets alone, broadcast only if Spark finds the table small."""
+        uris = uris.select("URI").distinct()
+        some = [r[0] for r in uris.select(self.bucket()).distinct().collect()]  # no more than there are buckets
+        return self.read(version, some).join(uris, "URI", "left_semi")
 
     # writing
 
@@ -91,13 +106,13 @@ class Store:
             rows = rows.join(old, "URI", "left").withColumn("content", F.coalesce("content", "__content")).withColumn("format", F.coalesce("format", "__format")).drop("__content", "__format")
         if "deleted" not in rows.columns:
             rows = rows.withColumn("deleted", F.lit(False))
-        one = last_of_each(rows).withColumn("bucket", F.pmod(F.xxhash64("URI"), F.lit(self.buckets)).cast("int"))
+        one = last_of_each(rows).withColumn("bucket", self.bucket())
         out = f"{self.path}/data/commit={ident}"
         seen = f"written-{ident}"
         from pyspark.sql import Observation
 
         watch = Observation(seen)
-        one.observe(watch, F.count("*").alias("n")).repartition("bucket").write.partitionBy("bucket").parquet(out)
+        self._dealt(one.observe(watch, F.count("*").alias("n"))).write.partitionBy("bucket").parquet(out)
         written = watch.get["n"]
         if written:
             self._publish(before + 1, [*commits, {"id": ident, "rows": written}])
@@ -110,8 +125,8 @@ class Store:
         """One commit with the live rows of all, as a new version."""
         before = self.latest()
         ident = uuid.uuid4().hex
-        live = self.read(before).withColumn("deleted", F.lit(False)).withColumn("bucket", F.pmod(F.xxhash64("URI"), F.lit(self.buckets)).cast("int"))
-        live.repartition("bucket").write.partitionBy("bucket").parquet(f"{self.path}/data/commit={ident}")
+        live = self.read(before).withColumn("deleted", F.lit(False)).withColumn("bucket", self.bucket())
+        self._dealt(live).write.partitionBy("bucket").parquet(f"{self.path}/data/commit={ident}")
         self._publish(before + 1, [{"id": ident, "rows": -1}])
 
 

@@ -222,18 +222,20 @@ def property_text(text: Column, name: str) -> Column:
     return F.array_join(F.concat(as_json, as_xml), " ")
 
 
-def plain_text(text: Column) -> Column:
-    """A document's words without the names of JSON properties and XML elements."""
-    return F.regexp_replace(F.regexp_replace(text, r"<[^>]*>", " "), r'"(?:[^"\\]++|\\.)*+"\s*+:', " ")
+def plain_text(text: Column, kind: Column) -> Column:
+    """A document's words: of JSON without the names of properties, of XML without those of elements, of any other format all."""
+    kind = F.upper(F.coalesce(kind, F.lit("")))
+    names = r'(?<!\\)"(?:[^"\\]++|\\.)*+"\s*+:'
+    return F.when(kind == "JSON", F.regexp_replace(text, names, " ")).when(kind == "XML", F.regexp_replace(text, r"<[^>]*+>", " ")).otherwise(text)
 
 
-def predicate(query, text: Column, uri: Column, collections: Column, filtered: bool = True) -> Column:
+def predicate(query, text: Column, uri: Column, collections: Column, kind: Column, filtered: bool = True) -> Column:
     """The tree as a column. Unfiltered, a property's words may stand anywhere in the document, as an index without positions would say."""
-    again = lambda q: predicate(q, text, uri, collections, filtered)
+    again = lambda q: predicate(q, text, uri, collections, kind, filtered)
     if isinstance(query, Word):
         if query.within and filtered:
             return has_words(property_text(text, query.within), query.text)
-        return has_words(plain_text(text), query.text)
+        return has_words(plain_text(text, kind), query.text)
     if isinstance(query, Both):
         return reduce(lambda a, b: a & b, map(again, query.parts), F.lit(True))
     if isinstance(query, Either):
@@ -264,7 +266,7 @@ def of_options(options: Options, constraints: Constraints = Constraints()):
 
 def matching(documents: DataFrame, query, filtered: bool = True) -> DataFrame:
     """Document rows that a tree selects."""
-    return documents.filter(predicate(query, F.decode(F.coalesce("content", F.lit(b"")), "UTF-8"), F.col("URI"), F.col("collections"), filtered))
+    return documents.filter(predicate(query, F.decode(F.coalesce("content", F.lit(b"")), "UTF-8"), F.col("URI"), F.col("collections"), F.col("format"), filtered))
 
 
 def query_column(value) -> Column:
@@ -289,4 +291,4 @@ def query_column(value) -> Column:
             return In({"collectionQuery": "collection", "directoryQuery": "directory", "documentQuery": "uri"}[call.name], listed(call.args[0]))
         raise SearchError(f"{call.name} is not supported")
 
-    return predicate(tree(value), F.decode("content", "UTF-8"), F.col("URI"), F.col("collections"))
+    return predicate(tree(value), F.decode("content", "UTF-8"), F.col("URI"), F.col("collections"), F.col("format"))

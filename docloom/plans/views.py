@@ -12,20 +12,47 @@ from ..options import Options
 from . import names
 
 #: The engine type of each template column type. Any other type is a string.
-_TYPES: dict[type[T.DataType], str] = {
-    T.IntegerType: "int integer unsignedInt positiveInteger nonPositiveInteger negativeInteger nonNegativeInteger",
-    T.ShortType: "short unsignedShort",
-    T.ByteType: "byte unsignedByte",
-    T.LongType: "long unsignedLong",
-    T.FloatType: "float",
-    T.DoubleType: "double decimal",
-    T.TimestampType: "dateTime",
-    T.DateType: "date",
-    T.BooleanType: "boolean",
-    T.BinaryType: "base64Binary hexBinary",
-    T.StringType: "time gYearMonth gYear gMonth gDay gMonthDay duration yearMonthDuration dayTimeDuration string collatedString anyUri iri point longLatPoint none value unknown",
+TYPE_OF: dict[str, T.DataType] = {
+    "int": T.IntegerType(),
+    "integer": T.IntegerType(),
+    "unsignedInt": T.IntegerType(),
+    "positiveInteger": T.IntegerType(),
+    "nonPositiveInteger": T.IntegerType(),
+    "negativeInteger": T.IntegerType(),
+    "nonNegativeInteger": T.IntegerType(),
+    "short": T.ShortType(),
+    "unsignedShort": T.ShortType(),
+    "byte": T.ByteType(),
+    "unsignedByte": T.ByteType(),
+    "long": T.LongType(),
+    "unsignedLong": T.LongType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "decimal": T.DoubleType(),
+    "dateTime": T.TimestampType(),
+    "date": T.DateType(),
+    "boolean": T.BooleanType(),
+    "base64Binary": T.BinaryType(),
+    "hexBinary": T.BinaryType(),
+    "time": T.StringType(),
+    "gYearMonth": T.StringType(),
+    "gYear": T.StringType(),
+    "gMonth": T.StringType(),
+    "gDay": T.StringType(),
+    "gMonthDay": T.StringType(),
+    "duration": T.StringType(),
+    "yearMonthDuration": T.StringType(),
+    "dayTimeDuration": T.StringType(),
+    "string": T.StringType(),
+    "collatedString": T.StringType(),
+    "anyUri": T.StringType(),
+    "iri": T.StringType(),
+    "point": T.StringType(),
+    "longLatPoint": T.StringType(),
+    "none": T.StringType(),
+    "value": T.StringType(),
+    "unknown": T.StringType(),
 }
-TYPE_OF = {name: kind() for kind, listed in _TYPES.items() for name in listed.split()}
 
 
 def data_type(name: str) -> T.DataType:

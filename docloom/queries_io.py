@@ -16,14 +16,20 @@ from .streaming import streams
 _TEXT = "UTF-8"
 
 
-def folder() -> str:
-    return f"{tempfile.gettempdir()}/docloom-{uuid.uuid4().hex}"
+def folder(spark) -> str:
+    """A new folder that the driver and all executors see: below ``spark.checkpoint.dir``, or a temp folder where a local session has none."""
+    where = spark.conf.get("spark.checkpoint.dir", "")
+    if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        where = tempfile.gettempdir()
+    return f"{where.rstrip('/')}/docloom-{uuid.uuid4().hex}"
 
 
 @query("SELECT '/' || source || '/' || doc_id || '.txt' AS \"URI\", CAST(length(text) AS BIGINT) AS chars, md5(text) AS digest, lang, CAST(n_chars AS INTEGER) AS quality, 'TEXT' AS format FROM documents")
 def files_archive_round_trip(spark, sf_dir):
     """Documents with metadata into archives, one a partition, and back."""
-    path = folder()
+    path = folder(spark)
     sinks.write_files(document_rows(spark, sf_dir).repartition(4), path, {"write.files.compression": "zip"})
     back = files.read(spark, path, {"read.files.type": "archive"})
     return back.select("URI", F.length(F.decode("content", _TEXT)).cast("long").alias("chars"), F.md5("content").alias("digest"), F.col("collections")[0].alias("lang"), "quality", "format")
@@ -31,7 +37,7 @@ def files_archive_round_trip(spark, sf_dir):
 
 @query("SELECT '/' || source || '/' || doc_id || '.txt' AS \"URI\", md5(text) AS digest FROM documents")
 def files_zip_round_trip(spark, sf_dir):
-    path = folder()
+    path = folder(spark)
     bare = document_rows(spark, sf_dir).select("URI", "content", *[F.lit(None).cast(t).alias(c) for c, t in document_rows(spark, sf_dir).dtypes[2:]])
     sinks.write_files(bare.repartition(3), path, {"write.files.compression": "zip"})
     back = files.read(spark, path, {"read.files.compression": "zip"})
@@ -40,7 +46,7 @@ def files_zip_round_trip(spark, sf_dir):
 
 @query("SELECT '/n/' || n_nationkey || '.json' AS \"URI\", CAST(to_json({'n_nationkey': n_nationkey, 'n_name': n_name}) AS VARCHAR) AS doc FROM nation")
 def files_gzip_round_trip(spark, sf_dir):
-    path = folder()
+    path = folder(spark)
     docs = documents.of_rows(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), {"write.uriTemplate": "/n/{n_nationkey}.json"})
     sinks.write_files(docs, path, {"write.files.compression": "gzip"})
     back = files.read(spark, path, {"read.files.compression": "gzip", "recursiveFileLookup": "true"})
@@ -49,7 +55,7 @@ def files_gzip_round_trip(spark, sf_dir):
 
 @query("SELECT r_regionkey AS k, r_name AS name FROM region")
 def files_generic_pretty(spark, sf_dir):
-    path = folder()
+    path = folder(spark)
     docs = documents.of_rows(table(spark, sf_dir, "region").select("r_regionkey", "r_name"), {"write.uriTemplate": "/r/{r_regionkey}.json"})
     sinks.write_files(docs, path, {"write.files.prettyPrint": "true", "write.files.encoding": "UTF-16"})
     back = files.read(spark, path, {"recursiveFileLookup": "true", "read.files.encoding": "UTF-16"})
@@ -59,7 +65,7 @@ def files_generic_pretty(spark, sf_dir):
 
 @query("SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS INTEGER) AS line, o_orderkey FROM orders")
 def files_json_lines(spark, sf_dir):
-    path = folder()
+    path = folder(spark)
     o = table(spark, sf_dir, "orders").orderBy("o_orderkey").select(F.to_json(F.struct("o_orderkey", "o_orderstatus")).alias("value"))
     o.coalesce(1).write.text(path)
     back = files.read(spark, path, {"read.files.type": "json_lines"})
@@ -69,7 +75,7 @@ def files_json_lines(spark, sf_dir):
 
 @query("SELECT n_name AS \"URI\", CAST(n_nationkey AS INTEGER) AS k FROM nation")
 def files_aggregate_xml(spark, sf_dir):
-    path = folder()
+    path = folder(spark)
     n = table(spark, sf_dir, "nation").orderBy("n_nationkey")
     items = F.concat(F.lit("<n:nation><id>"), F.col("n_nationkey").cast("string"), F.lit("</id><name>"), F.col("n_name"), F.lit("</name></n:nation>"))
     whole = n.select(items.alias("x")).agg(F.concat(F.lit('<all xmlns:n="urn:n"><deep>'), F.array_join(F.collect_list("x"), ""), F.lit("</deep></all>")).alias("value"))
@@ -90,21 +96,23 @@ _RDF = {"nq": _TRIPLES, "trig": _TRIPLES, "trix": _TRIPLES, "ttl": f"SELECT subj
 for _syntax, _sql in _RDF.items():
 
     def _rdf(spark, sf_dir, syntax=_syntax):
-        path = folder()
+        path = folder(spark)
         sinks.write_rdf(_triples(spark, sf_dir).repartition(3), path, {"write.files.rdf.format": syntax, "write.files.compression": "gzip" if syntax == "nq" else ""})
         return files.read(spark, path, {"read.files.type": "rdf"}).select("subject", "predicate", "object", "datatype", "graph")
 
     query(_sql, f"rdf_{_syntax}_round_trip")(_rdf)
 
 
-@query("SELECT n_regionkey AS region, n_name AS name FROM nation WHERE n_regionkey < 3")
+@query("SELECT n_regionkey AS region, n_name AS name FROM nation")
 def custom_code_partitions(spark, sf_dir):
     """Custom code, once for each region; here it is given its rows as variables."""
     import json
 
     rows = table(spark, sf_dir, "nation").select("n_regionkey", "n_name").collect()  # 25 rows by the table's definition
-    given = {str(k): [r["n_name"] for r in rows if r["n_regionkey"] == k] for k in range(3)}
-    custom.register_reader("docloom.regions", lambda _vars: ["0", "1", "2"])
+    given: dict[str, list[str]] = {}
+    for r in rows:
+        given.setdefault(str(r["n_regionkey"]), []).append(r["n_name"])
+    custom.register_reader("docloom.regions", lambda v: sorted(json.loads(v["names"])))
     custom.register_reader("docloom.names", lambda v: [{"region": int(v["PARTITION"]), "name": n} for n in json.loads(v["names"])[v["PARTITION"]]])
     schema = "region int, name string"
     from pyspark.sql.types import StructType
@@ -115,7 +123,7 @@ def custom_code_partitions(spark, sf_dir):
 @query("SELECT n_nationkey, n_name FROM nation")
 def stream_of_view(spark, sf_dir):
     """A view's rows through a stream, a bucket a micro-batch, into files."""
-    out, check = folder(), folder()
+    out, check = folder(spark), folder(spark)
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     q = streams.stream_view(spark, n, ["n_nationkey"], partitions=3).writeStream.format("parquet").option("path", out).option("checkpointLocation", check).start()
     try:
@@ -135,7 +143,7 @@ def stream_into_store(spark, sf_dir):
 
 def orders_streamed(spark, sf_dir):
     """The store that a file stream of all orders was written to."""
-    src, base, check = folder(), folder(), folder()
+    src, base, check = folder(spark), folder(spark), folder(spark)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     o.repartition(2).write.parquet(src)
     engine = Engine(spark, base)
@@ -150,7 +158,7 @@ def orders_streamed(spark, sf_dir):
 @query("SELECT '/' || source || '/' || doc_id || '.txt' AS \"URI\", CAST(CASE WHEN lang = 'fr' THEN 2 ELSE 1 END AS INTEGER) AS version, CAST(length(text) AS BIGINT) AS chars FROM documents WHERE lang <> 'es'")
 def store_upsert_and_delete(spark, sf_dir):
     """All documents, then new metadata for some of them alone, then others deleted: the newest of each is read, with its content."""
-    engine = Engine(spark, folder())
+    engine = Engine(spark, folder(spark))
     docs = document_rows(spark, sf_dir)
     engine.store.write(docs.withColumn("quality", F.lit(1)))
     french = docs.filter("collections[0] = 'fr'").withColumn("quality", F.lit(2)).withColumn("content", F.lit(None).cast("binary"))
@@ -161,7 +169,7 @@ def store_upsert_and_delete(spark, sf_dir):
 
 @query(f"SELECT '/' || source || '/' || doc_id || '.txt' AS \"URI\" FROM documents WHERE lang = 'de' AND contains(' ' || array_to_string({_WORDS}, ' ') || ' ', ' licensed under ')")
 def store_search(spark, sf_dir):
-    engine = Engine(spark, folder())
+    engine = Engine(spark, folder(spark))
     engine.store.write(document_rows(spark, sf_dir))
     return engine.read({"read.documents.collections": "de", "read.documents.stringQuery": '"licensed under"'}).select("URI")
 
@@ -169,7 +177,7 @@ def store_search(spark, sf_dir):
 @query("SELECT CAST(count(*) FILTER (doc_id % 4 <> 0) AS BIGINT) AS success, CAST(count(*) FILTER (doc_id % 4 = 0) AS BIGINT) AS failed, CAST(0 AS BIGINT) AS skipped FROM documents")
 def write_failure_counts(spark, sf_dir):
     """A quarter of the documents is invalid JSON: it is counted and put into an archive, the rest is written."""
-    base, bad = folder(), folder()
+    base, bad = folder(spark), folder(spark)
     d = table(spark, sf_dir, "documents")
     text = F.when(F.col("doc_id") % 4 == 0, F.lit("{not json")).otherwise(F.to_json(F.struct("doc_id", "lang")))
     docs = documents.blank(d.select(F.concat(F.lit("/"), F.col("doc_id").cast("string"), F.lit(".json")).alias("URI"), F.encode(text, _TEXT).alias("content"), F.lit("JSON").alias("format")))
@@ -181,7 +189,7 @@ def write_failure_counts(spark, sf_dir):
 @query("SELECT CAST(count(*) AS BIGINT) AS n FROM customer")
 def custom_code_sink(spark, sf_dir):
     """Rows to custom code in batches; what it was called with is read back."""
-    out = folder()
+    out = folder(spark)
     import os
 
     os.makedirs(out)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import codecs
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -79,10 +79,10 @@ def row_reader(options: Options):
                 content = readers.gzip.decompress(content)
             yield from (readers.zipped_aggregate_xml if squeezed == "zip" else readers.aggregate_xml)(path, content, **xml)
         elif squeezed == "zip":
-            for name, data in readers.zip_entries(content):
-                yield from rdf.parse(name, data)
+            for n, (name, data) in enumerate(readers.zip_entries(content)):
+                yield from rdf.parse(name, data, rdf.scope_of(path, f"{n} {name}"))
         else:
-            yield from rdf.parse(path, content)
+            yield from rdf.parse(path, content, rdf.scope_of(path))
 
     return run, tolerant
 
@@ -103,11 +103,44 @@ def read(spark: SparkSession, paths: str | list[str], options: Options | dict |
     if kind(options) == "generic" and not options.has("read.files.encoding"):
         rows = files.select(F.col("path").alias("URI"), "content", *[F.lit(None).cast(f.dataType).alias(f.name) for f in DOCUMENT.fields[2:]])
         return rows.repartition(parts) if parts else rows
+    if kind(options) == "json_lines" and not options.has("read.files.encoding"):
+        rows = json_lines(spark, paths, options)
+        return rows.repartition(parts) if parts else rows
     if parts:
-        files = files.repartition(parts, "path")
+        files = files.repartition(parts)  # dealt in turn, so no partition is empty while another has two files more
     return expanded(files.select("path", "content"), options, schema)
 
 
+def json_lines(spark: SparkSession, paths: str | list[str], options: Options) -> DataFrame:
+    """A document for each line that isn't blank, as it stands, numbered from 1 in its file. A large file is read by many tasks.
+
+    Lines are numbered inside each block that a task reads of a file; what the blocks before have is added, from a table with a row a block.
+    """
+    reader = spark.read.format("text")
+    for name in PASSED:
+        if options.has(name):
+            reader = reader.option(name, options.text(name))
+    lines = reader.load(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
+
+    def run(batches):
+        seen: dict[tuple[str, int], int] = {}
+        for batch in batches:
+            out = []
+            for key in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                seen[key] = n = seen.get(key, 0) + 1
+                out.append(n)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], names=["value", "path", "block", "nth"])
+
+    numbered = lines.mapInArrow(run, "value string, path string, block long, nth long")
+    blocks = numbered.groupBy("path", "block").agg(F.max("nth").alias("lines"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = blocks.select("path", "block", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("shift"))
+    found = numbered.filter(F.trim("value") != "").join(shift, ["path", "block"])
+    uri = F.concat("path", F.lit("-"), (F.col("shift") + F.col("nth")).cast("string"), F.lit(".json"))
+    rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in DOCUMENT.fields[3:]]
+    return found.select(uri.alias("URI"), F.encode("value", "UTF-8").alias("content"), F.lit("JSON").alias("format"), *rest)
+
+
 def expanded(files: DataFrame, options: Options, schema) -> DataFrame:
     run, tolerant = row_reader(options)
     arrow = to_arrow_schema(schema)
@@ -146,5 +179,10 @@ def late(rows: DataFrame, options: Options | dict | None = None) -> DataFrame:
     """The documents of rows that ``streamFiles`` left without content, read now: a zip's row becomes a row for each entry."""
     options = Options.of(options)
     spark = rows.sparkSession
-    names = [r["URI"] for r in rows.select("URI").toLocalIterator()]
-    return expanded(listed(spark, names, options).select("path", "content"), options, DOCUMENT) if names else spark.createDataFrame([], DOCUMENT)
+    uris = rows.select(F.col("URI").alias("path")).distinct()
+    folder = F.regexp_replace("path", r"[^/]*$", "")
+    folders = [r[0] for r in uris.select(folder.alias("f")).distinct().toLocalIterator()]  # one a folder, however many files it has
+    if not folders:
+        return spark.createDataFrame([], DOCUMENT)
+    files = listed(spark, folders, options).join(uris, "path", "left_semi")
+    return expanded(files.select("path", "content"), options, DOCUMENT)

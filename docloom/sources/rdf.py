@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import hashlib
 import json
 import re
 import xml.etree.ElementTree as ET
@@ -47,11 +48,13 @@ class Literal(NamedTuple):
 Term = Iri | Blank | Literal
 
 
-def row(s: Term, p: Term, o: Term, g: Term | None, quads: bool) -> dict:
-    """A triple as a row: a literal's language makes its datatype langString, none makes it xsd:string; IRIs and blank nodes have no datatype."""
+def row(s: Term, p: Term, o: Term, g: Term | None, quads: bool, scope: str = "") -> dict:
+    """A triple as a row: a literal's language makes its datatype langString, none makes it xsd:string; IRIs and blank nodes have no datatype.
+
+    A blank node's label holds in one file alone, so ``scope``, which names the file, goes before it."""
 
     def name(t: Term) -> str:
-        return BLANK + t.label if isinstance(t, Blank) else t.value
+        return BLANK + scope + t.label if isinstance(t, Blank) else t.value
 
     datatype = lang = None
     if isinstance(o, Literal):
@@ -68,13 +71,18 @@ def syntax_of(name: str) -> tuple[str, bool]:
     return (QUADS[ext], True) if ext in QUADS else (TRIPLES.get(ext, "turtle"), False)
 
 
-def parse(name: str, content: bytes) -> Iterator[dict]:
+def scope_of(path: str, entry: str = "") -> str:
+    """What tells the blank nodes of one file, or of one entry of a zip, from those of others."""
+    return "f" + hashlib.sha256(f"{path}\n{entry}".encode("utf-8", "surrogateescape")).hexdigest()[:16] + "-"
+
+
+def parse(name: str, content: bytes, scope: str = "") -> Iterator[dict]:
     if content[:2] == b"\x1f\x8b":
         content = gzip.decompress(content)
     syntax, quads = syntax_of(name)
     reader = {"ntriples": _lines, "nquads": _lines, "turtle": _turtle, "trig": _turtle, "rdfxml": _rdfxml, "rdfjson": _rdfjson, "trix": _trix}[syntax]
     for s, p, o, g in reader(content):
-        yield row(s, p, o, g, quads)
+        yield row(s, p, o, g, quads, scope)
 
 
 _ESCAPES = {"t": "\t", "n": "\n", "r": "\r", "b": "\b", "f": "\f", '"': '"', "'": "'", "\\": "\\"}

@@ -12,6 +12,8 @@ import re
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
+from xml.parsers import expat
+from xml.sax.saxutils import quoteattr
 
 from ..functions.metadata import from_xml, local
 
@@ -151,35 +153,73 @@ def json_lines(path: str, content: bytes, encoding: str | None = None) -> Iterat
 def aggregate_xml(
     path: str, content: bytes, element: str, namespace: str | None = None, uri_element: str | None = None, uri_namespace: str | None = None, encoding: str | None = None, tolerant: bool = False, prefix: str | None = None
 ) -> Iterator[dict]:
-    """A document for each element of a name, at any depth but not inside another such one. Its URI is the text of the first
+    """A document for each element of a name, as its bytes stand, at any depth but not inside another such one. Its URI is the text of the first
     ``uri_element`` inside it, or the path and a number from 1."""
-    wanted = f"{{{namespace}}}{element}" if namespace else element
+    wanted = f"{namespace}\n{element}" if namespace else element
     uri_tag = (f"{{{uri_namespace}}}{uri_element}" if uri_namespace else uri_element) if uri_element else None
-    n, depth = 0, 0
+    content = decoded(content, encoding)
+    found: list[tuple[int, int, dict[str, str]]] = []  # where each element begins and ends, and the prefixes that hold there
+    scopes: list[dict[str, str]] = [{}]
+    fresh: dict[str, str] = {}
+    begin, depth, source = 0, 0, "utf-8"
+    parser = expat.ParserCreate(namespace_separator="\n")
+    parser.buffer_text = True
+
+    def declared(_version, encoding_, _standalone):
+        nonlocal source
+        source = encoding_ or source
+
+    def opened(name, _attributes):
+        nonlocal begin, depth
+        scopes.append(scopes[-1] | fresh if fresh else scopes[-1])
+        fresh.clear()
+        if name == wanted:
+            if not depth:
+                begin = parser.CurrentByteIndex
+            depth += 1
+
+    def closed(name):
+        nonlocal depth
+        here = scopes.pop()
+        if name == wanted:
+            depth -= 1
+            if not depth:
+                at = parser.CurrentByteIndex
+                found.append((begin, content.index(b">", at) + 1 if content.startswith(b"</", at) else at, here))
+
+    parser.XmlDeclHandler, parser.StartElementHandler, parser.EndElementHandler = declared, opened, closed
+    parser.StartNamespaceDeclHandler = lambda p, u: fresh.__setitem__(p or "", u or "")
+    problem = None
     try:
-        for event, e in ET.iterparse(io.BytesIO(decoded(content, encoding)), events=("start", "end")):
-            if e.tag != wanted:
-                continue
-            depth += 1 if event == "start" else -1
-            if event == "start" or depth:
-                continue
-            n += 1
-            uri = f"{prefix or path}-{n}.xml"
-            if uri_tag:
-                found = next(e.iter(uri_tag), None)
-                if found is None:
-                    if tolerant:
-                        e.clear()
-                        continue
-                    raise ReadError(f"No occurrence of URI element {uri_element} found in aggregate element {n} in file {path}")
-                uri = "".join(found.itertext())
-            tail, e.tail = e.tail, None
-            yield {"URI": uri, "content": ET.tostring(e, encoding="utf-8"), "format": "XML"}
-            e.clear()
-            e.tail = tail
-    except ET.ParseError as problem:
-        if not tolerant:
-            raise ReadError(f"Unable to read XML from {path}: {problem}") from problem
+        parser.Parse(content, True)
+    except expat.ExpatError as e:
+        problem = e
+    for n, (a, b, scope) in enumerate(found, 1):
+        text = content[a:b].decode(source).encode()
+        uri = f"{prefix or path}-{n}.xml"
+        if uri_tag:
+            inner = next(ET.fromstring(_standing(text, scope)).iter(uri_tag), None)
+            if inner is None:
+                if tolerant:
+                    continue
+                raise ReadError(f"No occurrence of URI element {uri_element} found in aggregate element {n} in file {path}")
+            uri = "".join(inner.itertext())
+        yield {"URI": uri, "content": _standing(text, scope), "format": "XML"}
+    if problem is not None and not tolerant:
+        raise ReadError(f"Unable to read XML from {path}: {problem}") from problem
+
+
+def _standing(element: bytes, scope: dict[str, str]) -> bytes:
+    """The element as it stands in its file, with the prefixes declared that it uses and only elements around it declare."""
+    head = re.match(rb"<[^\s/>]+", element)
+    tag = re.match(rb"""<(?:[^"'>]|"[^"]*"|'[^']*')*>""", element)[0]
+    missing = b""
+    for name, uri in scope.items():
+        key = b"xmlns:" + name.encode() if name else b"xmlns"
+        used = re.search(rb"[</\s]" + name.encode() + b":", element) if name else uri
+        if used and name != "xml" and not re.search(rb"\s" + re.escape(key) + rb"\s*=", tag):
+            missing += b" " + key + b"=" + quoteattr(uri).encode()
+    return element[: head.end()] + missing + element[head.end() :]
 
 
 def zipped_aggregate_xml(path: str, content: bytes, **options) -> Iterator[dict]:
