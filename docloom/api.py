@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 
 from .operators import documents, sinks, store, triples
 from .options import OptionError, Options
-from .plans import dsl, views
+from .plans import dsl, filters, views
 from .schemas import kind_of
 from .sources import custom, files
 
@@ -18,8 +18,9 @@ class Engine:
         self.views = views.Views(spark)
         self.store = store.Store(spark, store_path) if store_path else None
 
-    def read(self, options: Options | dict | None = None, paths: str | list[str] | None = None, schema: StructType | None = None, **params) -> DataFrame:
-        """The rows that the options ask for. ``params`` rebinds parameters of a row query."""
+    def read(self, options: Options | dict | None = None, paths: str | list[str] | None = None, schema: StructType | None = None, where: list | None = None, **params) -> DataFrame:
+        """The rows that the options ask for. ``params`` rebinds parameters of a row query, as does an equality on a parameter's column in ``where``, a list of
+        filters as in ``plans.filters``; its other filters select rows."""
         options = Options.of(options)
         if paths:
             return files.read(self.spark, paths, options)
@@ -29,9 +30,13 @@ class Engine:
             return triples.rows(self._documents().search(self._as_documents(options)), options)
         if query := options.text("read.query"):
             given = views.params_of(options)
-            given = {k: (params.get(k, v), t) for k, (v, t) in given.items()}
+            wanted = {f[1]: f[2] for f in where or () if f[0] == "eq" and f[1] in given}
+            given = {k: (params.get(k, wanted.get(k, v)), t) for k, (v, t) in given.items()}
             df = dsl.Builder(self.views, self.store, {k: v for k, (v, _) in given.items()}).frame(query)
             df = views.bound(df, given)
+            for f in where or ():
+                if f[0] != "eq" or f[1] not in given:
+                    df = df.filter(filters.column(f))
             return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema]) if schema else df
         if options.has("read.invoke", "read.file"):
             return custom.read(self.spark, options, schema)

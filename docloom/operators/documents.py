@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Callable
 
 import pandas as pd
@@ -13,8 +14,11 @@ from ..functions import metadata as meta
 from ..functions import uris
 from ..options import OptionError, Options
 from ..schemas import DOCUMENT, kind_of
+from ..shared import kept
 from . import triples
 
+log = logging.getLogger(__name__)
+
 HASH_KEY = "incrementalWriteHash"
 
 
@@ -203,6 +207,8 @@ def write(df: DataFrame, store, options: Options | dict | None = None, enrich: C
     if enrich:
         docs = enrich(docs)
     checked = docs.withColumn("__problem", problem())
+    if enrich or options.flag("write.incremental"):
+        checked = kept(checked, "checked")  # used up to three times below; models and services are called once
     bad = checked.filter("__problem is not null")
     failed = bad.count()
     if failed and options.flag("write.abortOnFailure", True):
@@ -217,10 +223,30 @@ def write(df: DataFrame, store, options: Options | dict | None = None, enrich: C
     if options.flag("write.incremental"):
         good, same = changed(good, store.read(), options)
         skipped = same.count()
+        if skipped and options.flag("write.logSkippedDocuments"):
+            log.info("skipped %d documents that have not changed", skipped)
+    if every := options.number("write.logProgress", 0, 0):
+        good = progressing(good, every, "documents written")
     done = store.write(good, merge_metadata=True)
     return {"success": done["success"], "failed": failed, "skipped": skipped}
 
 
+def progressing(rows: DataFrame, every: int, what: str) -> DataFrame:
+    """``rows`` as they are; each task logs how many it has handed on, every so many rows."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        n = 0
+        for batch in batches:
+            before, n = n, n + batch.num_rows
+            if before // every < n // every:
+                log.info("task %d: %d %s", TaskContext.get().partitionId(), n // every * every, what)
+            yield batch
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def bitemporal(versions: DataFrame, key: str, valid: str, system: str) -> DataFrame:
     """Versions of a key with half-open intervals: valid_from, valid_to and system_from, system_to, the open ends null."""
     from pyspark.sql import Window

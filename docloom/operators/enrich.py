@@ -7,6 +7,7 @@ import html
 import importlib
 import importlib.util
 import json
+import logging
 import re
 import struct
 import time
@@ -18,10 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import metadata as meta
+from ..functions.metadata import local
 from ..functions.pointers import joined_pointers, xpath_text
 from ..functions.uris import file_name
 from ..options import OptionError, Options
 from ..schemas import DOCUMENT
+from ..shared import kept
+
+log = logging.getLogger(__name__)
 
 CHUNK_NS = "http://docloom.dev/chunks"
 
@@ -150,13 +155,14 @@ def split_on(text: Column, pattern: str, size: int, join: str = " ") -> Column:
     parts = F.filter(F.split(text, pattern, -1), lambda p: F.trim(p) != "")
     fits = F.transform(parts, lambda p: F.when(F.length(p) > size, F.raise_error(F.lit(f"The text segment is longer than {size} characters and doesn't fit into a chunk"))).otherwise(p))
 
-    def step(acc: Column, p: Column) -> Column:
-        last = F.element_at(acc, -1)
-        joined = F.concat(last, F.lit(join), p)
-        grown = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(joined))
-        return F.when(F.size(acc) == 0, F.array(p)).when(F.length(F.try_element_at(acc, F.lit(-1))) + len(join) + F.length(p) <= size, grown).otherwise(F.concat(acc, F.array(p)))
+    def step(acc: Column, p: Column) -> Column:  # the closed pieces are copied when one more closes, not for each part
+        room = acc["open"].isNull() | (F.length(acc["open"]) + len(join) + F.length(p) <= size)
+        closed = F.when(room, acc["closed"]).otherwise(F.concat(acc["closed"], F.array(acc["open"])))
+        grown = F.when(acc["open"].isNull() | ~room, p).otherwise(F.concat(acc["open"], F.lit(join), p))
+        return F.struct(closed.alias("closed"), grown.alias("open"))
 
-    return F.aggregate(fits, F.array().cast("array<string>"), step)
+    start = F.struct(F.array().cast("array<string>").alias("closed"), F.lit(None).cast("string").alias("open"))
+    return F.aggregate(fits, start, step, lambda a: F.when(a["open"].isNull(), a["closed"]).otherwise(F.concat(a["closed"], F.array(a["open"]))))
 
 
 def splitter(options: Options) -> Callable[[Column], Column] | None:
@@ -405,6 +411,8 @@ def pipeline(docs: DataFrame, options: Options | dict | None = None, classifier=
         docs = classified(docs, classifier, options.number("write.classifier.batchSize", 20, 1))
     if service is None and (model is not None or options.has("write.embedder.modelFunction.className")):
         docs = embedded(docs, options, model)
+    if classifier is not None or model is not None or service is not None:
+        docs = kept(docs, "enriched")  # both branches below use it, and what is called, or paid for, is called once
     most = options.number("write.splitter.sidecar.maxChunks", 1, 0)
     base = inlined(docs, options) if most == 0 or not options.family("write.splitter.") else docs
     if "classification" in base.columns:
@@ -417,13 +425,60 @@ def pipeline(docs: DataFrame, options: Options | dict | None = None, classifier=
 
 
 def with_classification(docs: DataFrame) -> DataFrame:
-    """The whole text's classification put into JSON documents; other formats stay as they are."""
+    """The whole text's classification put into JSON and XML documents; documents of other formats stay as they are, with a warning.
+
+    An XML answer becomes an object in JSON and elements in XML, any other answer a text. A JSON document that is no object stays as it is.
+    """
 
     @F.pandas_udf("binary")
-    def put(content: pd.Series, answer: pd.Series) -> pd.Series:
-        return pd.Series([c if a is None or c is None else json.dumps(json.loads(bytes(c)) | {"classification": bytes(a).decode()}, ensure_ascii=False).encode() for c, a in zip(content, answer, strict=True)], dtype=object)
+    def put(content: pd.Series, kind: pd.Series, answer: pd.Series) -> pd.Series:
+        def one(c, k, a):
+            if a is None or c is None:
+                return c
+            if k not in ("JSON", "XML"):
+                log.warning("no classification in a document of format %s", k)
+                return c
+            answered = xml_of(bytes(a))
+            if k == "JSON":
+                value = json.loads(bytes(c))
+                if not isinstance(value, dict):
+                    return c
+                told = bytes(a).decode() if answered is None else {local(answered): as_json(answered)}
+                return json.dumps(value | {"classification": told}, ensure_ascii=False).encode()
+            root = ET.fromstring(bytes(c))
+            e = ET.SubElement(root, "classification")
+            if answered is None:
+                e.text = bytes(a).decode()
+            else:
+                e.append(answered)
+            return ET.tostring(root)
+
+        return pd.Series([one(*x) for x in zip(content, kind, answer, strict=True)], dtype=object)
 
-    return docs.withColumn("content", F.when(F.col("format") == "JSON", put("content", "classification")).otherwise(F.col("content")))
+    return docs.withColumn("content", put("content", "format", "classification"))
+
+
+def xml_of(content: bytes) -> ET.Element | None:
+    """The root element, or None for what is no XML."""
+    try:
+        return ET.fromstring(content) if content.lstrip()[:1] == b"<" else None
+    except ET.ParseError:
+        return None
+
+
+def as_json(e: ET.Element):
+    """An element as JSON: its attributes and children by name, children of one name as a list, its text alone or as ``content`` beside them."""
+    out: dict = {k.rpartition("}")[2]: v for k, v in e.attrib.items()}
+    for child in e:
+        name, value = local(child), as_json(child)
+        if name in out:
+            out[name] = [*out[name], value] if isinstance(out[name], list) else [out[name], value]
+        else:
+            out[name] = value
+    text = " ".join(" ".join([e.text or "", *[c.tail or "" for c in e]]).split())
+    if not out:
+        return text
+    return out | {"content": text} if text else out
 
 
 class Service:

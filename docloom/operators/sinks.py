@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gzip
-import io
 import json
 import logging
 import os
@@ -12,7 +11,9 @@ import uuid
 import xml.dom.minidom
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
+from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,11 @@ def pretty(content: bytes, name: str) -> bytes:
     return content
 
 
+def _job() -> str:
+    """What names the files of one write: the time it began and a random part, both settled on the driver."""
+    return f"{datetime.now(timezone.utc):%Y%m%d%H%M%SZ}-{uuid.uuid4().hex[:8]}"
+
+
 class _Folder:
     """Writes under a folder that each executor can reach by a path (a shared or local file system)."""
 
@@ -53,14 +59,24 @@ class _Folder:
 
     def put(self, name: str, content: bytes) -> None:
         """A file that appears whole: written beside its place, then renamed, so a task that runs again replaces it."""
+        with self.opened(name) as f:
+            f.write(content)
+
+    @contextmanager
+    def opened(self, name: str):
+        """A file to write to piece by piece, which takes its place when it is closed and is dropped if the work fails."""
         target = os.path.normpath(os.path.join(self.path, name.lstrip("/")))
         if not target.startswith(os.path.normpath(self.path) + os.sep):
             raise OptionError(f"{name} leaves the folder that is written to")
         os.makedirs(os.path.dirname(target), exist_ok=True)
         draft = f"{target}.{uuid.uuid4().hex}.part"
-        with open(draft, "wb") as f:
-            f.write(content)
-        os.replace(draft, target)
+        try:
+            with open(draft, "wb") as f:
+                yield f
+            os.replace(draft, target)
+        finally:
+            if os.path.exists(draft):
+                os.remove(draft)
 
 
 def _by_partition(rows: DataFrame, work: Callable[[Iterator[dict]], tuple[int, int]]) -> tuple[int, int]:
@@ -101,29 +117,31 @@ def write_files(docs: DataFrame, path: str, options: Options | dict | None = Non
         content = pretty(content, r["URI"]) if indent else content
         return content.decode().encode(encoding) if encoding else content
 
+    job = _job()  # the same for a task that runs again, whose file then takes the place of the first
+
     def write(found: Iterator[dict]) -> tuple[int, int]:
         from pyspark import TaskContext
 
-        n, z, buffer = 0, None, io.BytesIO()
-        for r in found:
-            if squeezed != "zip":
+        n = 0
+        if squeezed != "zip":
+            for r in found:
                 if r["content"] is not None:
                     content = shown(r)
                     folder.put(r["__path"] + (".gz" if squeezed else ""), gzip.compress(content, mtime=0) if squeezed else content)
                     n += 1
-                continue
-            if z is None:
-                z = zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED)
-            if any(r[m] is not None for m in METADATA):
-                z.writestr(r["__entry"], metadata.to_xml(r))
-            if r["content"] is not None:
-                z.writestr(r["URI"], shown(r))
-            n += 1
-            if n == warn:
-                log.warning("a zip has %d entries or more; more partitions make smaller ones", n)
-        if z is not None:
-            z.close()
-            folder.put(f"{datetime.now(timezone.utc):%Y%m%d%H%M%SZ}-{TaskContext.get().partitionId()}.zip", buffer.getvalue())
+            return n, 0
+        first = next(found, None)
+        if first is None:
+            return 0, 0
+        with folder.opened(f"{job}-{TaskContext.get().partitionId()}.zip") as f, zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as z:
+            for r in chain((first,), found):
+                if any(r[m] is not None for m in METADATA):
+                    z.writestr(r["__entry"], metadata.to_xml(r))
+                if r["content"] is not None:
+                    z.writestr(r["URI"], shown(r))
+                n += 1
+                if n == warn:
+                    log.warning("a zip has %d entries or more; more partitions make smaller ones", n)
         return n, 0
 
     return _by_partition(rows, write)[0]
@@ -141,6 +159,7 @@ def write_rdf(rows: DataFrame, path: str, options: Options | dict | None = None)
         raise OptionError("RDF files can only be compressed by gzip.")
     serialized([], syntax)
     folder = _Folder(path)
+    job = _job()
 
     def write(found: Iterator[dict]) -> tuple[int, int]:
         from pyspark import TaskContext
@@ -148,7 +167,7 @@ def write_rdf(rows: DataFrame, path: str, options: Options | dict | None = None)
         kept = list(found)
         if kept:
             content = serialized(kept, syntax, graph)
-            name = f"{datetime.now(timezone.utc):%Y%m%d%H%M%SZ}-{TaskContext.get().partitionId()}.{syntax}"
+            name = f"{job}-{TaskContext.get().partitionId()}.{syntax}"
             folder.put(name + (".gz" if squeezed else ""), gzip.compress(content, mtime=0) if squeezed else content)
         return len(kept), 0
 

@@ -16,6 +16,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import uris
 from ..options import Options
 
 
@@ -224,7 +225,7 @@ def property_text(text: Column, name: str) -> Column:
 
 def plain_text(text: Column, kind: Column) -> Column:
     """A document's words: of JSON without the names of properties, of XML without those of elements, of any other format all."""
-    kind = F.upper(F.coalesce(kind, F.lit("")))
+    kind = F.upper(kind)
     names = r'(?<!\\)"(?:[^"\\]++|\\.)*+"\s*+:'
     return F.when(kind == "JSON", F.regexp_replace(text, names, " ")).when(kind == "XML", F.regexp_replace(text, r"<[^>]*+>", " ")).otherwise(text)
 
@@ -235,7 +236,7 @@ def predicate(query, text: Column, uri: Column, collections: Column, kind: Colum
     if isinstance(query, Word):
         if query.within and filtered:
             return has_words(property_text(text, query.within), query.text)
-        return has_words(plain_text(text, kind), query.text)
+        return has_words(plain_text(text, uris.format_of(uri, kind)), query.text)
     if isinstance(query, Both):
         return reduce(lambda a, b: a & b, map(again, query.parts), F.lit(True))
     if isinstance(query, Either):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 from .api import Engine
 from .operators import documents, enrich, sinks, triples
 from .queries import _WORDS, XSD, document_rows, query, table
+from .shared import shared_dir
 from .sources import custom, files
 from .streaming import streams
 
@@ -17,13 +17,8 @@ _TEXT = "UTF-8"
 
 
 def folder(spark) -> str:
-    """A new folder that the driver and all executors see: below ``spark.checkpoint.dir``, or a temp folder where a local session has none."""
-    where = spark.conf.get("spark.checkpoint.dir", "")
-    if not where:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        where = tempfile.gettempdir()
-    return f"{where.rstrip('/')}/docloom-{uuid.uuid4().hex}"
+    """A new folder that the driver and all executors see."""
+    return f"{shared_dir(spark)}/docloom-{uuid.uuid4().hex}"
 
 
 @query("SELECT '/' || source || '/' || doc_id || '.txt' AS \"URI\", CAST(length(text) AS BIGINT) AS chars, md5(text) AS digest, lang, CAST(n_chars AS INTEGER) AS quality, 'TEXT' AS format FROM documents")

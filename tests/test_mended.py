@@ -114,3 +114,94 @@ def test_a_lookup_reads_its_buckets_alone_and_the_last_commit_wins(spark, tmp_pa
     assert store.read(1).count() == 40
     store.compact()
     assert {r["URI"]: bytes(r["content"]).decode() for r in store.read().collect()} == want
+
+
+def test_what_is_paid_for_is_called_once(spark, tmp_path):
+    from docloom.operators import documents, enrich
+
+    calls = tmp_path / "calls"
+
+    def classifier(texts):
+        with open(calls, "a") as f:
+            f.write("x" * len(texts))
+        return [b"<topic><name>sea</name></topic>"] * len(texts)
+
+    rows = docs(spark, [("/1.json", '{"t": "one"}', "JSON"), ("/2.xml", "<a><b>two</b></a>", "XML"), ("/3.txt", "three", "TEXT")])
+    store = Store(spark, f"file://{tmp_path}/s")
+    done = documents.write(rows, store, {"write.abortOnFailure": "false", "write.incremental": "true"}, enrich=lambda d: enrich.pipeline(d, {}, classifier=classifier))
+    assert done == {"success": 3, "failed": 0, "skipped": 0} and calls.read_text() == "xxx"
+    got = {r["URI"]: bytes(r["content"]).decode() for r in store.read().collect()}
+    assert got == {"/1.json": '{"t": "one", "classification": {"topic": {"name": "sea"}}}', "/2.xml": "<a><b>two</b><classification><topic><name>sea</name></topic></classification></a>", "/3.txt": "three"}
+
+
+def test_xml_answers_as_json():
+    from docloom.operators.enrich import as_json, xml_of
+
+    assert as_json(xml_of(b'<r a="1"><x>u</x><x>v</x><y b="2">w</y><z/></r>')) == {"a": "1", "x": ["u", "v"], "y": {"b": "2", "content": "w"}, "z": ""}
+    assert xml_of(b"plain") is None and xml_of(b"<broken") is None
+
+
+def test_an_equality_on_a_parameter_binds_it_anew(spark):
+    from docloom.api import Engine
+
+    engine = Engine(spark)
+    engine.views.register("t", "n", spark.range(10).selectExpr("id", "id % 3 AS k"))
+    asked = {"read.query": "op.fromView('t','n','').where(op.eq(op.col('k'), op.param('want')))", "read.param.want": "1", "read.param.type.want": "int"}
+    assert {r["id"] for r in engine.read(asked).collect()} == {1, 4, 7}
+    got = engine.read(asked, where=[("eq", "want", 2), ("gt", "id", 2)]).collect()
+    assert {(r["id"], r["want"]) for r in got} == {(5, 2), (8, 2)}
+
+
+def test_a_task_that_runs_again_leaves_one_file(spark, tmp_path):
+    from docloom.operators import sinks
+
+    rows = docs(spark, [(f"/{k}.txt", f"t{k}", "TEXT") for k in range(20)]).repartition(3)
+    assert sinks.write_files(rows, str(tmp_path / "z"), {"write.files.compression": "zip"}) == 20
+    names = sorted(p.name for p in (tmp_path / "z").iterdir())
+    assert len(names) == 3 and len({n.rpartition("-")[0] for n in names}) == 1 and all(n.endswith(".zip") for n in names)
+    folder = sinks._Folder(str(tmp_path / "y"))
+    for text in (b"first", b"again"):
+        with folder.opened("a.zip") as f:
+            f.write(text)
+    try:
+        with folder.opened("b.zip") as f:
+            f.write(b"half")
+            raise ValueError
+    except ValueError:
+        pass
+    assert [(p.name, p.read_bytes()) for p in (tmp_path / "y").iterdir()] == [("a.zip", b"again")]
+
+
+def test_pieces_close_when_full(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from docloom.operators.enrich import split_on
+
+    rng = random.Random(2)
+    texts = [" ".join("w" * rng.randint(1, 12) for _ in range(rng.randint(0, 60))) for _ in range(60)]
+
+    def plain(text, size):
+        out = []
+        for w in text.split():
+            if out and len(out[-1]) + 1 + len(w) <= size:
+                out[-1] += " " + w
+            else:
+                out.append(w)
+        return out
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", split_on(F.col("t"), r"\s+", 40).alias("p"))
+    assert all(r["p"] == plain(r["t"], 40) for r in df.collect())
+
+
+def test_progress_and_skipped_documents_are_logged(spark, tmp_path, caplog):
+    from docloom.operators import documents
+
+    store = Store(spark, f"file://{tmp_path}/s")
+    rows = docs(spark, [(f"/{k}.txt", f"t{k}", "TEXT") for k in range(5)])
+    o = {"write.incremental": "true", "write.logSkippedDocuments": "true", "write.logProgress": "2"}
+    assert documents.write(rows, store, o)["success"] == 5
+    with caplog.at_level("INFO", logger="docloom.operators.documents"):
+        assert documents.write(rows, store, o) == {"success": 0, "failed": 0, "skipped": 5}
+    assert "skipped 5 documents" in caplog.text

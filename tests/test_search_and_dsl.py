@@ -7,10 +7,10 @@ from docloom.plans.views import TYPE_OF, View, ViewColumn, Views, data_type
 from docloom.schemas import DOCUMENT
 
 DOCS = [
-    ("/a/1.json", b'{"FirstName": "Wooler", "LastName": "Humbee", "n": 1, "day": "2020-01-02", "raw": "aGk="}', ["author", "x"]),
-    ("/a/2.json", b'{"FirstName": "Vivianne", "LastName": "Woolford", "n": "bad"}', ["author"]),
-    ("/b/3.xml", b"<doc><FirstName>Wool</FirstName><note>apache license</note></doc>", ["other"]),
-    ("/b/4.txt", b"plain text about wool and license apache", None),
+    ("/a/1.json", b'{"ShipName": "Fernway", "HomePort": "Dalby", "n": 1, "day": "2020-01-02", "raw": "aGk="}', ["fleet", "x"]),
+    ("/a/2.json", b'{"ShipName": "Ostrid", "HomePort": "Fernhill", "n": "bad"}', ["fleet"]),
+    ("/b/3.xml", b"<doc><ShipName>Fern</ShipName><note>apache license</note></doc>", ["other"]),
+    ("/b/4.txt", b"plain text about fern and license apache", None),
 ]
 
 
@@ -33,14 +33,14 @@ def test_string_queries():
 
 
 def test_words_phrases_and_wildcards(docs):
-    assert found(docs, search.string_query("wool")) == ["/b/3.xml", "/b/4.txt"]
-    assert found(docs, search.string_query("wool*")) == ["/a/1.json", "/a/2.json", "/b/3.xml", "/b/4.txt"]
+    assert found(docs, search.string_query("fern")) == ["/b/3.xml", "/b/4.txt"]
+    assert found(docs, search.string_query("fern*")) == ["/a/1.json", "/a/2.json", "/b/3.xml", "/b/4.txt"]
     assert found(docs, search.string_query('"apache license"')) == ["/b/3.xml"]
-    assert found(docs, search.string_query("firstname")) == []
+    assert found(docs, search.string_query("shipname")) == []
 
 
 def test_a_filtered_property_query_has_no_false_hits(docs):
-    q = search.structured_query('{"ctsquery":{"jsonPropertyWordQuery":{"property":["FirstName"],"propertyName":"FirstName","text":["Wool*"]}}}'.replace('"property":["FirstName"],', ""))
+    q = search.structured_query('{"ctsquery":{"jsonPropertyWordQuery":{"property":["ShipName"],"propertyName":"ShipName","text":["Fern*"]}}}'.replace('"property":["ShipName"],', ""))
     assert found(docs, q) == ["/a/1.json", "/b/3.xml"]
     assert found(docs, q, filtered=False) == ["/a/1.json", "/a/2.json", "/b/3.xml", "/b/4.txt"]
 
@@ -59,11 +59,11 @@ def test_other_queries_are_refused():
 
 
 def test_view_rows_keep_invalid_values_as_null(docs):
-    v = View("m", "people", (ViewColumn("FirstName"), ViewColumn("n", "int"), ViewColumn("day", "date"), ViewColumn("raw", "base64Binary"), ViewColumn("gone", "int", hidden=True)), collections=("author",))
-    rows = {r["people.FirstName"]: r for r in v.rows(docs, "people").collect()}
-    assert rows["Wooler"]["people.n"] == 1 and str(rows["Wooler"]["people.day"]) == "2020-01-02" and bytes(rows["Wooler"]["people.raw"]) == b"hi"
-    assert rows["Vivianne"]["people.n"] is None and len(rows) == 2
-    assert [f.name for f in v.struct()] == ["m.people.FirstName", "m.people.n", "m.people.day", "m.people.raw"]
+    v = View("m", "people", (ViewColumn("ShipName"), ViewColumn("n", "int"), ViewColumn("day", "date"), ViewColumn("raw", "base64Binary"), ViewColumn("gone", "int", hidden=True)), collections=("fleet",))
+    rows = {r["people.ShipName"]: r for r in v.rows(docs, "people").collect()}
+    assert rows["Fernway"]["people.n"] == 1 and str(rows["Fernway"]["people.day"]) == "2020-01-02" and bytes(rows["Fernway"]["people.raw"]) == b"hi"
+    assert rows["Ostrid"]["people.n"] is None and len(rows) == 2
+    assert [f.name for f in v.struct()] == ["m.people.ShipName", "m.people.n", "m.people.day", "m.people.raw"]
 
 
 def test_types():
@@ -94,7 +94,7 @@ def test_chains(run):
     assert [r[0] for r in run("op.fromView('m','a','').orderBy('id').offset(3).limit(2).select(['id'])")] == [4, 5]
     assert run("op.fromView('m','a','').where(op.eq(op.col('id'), op.param('x'))).select('name')", x=3)[0][0] == "n3"
     assert len(run("op.fromSearchDocs(cts.wordQuery('license'))")) == 2
-    assert {r["c"] for r in run("op.fromLexicons({c: cts.collectionReference()})")} == {"author", "x", "other", None}
+    assert {r["c"] for r in run("op.fromLexicons({c: cts.collectionReference()})")} == {"fleet", "x", "other", None}
 
 
 @pytest.mark.parametrize("text", ["op.nothing()", "op.fromView('m','a').where(", "op.fromView('m','a','').select(['zz'])", "op.fromView('m','a','').orderBy('id').fly()"])
