@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import mixed, slices, table, written
@@ -24,8 +25,12 @@ QUANTILE, ERRORS = 0.995, 6
 PRIOR_CHARS, PRIOR_WORDS = 60, 10
 #: Least distances (in words) of the classes that a word's way back to its last occurrence falls into; the last one holds new words too.
 BACK = np.array([1, 2, 3, 4, 5, 7, 9, 13, 17, 33, 65])
-#: Model entries of one shard; each worker holds one shard, 13 bytes an entry and up to 36 in its hash tables.
-SHARD_ROWS = 2_000_000
+#: Model entries of one shard on average; a worker holds one at a time, 13 bytes an entry and up to 36 in its hash tables.
+SHARD_ROWS = 250_000
+#: Characters of the texts whose n-grams are looked up together.
+BLOCK_CHARS = 1 << 21
+#: N-grams that meet one copy of a shard, as a multiple of its entries: copies of the model are never more than a part of what is looked up.
+GRAMS_A_COPY = 4
 #: Ids of trusted documents that are broadcast (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 #: Characters that one numpy step works on; longer texts are cut, each part after the first with the context it needs.
@@ -202,103 +207,241 @@ class Table:
         return out
 
 
+def _packed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    raw = sink.getvalue()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpacked(payload: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(pa.decompress(payload[8:], int.from_bytes(payload[:8], "little"), "zstd")).read_next_batch()
+
+
+def padded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points + 1 of all texts, ORDER - 1 zeros before each, and where each begins."""
+    gap = ORDER - 1
+    code = np.frombuffer(("\0" * gap).join(["", *texts]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    begin = np.cumsum(sizes) - sizes + gap * np.arange(1, len(texts) + 1)
+    for k in range(1, ORDER):
+        code[begin - k] = 0
+    return code, begin
+
+
+def ends_of(texts: list[str], skip: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The place of each character after the first ``skip`` of its text."""
+    n = np.array([len(t) for t in texts], np.int64) - skip
+    return np.arange(n.sum()) + np.repeat(begin + skip - (np.cumsum(n) - n), n)
+
+
+def window_keys(code: np.ndarray) -> np.ndarray:
+    """For each place, from the ORDER-th on, the key of the ORDER characters that end there."""
+    h = np.zeros(max(0, len(code) - ORDER + 1), np.uint64)
+    for i in range(ORDER):
+        h += code[i : i + len(h)] * _ODD[ORDER - 1 - i]
+    return mixed(h).view(np.int64)
+
+
+def _part_key(windows: np.ndarray, first: int, k: int) -> np.ndarray:
+    """As ``keys``, of the k characters of each window from the first on."""
+    h = np.zeros(len(windows), np.uint64)
+    for i in range(k):
+        h += windows[:, first + i] * _ODD[k - 1 - i]
+    return mixed(h + np.uint64(int(_ODD[ORDER]) * k % (1 << 64))).view(np.int64)
+
+
+def shard_of(windows: np.ndarray, of: int) -> np.ndarray:
+    """The shard that scores each window's last character: by the two characters before it; 0 where there are none."""
+    two = _part_key(windows, ORDER - 3, 2)
+    return np.where(windows[:, ORDER - 3] > 0, (two % of + of) % of, 0)
+
+
 class Shard:
     """A shard's log probabilities and back-off weights, and the unigrams and bigrams, which every shard has."""
 
-    def __init__(self, rows: pa.Table, number: int, of: int):
-        what, key, value = (rows.column(c).to_numpy() for c in ("what", "key", "value"))
+    def __init__(self, rows: pa.RecordBatch, number: int, of: int):
+        what, key, value = (rows.column(c).to_numpy() for c in range(3))
         kind, k = what >> 4, what & 15
         self.number, self.of = number, of
         self.unseen = float(value[(kind == 1) & (k == 0)][0])
         self.p = {n: Table(key[at], value[at]) for n in range(1, ORDER + 1) for at in [(kind == 0) & (k == n)]}
         self.back = {n: Table(key[at], value[at]) for n in range(1, ORDER) for at in [(kind == 1) & (k == n)]}
 
-    def score(self, texts: list[str]) -> np.ndarray:
-        """Each text's log probability over the places whose two characters before lie in this shard."""
-        cut = [(i, p, skip) for i, t in enumerate(texts) for p, skip in parts_of(t)]
-        out = np.zeros(len(texts))
-        for a, b in slices([p for _, p, _ in cut], PART_CHARS):
-            np.add.at(out, [i for i, _, _ in cut[a:b]], self._sums([p for _, p, _ in cut[a:b]], np.array([s for _, _, s in cut[a:b]])))
-        return out
-
-    def _sums(self, texts: list[str], skip: np.ndarray) -> np.ndarray:
-        code, begin = characters(texts)
-        if not len(code):
-            return np.zeros(len(texts))
-        place = np.arange(len(code)) - np.repeat(begin[:-1], np.diff(begin))
-        key = {k: np.concatenate([np.zeros(k - 1, np.int64), keys(code, k)]) if len(code) >= k else np.zeros(len(code), np.int64) for k in range(1, ORDER + 1)}
-        total = np.zeros(len(code))
-        mine = np.arange(len(code))
-        if self.of > 1:  # places without two characters before go to shard 0
-            own = np.zeros(len(code), np.int64)
-            own[1:] = np.where(place[1:] >= 2, (key[2][:-1] % self.of + self.of) % self.of, 0)
-            mine = np.flatnonzero(own == self.number)
-        left = mine
+    def values(self, windows: np.ndarray) -> np.ndarray:
+        """The log probability of each window's last character after those before it; zeros stand before the text."""
+        total, left = np.zeros(len(windows)), np.arange(len(windows))
+        length = (windows > 0).sum(axis=1)
         for k in range(ORDER, 0, -1):
-            deep = place[left] >= k - 1
+            deep = length[left] >= k
             found = np.full(len(left), np.nan, np.float32)
-            found[deep] = self.p[k].get(key[k][left[deep]])
+            found[deep] = self.p[k].get(_part_key(windows[left[deep]], ORDER - k, k))
             seen = ~np.isnan(found)
             total[left[seen]] += found[seen]
             if k > 1:
                 miss = left[deep & ~seen]
-                back = self.back[k - 1].get(key[k - 1][miss - 1])
+                back = self.back[k - 1].get(_part_key(windows[miss], ORDER - k, k - 1))
                 total[miss] += np.where(np.isnan(back), 0, back)
             left = left[~seen]
         total[left] += self.unseen
-        total[place < np.repeat(skip, np.diff(begin))] = 0
-        ends = np.concatenate([[0], np.cumsum(total)])
-        return ends[begin[1:]] - ends[begin[:-1]]
+        return total
+
+    def score(self, texts: list[str]) -> np.ndarray:
+        """Each text's log probability over the places that this shard scores."""
+
+        def own(code: np.ndarray, ends: np.ndarray) -> np.ndarray:
+            windows = code[ends[:, None] + np.arange(1 - ORDER, 1)]
+            mine = np.flatnonzero(shard_of(windows, self.of) == self.number)
+            out = np.zeros(len(ends))
+            out[mine] = self.values(windows[mine])
+            return out
+
+        return summed(texts, own)
+
+
+def summed(texts: list[str], values) -> np.ndarray:
+    """For each text the sum of ``values(code, ends)``, a number for each of its characters, over bounded slices."""
+    out = np.zeros(len(texts))
+    for owner, parts, skip in sliced(texts):
+        code, begin = padded(parts)
+        ends = ends_of(parts, skip, begin)
+        n = np.array([len(p) for p in parts]) - skip
+        upto = np.concatenate([[0], np.cumsum(values(code, ends))])
+        last = np.cumsum(n)
+        np.add.at(out, owner, upto[last] - upto[last - n])
+    return out
+
+
+def sliced(texts: list[str]) -> Iterator[tuple[np.ndarray, list[str], np.ndarray]]:
+    """(text of each part, parts, characters of each that are context only): the texts in slices of about ``PART_CHARS``."""
+    cut = [(i, p, skip) for i, t in enumerate(texts) for p, skip in parts_of(t) if p]
+    for a, b in slices([p for _, p, _ in cut], PART_CHARS):
+        yield np.array([i for i, _, _ in cut[a:b]]), [p for _, p, _ in cut[a:b]], np.array([k for _, _, k in cut[a:b]])
 
 
-def shards(model: DataFrame) -> Iterator[tuple[int, int, pa.Table]]:
-    """(number, how many, rows): the model, split by shard_key into as many parts as ``SHARD_ROWS`` asks for; rows without one are in every part."""
+def grams(texts: list[str]) -> np.ndarray:
+    """The distinct windows of the texts: rows of ORDER code points + 1."""
+    key, rows = [np.zeros(0, np.int64)], [np.zeros((0, ORDER), np.uint64)]
+    for _, parts, skip in sliced(texts):
+        code, begin = padded(parts)
+        ends = ends_of(parts, skip, begin)
+        found, at = np.unique(window_keys(code)[ends - ORDER + 1], return_index=True)
+        key.append(found)
+        rows.append(code[ends[at][:, None] + np.arange(1 - ORDER, 1)])
+    _, at = np.unique(np.concatenate(key), return_index=True)
+    return np.concatenate(rows)[at]
+
+
+def shards(model: DataFrame) -> tuple[DataFrame, int]:
+    """((shard, payload), how many): the model by shard_key in shards of about ``SHARD_ROWS``; rows without one, unigrams and bigrams, are in every shard."""
     of = max(1, -(-model.count() // SHARD_ROWS))
-    for number in range(of):
-        mine = model if of == 1 else model.filter(F.col("shard_key").isNull() | (F.pmod("shard_key", F.lit(of)) == number))
-        yield number, of, mine.select((F.col("kind") * 16 + F.col("k")).cast("tinyint").alias("what"), "key", F.col("value").cast("float").alias("value")).toArrow()
+    rows = model.select((F.col("kind") * 16 + F.col("k")).cast("tinyint").alias("what"), "key", F.col("value").cast("float").alias("value"), "shard_key")
+    number = F.when(F.col("shard_key").isNull(), F.sequence(F.lit(0), F.lit(of - 1))).otherwise(F.array(F.pmod("shard_key", F.lit(of)).cast("int")))
+
+    def pack(key, data):
+        batch = data.select(["what", "key", "value"]).combine_chunks().to_batches()[0]
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "payload": pa.array([_packed(batch)], pa.binary())})
+
+    dealt = rows.select("what", "key", "value", F.explode(number).alias("shard"))
+    return written(dealt.groupBy("shard").applyInArrow(pack, "shard int, payload binary"), "lm-shards"), of
 
 
 def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) -> DataFrame:
     """(doc_id, lang, chars, logp, words, beat) of each row: beat is the log probability of its rhythm under the model of that name, 0 without one.
 
-    Texts are read once for each shard and the parts' sums added up. Null and empty texts: 0 in all four. The rhythm's model has at most
-    len(BACK) ** ORDER n-grams and is one shard at any size.
+    Texts are read once, in blocks. A block's distinct windows go to the model's shards, each window to one, and come back with their log probabilities, which
+    the block's texts then sum up; so nothing of the character model is gathered in one place. Null and empty texts: 0 in all four. The rhythms' model has at most
+    len(BACK) ** ORDER n-grams at any size and is broadcast.
     """
     spark = docs.sparkSession
     beats = None
     if beat is not None:
-        beats = spark.sparkContext.broadcast(beat.select((F.col("kind") * 16 + F.col("k")).cast("tinyint").alias("what"), "key", F.col("value").cast("float").alias("value")).toArrow())
-    carried = ("doc_id", "lang", "text_hash")
-    docs = docs.withColumn("text_hash", F.xxhash64("text"))
-    kinds = docs.select(*carried).schema
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kinds], "chars long", "logp double", "words long", "beat double"])
-    names = [*carried, "chars", "logp", "words", "beat"]
-    parts = []
-    rows = docs.select(*carried, "text")
-    for number, of, part in shards(model):
-        shared = spark.sparkContext.broadcast((part, number, of))
-
-        def run(batches, shared=shared, beats=beats if number == 0 else None):
-            shard = Shard(*shared.value)
-            second = Shard(beats.value, 0, 1) if beats is not None else None
-            for batch in (b.slice(at, 256) for b in batches for at in range(0, len(b), 256)):
-                texts = [t or "" for t in batch.column(len(carried)).to_pylist()]
-                told = [rhythm(t) for t in texts] if second else [""] * len(texts)
-                beaten = second.score(told) if second else np.zeros(len(texts))
-                own = [pa.array([len(t) for t in texts], pa.int64()), pa.array(shard.score(texts)), pa.array([len(t) for t in told], pa.int64()), pa.array(beaten)]
-                yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(carried))], *own], names=names)
-
-        parts.append(rows.mapInArrow(run, schema))
-    if len(parts) == 1:
-        return parts[0].drop("text_hash")
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    # a row has one part in each shard; rows repeated in full are summed as one and given back as often
-    rows = every.groupBy(*carried, "chars").agg(*[F.sum(c).alias(c) for c in ("logp", "words", "beat")], (F.count("*") / len(parts)).cast("int").alias("times"))
-    each = [(F.col(c) / F.col("times")).alias(c) for c in ("logp", "beat")]
-    return rows.select("doc_id", "lang", "chars", each[0], (F.col("words") / F.col("times")).cast("long").alias("words"), each[1], F.explode(F.array_repeat(F.lit(0), F.col("times")))).drop("col")
+        rows = beat.select((F.col("kind") * 16 + F.col("k")).cast("tinyint").alias("what"), "key", F.col("value").cast("float").alias("value")).toArrow()
+        beats = spark.sparkContext.broadcast(_packed(rows.combine_chunks().to_batches()[0]))
+    packed, of = shards(model)
+    carried = docs.select("doc_id", "lang").schema
+
+    def first(batches):
+        second = Shard(_unpacked(beats.value), 0, 1) if beats is not None else None
+        held, size = [], 0
+        for batch in (b.slice(at, 64) for b in batches for at in range(0, len(b), 64)):
+            held.append(batch)
+            size += sum(len(t) for t in batch.column(2).to_pylist() if t)
+            if size >= BLOCK_CHARS:
+                yield from _block(held, second, of)
+                held, size = [], 0
+        if held:
+            yield from _block(held, second, of)
+
+    passed = docs.select("doc_id", "lang", "text").mapInArrow(first, "block long, shard int, n long, payload binary")
+    passed = written(passed, "lm-blocks")
+    asked = passed.filter("shard >= 0")
+    count = asked.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    copies = max(1, -(-count // (of * GRAMS_A_COPY * SHARD_ROWS)))
+    none = F.lit(None)
+    halls = packed.select("shard", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy"), none.cast("long").alias("block"), "payload")
+    guests = asked.select("shard", F.pmod(F.xxhash64("block"), F.lit(copies)).cast("int").alias("copy"), "block", "payload")
+
+    def look_up(batches):
+        shard = None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["block"] is None:
+                    shard = Shard(_unpacked(row["payload"]), row["shard"], of)
+                    continue
+                windows = _windows(row["payload"])
+                value = pa.RecordBatch.from_arrays([pa.array(shard.values(windows).astype(np.float32))], names=["value"])
+                yield pa.RecordBatch.from_arrays([pa.array([row["block"]], pa.int64()), pa.array([row["payload"]], pa.binary()), pa.array([_packed(value)], pa.binary())], names=["block", "payload", "value"])
+
+    met = halls.unionByName(guests).repartition("shard", "copy").sortWithinPartitions("shard", "copy", F.col("block").isNotNull())
+    found = met.mapInArrow(look_up, "block long, payload binary, value binary")
+    every = found.unionByName(passed.filter("shard < 0").select("block", "payload", none.cast("binary").alias("value")))
+
+    def add_up(batches):
+        keys, values = [], []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["value"] is not None:
+                    windows = _windows(row["payload"])
+                    keys.append(window_keys(windows.reshape(-1))[::ORDER] if len(windows) else np.zeros(0, np.int64))
+                    values.append(_unpacked(row["value"]).column(0).to_numpy())
+                    continue
+                texts = _unpacked(row["payload"])
+                known = Table(np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0, np.float32), *values]))
+                logp = summed(texts.column("text").to_pylist(), lambda code, ends, known=known: known.get(window_keys(code)[ends - ORDER + 1]))
+                rest = [texts.column(c) for c in ("doc_id", "lang", "chars")]
+                yield pa.RecordBatch.from_arrays([*rest, pa.array(logp), texts.column("words"), texts.column("beat")], names=["doc_id", "lang", "chars", "logp", "words", "beat"])
+                keys, values = [], []
+
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in carried], "chars long", "logp double", "words long", "beat double"])
+    return every.repartition("block").sortWithinPartitions("block", F.col("value").isNull()).mapInArrow(add_up, schema)
+
+
+def _windows(payload: bytes) -> np.ndarray:
+    batch = _unpacked(payload)
+    return np.stack([c.to_numpy() for c in batch.columns], axis=1).astype(np.uint64)
+
+
+def _block(held: list[pa.RecordBatch], second: Shard | None, of: int) -> Iterator[pa.RecordBatch]:
+    """A block's texts (shard -1) with what is known of them at once, and a row for each shard with the windows that it scores."""
+    rows = pa.Table.from_batches(held).combine_chunks()
+    texts = [t or "" for t in rows.column(2).to_pylist()]
+    told = [rhythm(t) for t in texts] if second else [""] * len(texts)
+    beaten = second.score(told) if second else np.zeros(len(texts))
+    own = [pa.array([len(t) for t in texts], pa.int64()), pa.array([len(t) for t in told], pa.int64()), pa.array(beaten), pa.array(texts, pa.large_string())]
+    batch = pa.RecordBatch.from_arrays([rows.column(0).combine_chunks(), rows.column(1).combine_chunks(), *own], names=["doc_id", "lang", "chars", "words", "beat", "text"])
+    block = uuid.uuid4().int >> 65
+    out = [(-1, len(texts), _packed(batch))]
+    windows = grams(texts)
+    number = shard_of(windows, of) if len(windows) else np.zeros(0, np.int64)
+    order = np.argsort(number, kind="stable")
+    at = np.searchsorted(number[order], np.arange(of + 1))
+    for k in np.flatnonzero(np.diff(at)).tolist():
+        mine = windows[order[at[k] : at[k + 1]]].astype(np.uint32)
+        out.append((k, len(mine), _packed(pa.RecordBatch.from_arrays([pa.array(mine[:, i].copy()) for i in range(ORDER)], names=[f"c{i}" for i in range(ORDER)]))))
+    for k, n, payload in out:
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([k], pa.int32()), pa.array([n], pa.int64()), pa.array([payload], pa.binary())], names=["block", "shard", "n", "payload"])
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -337,37 +480,40 @@ def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _limited(rows: DataFrame, known: DataFrame, score: Column, name: str) -> DataFrame:
-    """``rows`` with the limit of each row's language."""
-    limits = quantiles(known.select("lang", "judge", score.alias("score")))
-    overall = limits.pop("", None)
-    table_ = rows.sparkSession.createDataFrame([(k[1:], v) for k, v in limits.items()], "lang string, own double")
-    limit = F.coalesce("own", F.lit(overall)) if overall is not None else F.lit(None).cast("double")
-    return rows.join(F.broadcast(table_), "lang", "left").withColumn(name, limit).drop("own")
+    """``rows`` with the limit of each row's language, or of all languages where it has none."""
+    limits, overall = quantiles(known.select("lang", "judge", score.alias("score")))
+    limit = F.coalesce("own", F.lit(overall).cast("double"))
+    return rows.join(F.broadcast(limits) if limits.count() <= BROADCAST_IDS else limits, "lang", "left").withColumn(name, limit).drop("own")
 
 
-def quantiles(known: DataFrame) -> dict[str, float]:
-    """The limit of each language (keyed "=" + lang) and of all rows (""), from the rows that judge; the others tell only how far scores spread.
+def quantiles(known: DataFrame) -> tuple[DataFrame, float | None]:
+    """((lang, own), overall): the limit of each language and of all rows, from the rows that judge; the others tell only how far scores spread.
 
-    Scores are counted in steps of ``STEP``, so no row is gathered.
+    Scores are counted in steps of ``STEP`` in each task, and a language's counts, bounded by its steps, are put together from the tasks'; no row is gathered or
+    sorted.
     """
-    steps = known.groupBy("lang", "judge", F.ceil(F.col("score") / STEP).alias("step")).agg(F.count("*").alias("n"))
-    own = steps.filter("lang is not null").select(F.concat(F.lit("="), "lang").alias("g"), "judge", "step", "n")
-    every = steps.groupBy("judge", "step").agg(F.sum("n").alias("n")).select(F.lit("").alias("g"), "judge", "step", "n")
-    w = Window.partitionBy("g")
-    both = own.unionByName(every)
-    below = both.filter("judge").withColumn("below", F.sum("n").over(w.orderBy("step"))).withColumn("all", F.sum("n").over(w))
-    found = below.filter(F.col("below") >= F.col("all") * QUANTILE).groupBy("g").agg(F.min("step").alias("step"))
-    x, n = F.col("step").cast("double"), F.col("n")
-    spread = both.groupBy("g", "judge").agg(F.sum(n).alias("all"), (F.sum(n * x * x) - F.sum(n * x) ** 2 / F.sum(n)).alias("squares")).collect()
-    each = [r for r in spread if r["g"]] or spread
-    pooled = sum(r["squares"] for r in each) / max(1, sum(r["all"] for r in each))
-    held = {r["g"]: r for r in spread if r["judge"]}
-    out = {}
-    for r in found.collect():
-        count = held[r["g"]]["all"]
-        beyond = max(0.0, -math.log((1 - QUANTILE) * count)) + ERRORS / math.sqrt(count)
-        out[r["g"]] = (r["step"] + beyond * math.sqrt(max(held[r["g"]]["squares"] / count, pooled, 0.0))) * STEP
-    return out
+    steps = known.withColumn("step", F.ceil(F.col("score") / STEP).cast("double"))
+    x, judge = F.col("step"), F.col("judge")
+    at = F.expr(f"percentile_disc({QUANTILE}) WITHIN GROUP (ORDER BY CASE WHEN judge THEN step END)").alias("at")
+    mine = F.when(judge, x)
+    sums = [at, F.count(mine).alias("count"), F.sum(mine).alias("sum"), F.sum(mine * mine).alias("squared"), F.count("*").alias("all")]
+    sums += [F.coalesce(F.sum(F.when(~judge, 1.0)), F.lit(0.0)).alias("others"), F.coalesce(F.sum(F.when(~judge, x)), F.lit(0.0)).alias("other_sum"), F.coalesce(F.sum(F.when(~judge, x * x)), F.lit(0.0)).alias("other_squared")]
+
+    def apart(n: Column, total: Column, squared: Column) -> Column:
+        return F.when(n > 0, squared - total * total / n).otherwise(0.0)
+
+    own = apart(F.col("count"), F.coalesce("sum", F.lit(0.0)), F.coalesce("squared", F.lit(0.0)))
+    both = own + apart(F.col("others"), F.col("other_sum"), F.col("other_squared"))
+    by_lang = written(steps.filter("lang is not null").groupBy("lang").agg(*sums).withColumns({"squares": own, "both": both}), "lm-quantiles")
+    every = steps.agg(*sums).withColumns({"squares": own, "both": both}).first()
+    total = by_lang.agg(F.sum("both").alias("both"), F.sum("all").alias("all")).first()
+    pooled = (total["both"] if total["all"] else every["both"]) / max(1, (total["all"] or every["all"]))
+    beyond = F.greatest(F.lit(0.0), -F.log((1 - QUANTILE) * F.col("count"))) + ERRORS / F.sqrt("count")
+    limit = (F.col("at") + beyond * F.sqrt(F.greatest(F.col("squares") / F.col("count"), F.lit(pooled), F.lit(0.0)))) * STEP
+    limits = by_lang.filter("count > 0").select("lang", limit.alias("own"))
+    if not every["count"]:
+        return limits, None
+    return limits, known.sparkSession.createDataFrame([every]).select(limit.alias("own")).first()["own"]
 
 
 def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:

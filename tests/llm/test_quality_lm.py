@@ -54,14 +54,21 @@ def labels(spark):
     return lambda rows: spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
 
+def held(model):
+    packed, of = q.shards(model)
+    return [q.Shard(q._unpacked(r["payload"]), r["shard"], of) for r in packed.collect()]
+
+
 def test_probabilities_are_those_of_the_plain_model(make, words):
     good, bad, more, _ = corpus(words)
     plain = Plain([t for _, t, _ in good])
     model = q.estimate(make(good))
     texts = [t for _, t, _ in more[:10] + bad[:3] + good[:3]] + ["", "q", "zz", "é😀 unseen"]
-    for number, of, part in q.shards(model):
-        got = q.Shard(part, number, of).score(texts)
-    assert got == pytest.approx([plain.logp(t) for t in texts], rel=1e-4, abs=1e-4)
+    want = [plain.logp(t) for t in texts]
+    assert sum(s.score(texts) for s in held(model)) == pytest.approx(want, rel=1e-4, abs=1e-4)
+    rows = [(k, t) for k, t in enumerate(texts)]
+    got = {r["doc_id"]: r["logp"] for r in q.scored(make(rows), model).collect()}
+    assert [got[k] for k, _ in rows] == pytest.approx(want, rel=1e-4, abs=1e-4)
 
 
 def test_probabilities_sum_to_one(words):
@@ -78,22 +85,55 @@ def test_shards_add_up(make, words, monkeypatch):
     order = lambda df: sorted((str(r["doc_id"]), r["chars"], round(r["logp"], 3)) for r in df.collect())
     whole = order(q.scored(docs, model))
     monkeypatch.setattr(q, "SHARD_ROWS", 1000)
-    assert len(list(q.shards(model))) > 3
+    assert q.shards(model)[1] > 3
+    monkeypatch.setattr(q, "GRAMS_A_COPY", 0.3)
     assert order(q.scored(docs, model)) == whole and len(whole) == len(more + bad + ODD)
 
 
 def test_long_texts_are_scored_in_parts(make, words, monkeypatch):
     good, _, more, _ = corpus(words)
     model = q.estimate(make(good))
-    (part,) = q.shards(model)
+    (part,) = held(model)
     texts = [t for _, t, _ in more[:6]]
-    whole = q.Shard(part[2], 0, 1).score(texts)
+    whole = part.score(texts)
     counted = sorted(map(tuple, q.counts(make(good)).collect()))
     monkeypatch.setattr(q, "PART_CHARS", 37)
-    assert q.Shard(part[2], 0, 1).score(texts) == pytest.approx(whole)
+    assert part.score(texts) == pytest.approx(whole)
     assert sorted(map(tuple, q.counts(make(good)).collect())) == counted
 
 
+def test_windows_are_the_texts_last_characters():
+    texts = ["", "ab", "abcabcabc", "é😀\0x"]
+    want = set()
+    for t in texts:
+        for i in range(len(t)):
+            w = [ord(c) + 1 for c in t[max(0, i - 4) : i + 1]]
+            want.add((*[0] * (5 - len(w)), *w))
+    assert {tuple(w) for w in q.grams(texts).tolist()} == want
+    assert q.grams([]).shape == (0, 5)
+
+
+def test_limits_are_the_plain_quantiles(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice(["en", "fr", "de", None]), rng.random() < 0.6, rng.gauss(3, 0.2)) for _ in range(3000)] + [("xx", False, 2.0), ("yy", True, 2.5)]
+    limits, overall = q.quantiles(spark.createDataFrame(rows, "lang string, judge boolean, score double"))
+
+    def spread(xs):
+        return sum(x * x for x in xs) - sum(xs) ** 2 / len(xs) if xs else 0.0
+
+    steps = [(g, j, math.ceil(x / q.STEP)) for g, j, x in rows]
+    groups = {g: [[x for h, j, x in steps if h == g and j is k] for k in (True, False)] for g in ("en", "fr", "de", "xx", "yy")}
+    pooled = sum(spread(a) + spread(b) for a, b in groups.values()) / sum(len(a) + len(b) for a, b in groups.values())
+
+    def limit(judges):
+        n = len(judges)
+        at = sorted(judges)[max(0, math.ceil(n * q.QUANTILE - 1e-9) - 1)]
+        return (at + (max(0, -math.log((1 - q.QUANTILE) * n)) + q.ERRORS / math.sqrt(n)) * math.sqrt(max(spread(judges) / n, pooled))) * q.STEP
+
+    got = {r["lang"]: r["own"] for r in limits.collect()}
+    assert got == pytest.approx({g: limit(a) for g, (a, _) in groups.items() if a}) and overall == pytest.approx(limit([x for _, j, x in steps if j]))
+
+
 def test_junk_goes_and_clean_texts_stay(make, labels, words):
     good, bad, more, marks = corpus(words)
     docs = make(good + bad + more + ODD, extra=True)
