@@ -21,6 +21,9 @@ LEAST = 8
 #: Bytes of benchmark text that one broadcast holds; a larger benchmark is searched block by block.
 BLOCK_BYTES = 4 << 20
 
+#: Bytes of a text that are hashed at once, and shingles of a text whose windows are looked up at once; longer texts go part by part.
+PART_BYTES, PART_SHINGLES = 1 << 20, 1 << 18
+
 _POWER, _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15), np.random.default_rng(7).integers(0, 1 << 64, HASHES + WORDS, np.uint64, endpoint=False) | np.uint64(1)
 _INVERSE = np.uint64(pow(int(_POWER), -1, 1 << 64))
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -50,10 +53,47 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _TABLES = _powers(1 << 12)
 
 
+def parts_of(raw: bytes) -> list[bytes]:
+    """A text's bytes in parts of about ``PART_BYTES`` that overlap by WORDS - 1 words, so that each shingle of five words is in just one."""
+    out, at = [], 0
+    while len(raw) - at > PART_BYTES + (PART_BYTES >> 1):
+        flags = _IN_WORD[np.frombuffer(raw, np.uint8, PART_BYTES, at)]
+        starts = np.flatnonzero(np.diff(flags.astype(np.int8), prepend=0) == 1)
+        if len(starts) < 2 * WORDS:
+            flags = _IN_WORD[np.frombuffer(raw, np.uint8, len(raw) - at, at)]  # very long words: look on
+            starts = np.flatnonzero(np.diff(flags.astype(np.int8), prepend=0) == 1)
+            if len(starts) < 2 * WORDS:
+                break
+            starts = starts[: 2 * WORDS]
+        out.append(raw[at : at + int(starts[-1])])
+        at += int(starts[-WORDS])
+    return [*out, raw[at:]]
+
+
 def hashed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The shingle hashes of each text, in order, and where each text's begin. All words of the batch are hashed at once."""
+    """The shingle hashes of each text, in order, and where each text's begin. Long texts are hashed part by part."""
+    parts, owner = [], []
+    for k, t in enumerate(texts):
+        for part in parts_of((t or "").encode("utf-8", "surrogatepass")):
+            parts.append(part)
+            owner.append(k)
+    out, made = [np.zeros(0, np.uint64)], np.zeros(len(texts), np.int64)
+    a = 0
+    while a < len(parts):
+        b, size = a + 1, len(parts[a])
+        while b < len(parts) and size + len(parts[b]) <= 2 * PART_BYTES:
+            size += len(parts[b])
+            b += 1
+        found, begin = _hashed(parts[a:b])
+        out.append(found)
+        np.add.at(made, owner[a:b], np.diff(begin))
+        a = b
+    return np.concatenate(out), np.concatenate([[0], np.cumsum(made)])
+
+
+def _hashed(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingle hashes of each part and where each part's begin. All words are hashed at once."""
     global _TABLES
-    raws = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     lengths = np.fromiter(map(len, raws), np.int64, len(raws))
     at = np.concatenate([[0], np.cumsum(lengths + 1)])  # a space after each text keeps words apart
     raw = np.frombuffer(b" ".join(raws) + b" ", np.uint8)
@@ -82,6 +122,7 @@ class Items:
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = [i for i, _ in items]
         self.sets = [shingles(t) for _, t in items]
+        self.short = [next(iter(s)) if len(s) == 1 and next(iter(s)).count(" ") < WORDS - 1 else "" for s in self.sets]
         hashes, begin = hashed([t for _, t in items])
         size = np.array([len(s) for s in self.sets], np.int64)
         #: class c holds the items of LEAST * 2**c shingles or fewer that no smaller class holds
@@ -111,6 +152,29 @@ class Items:
         found = self._held(hashes, begin)
         if not self.classes or not len(hashes):
             return found
+        # texts of many shingles in parts that overlap by the longest window, so that every window is in one
+        reach = 2 * (LEAST << max(self.classes))
+        owner, starts, ends = [], [], []
+        for t, (a, b) in enumerate(zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)):
+            for first in range(a, b, PART_SHINGLES):
+                owner.append(t)
+                starts.append(first)
+                ends.append(min(b, first + PART_SHINGLES + reach))
+        a = 0
+        while a < len(starts):
+            b, size = a + 1, ends[a] - starts[a]
+            while b < len(starts) and size + ends[b] - starts[b] <= PART_SHINGLES + reach:
+                size += ends[b] - starts[b]
+                b += 1
+            part = np.concatenate([hashes[x:y] for x, y in zip(starts[a:b], ends[a:b], strict=True)])
+            sizes = np.array([y - x for x, y in zip(starts[a:b], ends[a:b], strict=True)])
+            found.update((owner[a + t], k) for t, k in self._near(part, np.concatenate([[0], np.cumsum(sizes)])))
+            a = b
+        return found
+
+    def _near(self, hashes: np.ndarray, begin: np.ndarray) -> set[tuple[int, int]]:
+        """(part, item) positions that agree in a window's signature."""
+        found: set[tuple[int, int]] = set()
         made = np.diff(begin)
         blocks = -(-made // LEAST)
         first = np.concatenate([[0], np.cumsum(blocks)])
@@ -150,12 +214,15 @@ class Items:
     def contained(self, texts: list[str | None]) -> Iterator[tuple[int, int, int]]:
         """(text, item, shared): of the candidates, those that hold enough of the item's shingles."""
         pairs = sorted(self.candidates(*hashed(texts)))
-        own, last = set(), None
+        own, last = "", None
         for t, k in pairs:
             if t != last:
-                own, last = shingles(texts[t]), t
-            shared = len(self.sets[k] & own)
-            if shared >= CONTAINMENT * len(self.sets[k]):
+                own, last = " ".join(["", *filter(None, words(texts[t])), ""]), t
+            if self.short[k]:  # not five words: the whole text, or nothing
+                shared = int(own == f" {self.short[k]} ")
+            else:
+                shared = sum(f" {s} " in own for s in self.sets[k])
+            if shared and shared >= CONTAINMENT * len(self.sets[k]):
                 yield t, k, shared
 
 
@@ -187,7 +254,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, shared, shingles): items of which a row holds at least ``CONTAINMENT`` of the distinct shingles.
 
     Items without words match nothing, nor do null and empty texts; an item under five words matches only texts of the same words.
-    Repeated rows of documents give repeated rows, repeated items count once. Documents are read once for each block of the benchmark; nothing is shuffled.
+    Repeated rows of documents give repeated rows, repeated items count once; other columns are not read, null ids stay. Long texts are searched whole, part by
+    part; a worker holds one text and its hashes. Documents are read once for each block of the benchmark; nothing is shuffled. An empty table on either side gives no rows.
     """
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, shared int, shingles int"
@@ -213,7 +281,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no item, all columns as they are."""
+    """The rows of ``docs`` that hold no item, all columns as they are, whatever their names: see ``leaks``. Rows with a null or empty text, or a null id, are judged
+    by their text and so stay, repeated rows are judged alike, and an empty benchmark leaves all."""
     spark = docs.sparkSession
     for block in blocks(benchmark):
         shared = spark.sparkContext.broadcast(Items(block))

@@ -108,3 +108,15 @@ def test_empty_tables(spark, make):
     assert d.leaks(make([]), table(spark, [(1, "a b c d e f")])).collect() == []
     assert d.decontaminated(make([(1, "x")]), none).count() == 1
     assert np.array_equal(d.hashed([])[1], [0])
+
+
+def test_long_texts_are_searched_in_parts(words, monkeypatch):
+    docs, items = world(words)
+    made = d.Items([(k, t) for k, t in items if t])
+    texts = [t for _, t in docs] + ["x" * 999 + " " + t for _, t in docs[:40]] + [(docs[0][1] + " ") * 30]
+    whole = sorted(made.contained(texts))
+    hashes = d.hashed(texts)
+    monkeypatch.setattr(d, "PART_BYTES", 200)
+    monkeypatch.setattr(d, "PART_SHINGLES", 50)
+    assert all((a == b).all() for a, b in zip(d.hashed(texts), hashes, strict=True))
+    assert sorted(made.contained(texts)) == whole and len(whole) > 60
