@@ -28,7 +28,7 @@ BACK = np.array([1, 2, 3, 4, 5, 7, 9, 13, 17, 33, 65])
 #: Model entries of one shard on average; a worker holds one at a time, 13 bytes an entry and up to 36 in its hash tables.
 SHARD_ROWS = 250_000
 #: Characters of the texts whose n-grams are looked up together.
-BLOCK_CHARS = 1 << 21
+BLOCK_CHARS = 1 << 22
 #: N-grams that meet one copy of a shard, as a multiple of its entries: copies of the model are never more than a part of what is looked up.
 GRAMS_A_COPY = 4
 #: Ids of trusted documents that are broadcast (8 bytes each); more are joined by shuffle.
@@ -320,8 +320,8 @@ def sliced(texts: list[str]) -> Iterator[tuple[np.ndarray, list[str], np.ndarray
         yield np.array([i for i, _, _ in cut[a:b]]), [p for _, p, _ in cut[a:b]], np.array([k for _, _, k in cut[a:b]])
 
 
-def grams(texts: list[str]) -> np.ndarray:
-    """The distinct windows of the texts: rows of ORDER code points + 1."""
+def grams(texts: list[str], of: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, windows, shards) of the texts' distinct windows, rows of ORDER code points + 1, by shard and then by their characters, which packs them well."""
     key, rows = [np.zeros(0, np.int64)], [np.zeros((0, ORDER), np.uint64)]
     for _, parts, skip in sliced(texts):
         code, begin = padded(parts)
@@ -329,8 +329,11 @@ def grams(texts: list[str]) -> np.ndarray:
         found, at = np.unique(window_keys(code)[ends - ORDER + 1], return_index=True)
         key.append(found)
         rows.append(code[ends[at][:, None] + np.arange(1 - ORDER, 1)])
-    _, at = np.unique(np.concatenate(key), return_index=True)
-    return np.concatenate(rows)[at]
+    every, at = np.unique(np.concatenate(key), return_index=True)
+    windows = np.concatenate(rows)[at]
+    number = shard_of(windows, of)
+    order = np.lexsort((*windows.T[::-1], number))
+    return every[order], windows[order], number[order]
 
 
 def shards(model: DataFrame) -> tuple[DataFrame, int]:
@@ -392,30 +395,29 @@ def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) ->
                     continue
                 windows = _windows(row["payload"])
                 value = pa.RecordBatch.from_arrays([pa.array(shard.values(windows).astype(np.float32))], names=["value"])
-                yield pa.RecordBatch.from_arrays([pa.array([row["block"]], pa.int64()), pa.array([row["payload"]], pa.binary()), pa.array([_packed(value)], pa.binary())], names=["block", "payload", "value"])
+                yield pa.RecordBatch.from_arrays([pa.array([row["block"]], pa.int64()), pa.array([row["shard"]], pa.int32()), pa.array([_packed(value)], pa.binary())], names=["block", "shard", "payload"])
 
     met = halls.unionByName(guests).repartition("shard", "copy").sortWithinPartitions("shard", "copy", F.col("block").isNotNull())
-    found = met.mapInArrow(look_up, "block long, payload binary, value binary")
-    every = found.unionByName(passed.filter("shard < 0").select("block", "payload", none.cast("binary").alias("value")))
+    found = met.mapInArrow(look_up, "block long, shard int, payload binary")
+    every = found.unionByName(passed.filter("shard < 0").select("block", F.lit(of).alias("shard"), "payload"))
 
     def add_up(batches):
-        keys, values = [], []
+        values = []  # of a block, by shard; its texts come last, and have the windows in the same order
         for batch in batches:
             for row in batch.to_pylist():
-                if row["value"] is not None:
-                    windows = _windows(row["payload"])
-                    keys.append(window_keys(windows.reshape(-1))[::ORDER] if len(windows) else np.zeros(0, np.int64))
-                    values.append(_unpacked(row["value"]).column(0).to_numpy())
+                if row["shard"] < of:
+                    values.append(_unpacked(row["payload"]).column(0).to_numpy())
                     continue
                 texts = _unpacked(row["payload"])
-                known = Table(np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0, np.float32), *values]))
-                logp = summed(texts.column("text").to_pylist(), lambda code, ends, known=known: known.get(window_keys(code)[ends - ORDER + 1]))
+                words_ = texts.column("text").to_pylist()
+                known = Table(grams(words_, of)[0], np.concatenate([np.zeros(0, np.float32), *values]))
+                logp = summed(words_, lambda code, ends, known=known: known.get(window_keys(code)[ends - ORDER + 1]))
                 rest = [texts.column(c) for c in ("doc_id", "lang", "chars")]
                 yield pa.RecordBatch.from_arrays([*rest, pa.array(logp), texts.column("words"), texts.column("beat")], names=["doc_id", "lang", "chars", "logp", "words", "beat"])
-                keys, values = [], []
+                values = []
 
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in carried], "chars long", "logp double", "words long", "beat double"])
-    return every.repartition("block").sortWithinPartitions("block", F.col("value").isNull()).mapInArrow(add_up, schema)
+    return every.repartition("block").sortWithinPartitions("block", "shard").mapInArrow(add_up, schema)
 
 
 def _windows(payload: bytes) -> np.ndarray:
@@ -433,12 +435,10 @@ def _block(held: list[pa.RecordBatch], second: Shard | None, of: int) -> Iterato
     batch = pa.RecordBatch.from_arrays([rows.column(0).combine_chunks(), rows.column(1).combine_chunks(), *own], names=["doc_id", "lang", "chars", "words", "beat", "text"])
     block = uuid.uuid4().int >> 65
     out = [(-1, len(texts), _packed(batch))]
-    windows = grams(texts)
-    number = shard_of(windows, of) if len(windows) else np.zeros(0, np.int64)
-    order = np.argsort(number, kind="stable")
-    at = np.searchsorted(number[order], np.arange(of + 1))
+    _, windows, number = grams(texts, of)
+    at = np.searchsorted(number, np.arange(of + 1))
     for k in np.flatnonzero(np.diff(at)).tolist():
-        mine = windows[order[at[k] : at[k + 1]]].astype(np.uint32)
+        mine = windows[at[k] : at[k + 1]].astype(np.uint32)
         out.append((k, len(mine), _packed(pa.RecordBatch.from_arrays([pa.array(mine[:, i].copy()) for i in range(ORDER)], names=[f"c{i}" for i in range(ORDER)]))))
     for k, n, payload in out:
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([k], pa.int32()), pa.array([n], pa.int64()), pa.array([payload], pa.binary())], names=["block", "shard", "n", "payload"])

@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from conftest_llm import ODD
 
@@ -109,8 +110,8 @@ def test_windows_are_the_texts_last_characters():
         for i in range(len(t)):
             w = [ord(c) + 1 for c in t[max(0, i - 4) : i + 1]]
             want.add((*[0] * (5 - len(w)), *w))
-    assert {tuple(w) for w in q.grams(texts).tolist()} == want
-    assert q.grams([]).shape == (0, 5)
+    assert {tuple(w) for w in q.grams(texts)[1].tolist()} == want and len(q.grams(texts)[0]) == len(want)
+    assert (np.diff(q.grams(texts, 3)[2]) >= 0).all() and q.grams([])[1].shape == (0, 5)
 
 
 def test_limits_are_the_plain_quantiles(spark):
