@@ -112,7 +112,7 @@ def custom_code_partitions(spark, sf_dir):
     schema = "region int, name string"
     from pyspark.sql.types import StructType
 
-    return custom.read(spark, {"read.invoke": "docloom.names", "read.partitions.invoke": "docloom.regions", "read.vars.names": json.dumps(given)}, StructType.fromDDL(schema))
+    return custom.read(spark, {"read.invoke": "docloom.names", "read.partitions.invoke": "docloom.regions", "read.vars.names": json.dumps(given), "read.partitions.vars.names": json.dumps(given)}, StructType.fromDDL(schema))
 
 
 @query("SELECT n_nationkey, n_name FROM nation")
