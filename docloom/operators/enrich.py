@@ -150,13 +150,14 @@ def _tail(text: str, overlap: int) -> str:
     return tail if text[-overlap - 1].isspace() else tail.partition(" ")[2]
 
 
-def split_on(text: Column, pattern: str, size: int, join: str = " ") -> Column:
+def split_on(text: Column, pattern: str, size: int | Column, join: str = " ") -> Column:
     """Pieces between matches of a pattern, joined again while they fit; a piece over ``size`` is an error. Column functions alone."""
     parts = F.filter(F.split(text, pattern, -1), lambda p: F.trim(p) != "")
-    fits = F.transform(parts, lambda p: F.when(F.length(p) > size, F.raise_error(F.lit(f"The text segment is longer than {size} characters and doesn't fit into a chunk"))).otherwise(p))
+    most = F.lit(size) if isinstance(size, int) else size
+    fits = F.transform(parts, lambda p: F.when(F.length(p) > most, F.raise_error(F.concat(F.lit("The text segment is longer than "), most.cast("string"), F.lit(" characters and doesn't fit into a chunk")))).otherwise(p))
 
     def step(acc: Column, p: Column) -> Column:  # the closed pieces are copied when one more closes, not for each part
-        room = acc["open"].isNull() | (F.length(acc["open"]) + len(join) + F.length(p) <= size)
+        room = acc["open"].isNull() | (F.length(acc["open"]) + len(join) + F.length(p) <= most)
         closed = F.when(room, acc["closed"]).otherwise(F.concat(acc["closed"], F.array(acc["open"])))
         grown = F.when(acc["open"].isNull() | ~room, p).otherwise(F.concat(acc["open"], F.lit(join), p))
         return F.struct(closed.alias("closed"), grown.alias("open"))

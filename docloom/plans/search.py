@@ -197,21 +197,21 @@ def _leaf(name: str, texts: list[str], uris: list[str], within):
     raise SearchError(f"{name} queries are not supported")
 
 
-def tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+#: A character of a word, and one of none.
+_IN, _OUT = r"[\p{L}\p{N}]", r"[^\p{L}\p{N}]"
 
 
 def has_words(text: Column, wanted: str) -> Column:
-    """Whether the words stand in the text one after the other; a trailing * in a word matches any ending."""
-    words = re.findall(r"[\w]+\*?", wanted.lower())
+    """Whether the words stand in the text one after the other; a trailing * in a word matches any ending.
+
+    Words are runs of letters and digits, cases apart no difference. A text without the longest of the words is passed over before it is searched for all.
+    """
+    words = re.findall(r"[^\W_]+\*?", wanted.lower())
     if not words:
         return F.lit(True)
-    found = tokens(text)
-    if len(words) == 1:
-        w = words[0]
-        return F.exists(found, lambda t: t.startswith(w[:-1])) if w.endswith("*") else F.array_contains(found, w)
-    joined = F.concat(F.lit(" "), F.array_join(found, " "), F.lit(" "))
-    return joined.rlike(" " + " ".join(re.escape(w[:-1]) + r"\S*" if w.endswith("*") else re.escape(w) for w in words) + " ")
+    low = F.lower(text)
+    each = [f"{w[:-1]}{_IN}*+" if w.endswith("*") else w for w in words]
+    return low.contains(max((w.rstrip("*") for w in words), key=len)) & low.rlike(f"(?<!{_IN}){f'{_OUT}++'.join(each)}(?!{_IN})")
 
 
 def property_text(text: Column, name: str) -> Column:

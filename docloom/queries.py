@@ -460,10 +460,13 @@ def split_regex(spark, sf_dir):
     return d.select("doc_id", F.posexplode(lines).alias("pos", "piece"))
 
 
-@query("SELECT doc_id, CAST(n AS INTEGER) AS n, CAST(len(string_split(text, chr(10))) AS INTEGER) AS lines FROM (SELECT doc_id, text, 1 AS n FROM documents)")
+@query()
 def split_regex_packed(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", enrich.split_on(F.col("text"), "\n", 10_000_000, "\n").alias("p"))
-    return d.select("doc_id", F.size("p").alias("n"), F.size(F.split("text", "\n", -1)).alias("lines"))
+    """Every document's words packed into pieces of at most 2000 characters, or of one longer word."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    longest = F.array_max(F.transform(F.split("text", r"\s+", -1), F.length))  # a piece over the size is an error, so the size is the longest word's at least
+    p = d.withColumn("size", F.greatest(F.lit(2000), longest)).select("doc_id", enrich.split_on(F.col("text"), r"\s+", F.col("size"), " ").alias("p"))
+    return p.select("doc_id", F.posexplode("p").alias("pos", "piece")).select("doc_id", "pos", F.length("piece").alias("chars"))
 
 
 @query("SELECT doc_id, CAST(ceil(length(text) / 500.0) AS BIGINT) AS pieces, CAST(length(text) AS BIGINT) AS chars FROM documents WHERE length(text) > 0")

@@ -205,3 +205,27 @@ def test_progress_and_skipped_documents_are_logged(spark, tmp_path, caplog):
     with caplog.at_level("INFO", logger="docloom.operators.documents"):
         assert documents.write(rows, store, o) == {"success": 0, "failed": 0, "skipped": 5}
     assert "skipped 5 documents" in caplog.text
+
+
+def test_packed_pieces_of_the_query(spark, tmp_path):
+    from docloom.queries import QUERIES
+
+    texts = ["", " ", "one", "a b " * 3000, "x" * 5000 + " tail", None, "w " + "y" * 1999 + " z", "p\n" * 2500]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = []
+    for k, t in enumerate(texts):
+        words, out = (t or "").split(), []
+        most = max([2000, *map(len, words)])
+        for w in words:
+            if out and len(out[-1]) + 1 + len(w) <= most:
+                out[-1] += " " + w
+            else:
+                out.append(w)
+        want += [(k, n, len(p)) for n, p in enumerate(out)]
+    assert sorted(map(tuple, QUERIES["split_regex_packed"](spark, str(tmp_path)).collect())) == want
+
+
+def test_words_are_runs_of_letters_and_digits(spark):
+    rows = docs(spark, [("/1", "Foo_bar, baz", "TEXT"), ("/2", "foobar", "TEXT"), ("/3", "FOO -- BAR baz9", "TEXT"), ("/4", "éfoo bar", "TEXT"), ("/5", "foo bars", "TEXT")])
+    found = lambda q: sorted(r["URI"] for r in search.matching(rows, search.of_options(Options.of({"read.documents.stringQuery": q}))).collect())
+    assert found('"foo bar"') == ["/1", "/3"] and found('"foo bar*"') == ["/1", "/3", "/5"] and found("foo*") == ["/1", "/2", "/3", "/5"] and found("baz") == ["/1"]
