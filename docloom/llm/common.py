@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,18 @@ def bounded(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def few_rows(spark: SparkSession, rows: int):
+    """Arrow batches of at most so many rows for what is run inside; then the session's setting as it was."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees, ``spark.checkpoint.dir``. Where it is unset a local session uses its own temp folder; a cluster must name one."""
     where = spark.conf.get("spark.checkpoint.dir", "")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed, slices, table, written
+from .common import few_rows, mixed, slices, table, written
 
 #: Length of the longest n-grams, in characters.
 ORDER = 5
@@ -29,6 +29,8 @@ BACK = np.array([1, 2, 3, 4, 5, 7, 9, 13, 17, 33, 65])
 SHARD_ROWS = 250_000
 #: Characters of the texts whose n-grams are looked up together.
 BLOCK_CHARS = 1 << 22
+#: Rows of an Arrow batch where rows hold blocks or shards, of up to some MB each.
+BLOB_ROWS = 4
 #: N-grams that meet one copy of a shard, as a multiple of its entries: copies of the model are never more than a part of what is looked up.
 GRAMS_A_COPY = 4
 #: Ids of trusted documents that are broadcast (8 bytes each); more are joined by shuffle.
@@ -417,7 +419,9 @@ def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) ->
                 values = []
 
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in carried], "chars long", "logp double", "words long", "beat double"])
-    return every.repartition("block").sortWithinPartitions("block", "shard").mapInArrow(add_up, schema)
+    scores = every.repartition("block").sortWithinPartitions("block", "shard").mapInArrow(add_up, schema)
+    with few_rows(spark, BLOB_ROWS):
+        return written(scores, "lm-scores")
 
 
 def _windows(payload: bytes) -> np.ndarray:
@@ -463,7 +467,7 @@ def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:
     few = ids.count() <= BROADCAST_IDS
     good = F.broadcast(ids) if few else ids
     trusted = docs.filter(F.col("text").isNotNull()).join(good.filter("not unseen"), "doc_id", "left_semi")
-    rows = written(scored(docs.select("doc_id", "lang", "text"), estimate(trusted), estimate(rhythms(trusted))), "lm-scores")
+    rows = scored(docs.select("doc_id", "lang", "text"), estimate(trusted), estimate(rhythms(trusted)))
     known = written(rows.filter("chars > 0").join(good, "doc_id"), "lm-known")
     sums = known.groupBy("unseen").agg(*[F.sum(c).alias(c) for c in ("logp", "chars", "beat", "words")])
     totals = {r["unseen"]: r for r in sums.collect()}
