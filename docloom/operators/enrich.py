@@ -153,17 +153,18 @@ def _tail(text: str, overlap: int) -> str:
 def split_on(text: Column, pattern: str, size: int | Column, join: str = " ") -> Column:
     """Pieces between matches of a pattern, joined again while they fit; a piece over ``size`` is an error. Column functions alone."""
     parts = F.filter(F.split(text, pattern, -1), lambda p: F.trim(p) != "")
-    most = F.lit(size) if isinstance(size, int) else size
-    fits = F.transform(parts, lambda p: F.when(F.length(p) > most, F.raise_error(F.concat(F.lit("The text segment is longer than "), most.cast("string"), F.lit(" characters and doesn't fit into a chunk")))).otherwise(p))
+    size = F.lit(size) if isinstance(size, int) else size
 
-    def step(acc: Column, p: Column) -> Column:  # the closed pieces are copied when one more closes, not for each part
-        room = acc["open"].isNull() | (F.length(acc["open"]) + len(join) + F.length(p) <= most)
+    def step(acc: Column, part: Column) -> Column:  # the closed pieces are copied when one more closes, not for each part
+        long = F.raise_error(F.concat(F.lit("The text segment is longer than "), acc["most"].cast("string"), F.lit(" characters and doesn't fit into a chunk")))
+        p = F.when(F.length(part) > acc["most"], long).otherwise(part)
+        room = acc["open"].isNull() | (F.length(acc["open"]) + len(join) + F.length(part) <= acc["most"])
         closed = F.when(room, acc["closed"]).otherwise(F.concat(acc["closed"], F.array(acc["open"])))
         grown = F.when(acc["open"].isNull() | ~room, p).otherwise(F.concat(acc["open"], F.lit(join), p))
-        return F.struct(closed.alias("closed"), grown.alias("open"))
+        return F.struct(closed.alias("closed"), grown.alias("open"), acc["most"].alias("most"))
 
-    start = F.struct(F.array().cast("array<string>").alias("closed"), F.lit(None).cast("string").alias("open"))
-    return F.aggregate(fits, start, step, lambda a: F.when(a["open"].isNull(), a["closed"]).otherwise(F.concat(a["closed"], F.array(a["open"]))))
+    start = F.struct(F.array().cast("array<string>").alias("closed"), F.lit(None).cast("string").alias("open"), size.alias("most"))
+    return F.aggregate(parts, start, step, lambda a: F.when(a["open"].isNull(), a["closed"]).otherwise(F.concat(a["closed"], F.array(a["open"]))))
 
 
 def splitter(options: Options) -> Callable[[Column], Column] | None:
