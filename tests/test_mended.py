@@ -229,3 +229,32 @@ def test_words_are_runs_of_letters_and_digits(spark):
     rows = docs(spark, [("/1", "Foo_bar, baz", "TEXT"), ("/2", "foobar", "TEXT"), ("/3", "FOO -- BAR baz9", "TEXT"), ("/4", "éfoo bar", "TEXT"), ("/5", "foo bars", "TEXT")])
     found = lambda q: sorted(r["URI"] for r in search.matching(rows, search.of_options(Options.of({"read.documents.stringQuery": q}))).collect())
     assert found('"foo bar"') == ["/1", "/3"] and found('"foo bar*"') == ["/1", "/3", "/5"] and found("foo*") == ["/1", "/2", "/3", "/5"] and found("baz") == ["/1"]
+
+
+def test_rows_with_a_file_path_are_named_by_it(spark):
+    from docloom.functions import uris
+    from docloom.operators import documents
+
+    rows = spark.createDataFrame([("/in/a.csv", 1), ("/in/b.csv", 2)], f"{uris.FILE_PATH_COLUMN} string, n int")
+    got = documents.of_rows(rows, Options.of({"write.uriPrefix": "/p", "write.uriSuffix": ".x"})).collect()
+    assert sorted(r["URI"].rpartition("/")[0] for r in got) == ["/p/in/a.csv", "/p/in/b.csv"] and all(r["URI"].endswith(".x") for r in got)
+    assert sorted(bytes(r["content"]) for r in got) == [b'{"n":1}', b'{"n":2}'] and len({r["URI"] for r in got}) == 2
+
+
+def test_metadata_keys_as_json_names(spark):
+    from pyspark.sql import functions as F
+
+    from docloom.functions.metadata import json_keys
+
+    one = spark.range(1).select(json_keys(F.create_map(F.lit("dc:title"), F.lit("a:b"), F.lit("plain"), F.lit("c"))).alias("m")).first()
+    assert one["m"] == {"dc-title": "a:b", "plain": "c"}
+
+
+def test_a_transform_runs_on_streamed_binary_files_of_listed_extensions(spark):
+    from docloom.operators import documents
+
+    documents.TRANSFORMS["upper"] = lambda text, given: text.upper() + given.get("end", "")
+    rows = docs(spark, [("/a.bin", "one", "BINARY"), ("/b.dat", "two", "BINARY"), ("/c.bin", "three", "TEXT")])
+    o = Options.of({"write.transform": "upper", "write.transformParams": "end,!", "streamTransformBinaryExtensions": "bin, .xyz"})
+    got = {r["URI"]: bytes(r["content"]) for r in documents.transformed(rows, o, only=documents.streamable(o)).collect()}
+    assert got == {"/a.bin": b"ONE!", "/b.dat": b"two", "/c.bin": b"three"}
