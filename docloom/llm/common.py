@@ -83,6 +83,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, buckets: int, key: str) -> tuple[str, DataFrame]:
+    """(table name, ``df`` written in buckets of a key to the shared folder): joins on the key then leave it where it is. The caller drops the table; its files go with the application."""
+    spark = df.sparkSession
+    name = f"{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    df.write.format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(name)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return name, spark.table(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return bounded(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import few_rows, mixed, slices, table, written
+from .common import bucketed, few_rows, mixed, slices, table, written
 
 #: Length of the longest n-grams, in characters.
 ORDER = 5
@@ -356,7 +356,7 @@ def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) ->
     """(doc_id, lang, chars, logp, words, beat) of each row: beat is the log probability of its rhythm under the model of that name, 0 without one.
 
     Texts are read once, in blocks. A block's distinct windows go to the model's shards, each window to one, and come back with their log probabilities, which
-    the block's texts then sum up; so nothing of the character model is gathered in one place. Null and empty texts: 0 in all four. The rhythms' model has at most
+    the block's texts, which stay in the bucket they were written to, then sum up; so nothing of the character model is gathered in one place. Null and empty texts: 0 in all four. The rhythms' model has at most
     len(BACK) ** ORDER n-grams at any size and is broadcast.
     """
     spark = docs.sparkSession
@@ -380,7 +380,8 @@ def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) ->
             yield from _block(held, second, of)
 
     passed = docs.select("doc_id", "lang", "text").mapInArrow(first, "block long, shard int, n long, payload binary")
-    passed = written(passed, "lm-blocks")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name, passed = bucketed(passed, "lm_blocks", buckets, "block")
     asked = passed.filter("shard >= 0")
     count = asked.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     copies = max(1, -(-count // (of * GRAMS_A_COPY * SHARD_ROWS)))
@@ -400,28 +401,27 @@ def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) ->
                 yield pa.RecordBatch.from_arrays([pa.array([row["block"]], pa.int64()), pa.array([row["shard"]], pa.int32()), pa.array([_packed(value)], pa.binary())], names=["block", "shard", "payload"])
 
     met = halls.unionByName(guests).repartition("shard", "copy").sortWithinPartitions("shard", "copy", F.col("block").isNotNull())
-    found = met.mapInArrow(look_up, "block long, shard int, payload binary")
-    every = found.unionByName(passed.filter("shard < 0").select("block", F.lit(of).alias("shard"), "payload"))
+    found = met.mapInArrow(look_up, "block long, shard int, payload binary").repartition(buckets, "block")
+    values = found.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("shard", "payload"))).alias("found"))  # no more than there are shards
+    # the texts stay where they were written: only values are dealt, to the bucket of their block
+    whole = passed.filter("shard < 0").select("block", "payload").join(values.hint("shuffle_hash"), "block", "left").select("payload", F.col("found.payload").alias("values"))
 
     def add_up(batches):
-        values = []  # of a block, by shard; its texts come last, and have the windows in the same order
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["shard"] < of:
-                    values.append(_unpacked(row["payload"]).column(0).to_numpy())
-                    continue
-                texts = _unpacked(row["payload"])
+            for payload, parts in zip(batch.column(0), batch.column(1), strict=True):
+                texts = _unpacked(payload.as_py())
                 words_ = texts.column("text").to_pylist()
-                known = Table(grams(words_, of)[0], np.concatenate([np.zeros(0, np.float32), *values]))
+                value = [_unpacked(x).column(0).to_numpy() for x in parts.as_py() or ()]  # by shard, as are the windows
+                known = Table(grams(words_, of)[0], np.concatenate([np.zeros(0, np.float32), *value]))
                 logp = summed(words_, lambda code, ends, known=known: known.get(window_keys(code)[ends - ORDER + 1]))
                 rest = [texts.column(c) for c in ("doc_id", "lang", "chars")]
                 yield pa.RecordBatch.from_arrays([*rest, pa.array(logp), texts.column("words"), texts.column("beat")], names=["doc_id", "lang", "chars", "logp", "words", "beat"])
-                values = []
 
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in carried], "chars long", "logp double", "words long", "beat double"])
-    scores = every.repartition("block").sortWithinPartitions("block", "shard").mapInArrow(add_up, schema)
     with few_rows(spark, BLOB_ROWS):
-        return written(scores, "lm-scores")
+        out = written(whole.mapInArrow(add_up, schema), "lm-scores")
+    spark.sql(f"DROP TABLE {name}")
+    return out
 
 
 def _windows(payload: bytes) -> np.ndarray:

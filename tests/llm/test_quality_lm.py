@@ -103,6 +103,16 @@ def test_long_texts_are_scored_in_parts(make, words, monkeypatch):
     assert sorted(map(tuple, q.counts(make(good)).collect())) == counted
 
 
+def test_texts_are_not_shuffled(make, words, spark, monkeypatch):
+    plans = []
+    plain = q.written
+    monkeypatch.setattr(q, "written", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or plain(df, name))
+    good, _, more, _ = corpus(words)
+    q.scored(make(more), q.estimate(make(good)))
+    (plan,) = [p for n, p in plans if n == "lm-scores"]
+    assert "Bucketed: true" in plan and "ShuffledHashJoin" in plan
+
+
 def test_windows_are_the_texts_last_characters():
     texts = ["", "ab", "abcabcabc", "é😀\0x"]
     want = set()
