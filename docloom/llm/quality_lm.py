@@ -32,7 +32,7 @@ BLOCK_CHARS = 1 << 22
 #: Rows of an Arrow batch where rows hold blocks or shards, of up to some MB each.
 BLOB_ROWS = 4
 #: N-grams that meet one copy of a shard, as a multiple of its entries: copies of the model are never more than a part of what is looked up.
-GRAMS_A_COPY = 4
+GRAMS_A_COPY = 32
 #: Ids of trusted documents that are broadcast (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 #: Characters that one numpy step works on; longer texts are cut, each part after the first with the context it needs.
@@ -397,7 +397,8 @@ def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) ->
                     shard = Shard(_unpacked(row["payload"]), row["shard"], of)
                     continue
                 windows = _windows(row["payload"])
-                value = pa.RecordBatch.from_arrays([pa.array(shard.values(windows).astype(np.float32))], names=["value"])
+                raw = shard.values(windows).astype("<f4").view(np.uint8).reshape(-1, 4)
+                value = pa.RecordBatch.from_arrays([pa.array(raw[:, i].copy()) for i in range(4)], names=["b0", "b1", "b2", "b3"])  # byte by byte packs better
                 yield pa.RecordBatch.from_arrays([pa.array([row["block"]], pa.int64()), pa.array([row["shard"]], pa.int32()), pa.array([_packed(value)], pa.binary())], names=["block", "shard", "payload"])
 
     met = halls.unionByName(guests).repartition("shard", "copy").sortWithinPartitions("shard", "copy", F.col("block").isNotNull())
@@ -411,7 +412,7 @@ def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) ->
             for payload, parts in zip(batch.column(0), batch.column(1), strict=True):
                 texts = _unpacked(payload.as_py())
                 words_ = texts.column("text").to_pylist()
-                value = [_unpacked(x).column(0).to_numpy() for x in parts.as_py() or ()]  # by shard, as are the windows
+                value = [_floats(x) for x in parts.as_py() or ()]  # by shard, as are the windows
                 known = Table(grams(words_, of)[0], np.concatenate([np.zeros(0, np.float32), *value]))
                 logp = summed(words_, lambda code, ends, known=known: known.get(window_keys(code)[ends - ORDER + 1]))
                 rest = [texts.column(c) for c in ("doc_id", "lang", "chars")]
@@ -424,6 +425,10 @@ def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) ->
     return out
 
 
+def _floats(payload: bytes) -> np.ndarray:
+    return np.stack([c.to_numpy() for c in _unpacked(payload).columns], axis=1).reshape(-1).view("<f4")
+
+
 def _windows(payload: bytes) -> np.ndarray:
     batch = _unpacked(payload)
     return np.stack([c.to_numpy() for c in batch.columns], axis=1).astype(np.uint64)
