@@ -69,6 +69,18 @@ def spread(rows: DataFrame, named: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(hot), key).unionByName(cold)
 
 
+def hot_keys(rows: DataFrame, keys: list[str], count: int, parts: int) -> DataFrame:
+    """(keys, n) of each key with more than 1 / (4 ``parts``) of the ``count`` rows: at most 4 ``parts`` keys whatever the rows, so they may be broadcast.
+
+    Rows are counted by 64 ``parts`` hashed cells first, then by key in the cells that have so many, so few partial counts are shuffled.
+    """
+    least = count / (4 * parts)
+    cell = F.pmod(F.xxhash64(*keys), F.lit(64 * parts))
+    cells = rows.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).filter(F.col("n") > least).select("cell")
+    among = rows.withColumn("cell", cell).join(F.broadcast(cells), "cell")
+    return among.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > least)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts lineage, survives lost executors.
 
@@ -83,12 +95,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, name: str, buckets: int, key: str) -> tuple[str, DataFrame]:
-    """(table name, ``df`` written in buckets of a key to the shared folder): joins on the key then leave it where it is. The caller drops the table; its files go with the application."""
+def bucketed(df: DataFrame, name: str, buckets: int, *keys: str) -> tuple[str, DataFrame]:
+    """(table name, ``df`` written in buckets of the keys to the shared folder): joins on the keys then leave it where it is. The caller drops the table; its files go with the application."""
     spark = df.sparkSession
     name = f"{name}_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/{name}"
-    df.write.format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(name)
+    df.write.format("parquet").option("path", path).bucketBy(buckets, *keys).saveAsTable(name)
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return name, spark.table(name)

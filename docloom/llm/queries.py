@@ -7,6 +7,7 @@ from .decontamination import OP1_SQL, op1_decontamination
 from .language_id import op6_language_id
 from .pii import op7_pii
 from .quality_lm import op2_quality
+from .ranking import OP11_SQL, op11_grouped_ranking
 from .secret_scan import op8_secret_scan
 from .sentencepiece_codec import op5_sentencepiece
 from .sharding import op3_sharding
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_topk": op9_topk,
     "op10_simhash": op10_simhash,
+    "op11_grouped_ranking": op11_grouped_ranking,
 }
-ORACLE_SQL = {"op1_decontamination": OP1_SQL, "op4_chat_format": OP4_SQL, "op9_topk": OP9_SQL}
+ORACLE_SQL = {"op1_decontamination": OP1_SQL, "op4_chat_format": OP4_SQL, "op9_topk": OP9_SQL, "op11_grouped_ranking": OP11_SQL}
