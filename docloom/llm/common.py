@@ -86,13 +86,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     The files go when the application ends.
     """
+    return stored(df, name)[1]
+
+
+def stored(df: DataFrame, name: str) -> tuple[str, DataFrame]:
+    """(path, the table) of ``written``, for tables that ``gone`` deletes before the application ends."""
     spark = bounded(df.sparkSession)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    return path, spark.read.schema(df.schema).parquet(path)
+
+
+def gone(spark: SparkSession, path: str) -> None:
+    """Deletes the files of a stored table that no later plan reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def bucketed(df: DataFrame, name: str, buckets: int, *keys: str) -> tuple[str, DataFrame]:
