@@ -10,7 +10,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -69,16 +69,15 @@ def spread(rows: DataFrame, named: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(hot), key).unionByName(cold)
 
 
-def hot_keys(rows: DataFrame, keys: list[str], count: int, parts: int) -> DataFrame:
-    """(keys, n) of each key with more than 1 / (4 ``parts``) of the ``count`` rows: at most 4 ``parts`` keys whatever the rows, so they may be broadcast.
+def hot_keys(rows: DataFrame, keys: list[str], count: int, parts: int, *more: Column) -> DataFrame:
+    """(keys, n, more) of each key with more than 1 / (4 ``parts``) of the ``count`` rows: at most 4 ``parts`` keys whatever the rows, so they may be broadcast. more: further aggregates.
 
-    Rows are counted by 64 ``parts`` hashed cells first, then by key in the cells that have so many, so few partial counts are shuffled.
+    Rows are counted by 64 ``parts`` hashed cells first, then by key in the cells that have so many, which are at most 4 ``parts`` too, so few partial counts are shuffled.
     """
     least = count / (4 * parts)
     cell = F.pmod(F.xxhash64(*keys), F.lit(64 * parts))
-    cells = rows.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).filter(F.col("n") > least).select("cell")
-    among = rows.withColumn("cell", cell).join(F.broadcast(cells), "cell")
-    return among.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > least)
+    heavy = [r["cell"] for r in rows.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).filter(F.col("n") > least).collect()]
+    return rows.filter(cell.isin(heavy)).groupBy(*keys).agg(F.count("*").alias("n"), *more).filter(F.col("n") > least)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

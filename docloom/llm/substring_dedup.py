@@ -190,12 +190,11 @@ def _shared(pairs: DataFrame, parts: int) -> DataFrame:
 
     Anchors with over a quarter of a partition's share, at most 4 times the partitions, are counted where they are and broadcast; the others meet in windows.
     """
-    hot = hot_keys(pairs, ["anchor"], pairs.count(), parts).select("anchor")
-    hot = written(pairs.join(F.broadcast(hot), "anchor").groupBy("anchor").agg(F.count("*").alias("n"), F.min("rid").alias("home")), "spans-hot")
-    among = Window.partitionBy("anchor")
-    cold = pairs.join(F.broadcast(hot.select("anchor")), "anchor", "left_anti")
-    cold = cold.withColumns({"n": F.count("*").over(among), "home": F.min("rid").over(among)})
-    return cold.unionByName(pairs.join(F.broadcast(hot), "anchor")).filter(F.col("n") > 1)
+    hot = hot_keys(pairs, ["anchor"], pairs.count(), parts, F.min("rid").alias("first")).withColumnRenamed("n", "all")
+    met = pairs.join(F.broadcast(hot), "anchor", "left")
+    among = Window.partitionBy("anchor", F.when(F.col("all").isNotNull(), F.col("rid")))  # rows of a hot anchor don't meet
+    n, home = F.coalesce("all", F.count("*").over(among)), F.coalesce("first", F.min("rid").over(among))
+    return met.withColumns({"n": n, "home": home}).select("anchor", "rid", "n", "home").filter(F.col("n") > 1)
 
 
 def deduplicated(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
