@@ -13,10 +13,11 @@ from .sources import custom, files
 
 
 class Engine:
-    def __init__(self, spark: SparkSession, store_path: str | None = None):
+    def __init__(self, spark: SparkSession, store_path: str | None = None, index: bool = False):
+        """``index``: whether the store keeps postings of the documents' words for searches."""
         self.spark = spark
         self.views = views.Views(spark)
-        self.store = store.Store(spark, store_path) if store_path else None
+        self.store = store.Store(spark, store_path, index=index) if store_path else None
 
     def read(self, options: Options | dict | None = None, paths: str | list[str] | None = None, schema: StructType | None = None, where: list | None = None, **params) -> DataFrame:
         """The rows that the options ask for. ``params`` rebinds parameters of a row query, as does an equality on a parameter's column in ``where``, a list of

@@ -214,12 +214,16 @@ def has_words(text: Column, wanted: str) -> Column:
     return low.contains(max((w.rstrip("*") for w in words), key=len)) & low.rlike(f"(?<!{_IN}){f'{_OUT}++'.join(each)}(?!{_IN})")
 
 
-def property_text(text: Column, name: str) -> Column:
+def property_text(text: Column, name: str | Column) -> Column:
     """The texts of a JSON property or an XML element anywhere in a document, joined by spaces."""
-    key = re.escape(name)
-    as_json = F.regexp_extract_all(text, F.lit(rf'"{key}"\s*:\s*(?:"((?:[^"\\]++|\\.)*+)"|(-?[\w.]+))'), F.lit(0))
-    as_xml = F.regexp_extract_all(text, F.lit(rf"(?s)<(?:\w+:)?{key}(?:\s[^>]*)?>(.*?)</(?:\w+:)?{key}>"), F.lit(1))
-    as_json = F.transform(as_json, lambda m: F.regexp_replace(m, rf'^"{key}"\s*:\s*', ""))
+    key = F.lit(re.escape(name)) if isinstance(name, str) else F.concat(F.lit(r"\Q"), name, F.lit(r"\E"))
+
+    def pattern(*parts: str) -> Column:
+        return F.concat(*[x for part in parts for x in (key, F.lit(part))][1:])
+
+    as_json = F.regexp_extract_all(text, pattern('"', r'"\s*:\s*(?:"((?:[^"\\]++|\\.)*+)"|(-?[\w.]+))'), F.lit(0))
+    as_xml = F.regexp_extract_all(text, pattern(r"(?s)<(?:\w+:)?", r"(?:\s[^>]*)?>(.*?)</(?:\w+:)?", ">"), F.lit(1))
+    as_json = F.transform(as_json, lambda m: F.regexp_replace(m, pattern('^"', r'"\s*:\s*'), F.lit("")))
     return F.array_join(F.concat(as_json, as_xml), " ")
 
 
@@ -231,12 +235,21 @@ def plain_text(text: Column, kind: Column) -> Column:
 
 
 def predicate(query, text: Column, uri: Column, collections: Column, kind: Column, filtered: bool = True) -> Column:
-    """The tree as a column. Unfiltered, a property's words may stand anywhere in the document, as an index without positions would say."""
-    again = lambda q: predicate(q, text, uri, collections, kind, filtered)
-    if isinstance(query, Word):
+    """The tree as a column. Unfiltered, a property's words may stand anywhere in the document, as an index without properties would say."""
+
+    def words(query: Word) -> Column:
         if query.within and filtered:
             return has_words(property_text(text, query.within), query.text)
         return has_words(plain_text(text, uris.format_of(uri, kind)), query.text)
+
+    return condition(query, words, uri, collections)
+
+
+def condition(query, words, uri: Column, collections: Column) -> Column:
+    """The tree as a column, given one for each of its words or phrases."""
+    again = lambda q: condition(q, words, uri, collections)
+    if isinstance(query, Word):
+        return words(query)
     if isinstance(query, Both):
         return reduce(lambda a, b: a & b, map(again, query.parts), F.lit(True))
     if isinstance(query, Either):
