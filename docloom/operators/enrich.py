@@ -25,10 +25,10 @@ from ..functions.uris import file_name
 from ..options import OptionError, Options
 from ..schemas import DOCUMENT
 from ..shared import kept
+from .patches import CHUNK_NS, existing_chunks, in_place
 
 log = logging.getLogger(__name__)
 
-CHUNK_NS = "http://docloom.dev/chunks"
 
 # text extraction
 
@@ -314,19 +314,6 @@ def vector_of_base64(text: str) -> list[float]:
     return list(struct.unpack(f"<{struct.unpack_from('<I', raw, 4)[0]}f", raw[8:]))
 
 
-def existing_chunks(docs: DataFrame, options: Options | dict | None = None) -> DataFrame:
-    """``docs`` and chunks of their JSON, found at a pointer (an array of objects or one object); chunks without text are left out."""
-    options = Options.of(options)
-    where, field = options.text("write.embedder.chunks.jsonPointer", "/chunks"), options.text("write.embedder.text.jsonPointer", "/text").strip("/")
-    from ..functions.pointers import json_pointer
-
-    found = json_pointer(F.decode("content", "UTF-8"), where)
-    listed = F.when(F.trim(found).startswith("["), found).otherwise(F.concat(F.lit("["), found, F.lit("]")))
-    texts = F.transform(F.from_json(listed, "array<string>"), lambda c: F.get_json_object(c, f"$.{field.replace('/', '.')}"))
-    kept = F.filter(F.coalesce(texts, F.array().cast("array<string>")), lambda t: t.isNotNull() & (F.trim(t) != ""))
-    return docs.withColumn("chunks", F.transform(kept, lambda t: F.struct(t.alias("text"), F.lit(None).cast("array<float>").alias("embedding"), F.lit(None).cast("binary").alias("classification"), F.lit(None).cast("string").alias("modelName"), F.lit(None).cast("string").alias("metadata"))))
-
-
 # assembly
 
 
@@ -403,12 +390,13 @@ def inlined(docs: DataFrame, options: Options | dict | None = None) -> DataFrame
 def pipeline(docs: DataFrame, options: Options | dict | None = None, classifier=None, model=None, service=None) -> DataFrame:
     """Extract, split, classify, embed, assemble, each if the options ask for it; an external service, if given, stands for the first four."""
     options = Options.of(options)
+    existing = service is None and not options.family("write.splitter.") and bool(options.family("write.embedder."))
     if service is not None:
         docs = served(docs, service, options.number("write.service.timeout", 120, 1))
     else:
         if options.flag("write.extractedText"):
             docs = extracted(docs, options)
-        docs = chunked(docs, options) if options.family("write.splitter.") else existing_chunks(docs, options) if options.family("write.embedder.") else chunked(docs)
+        docs = chunked(docs, options) if options.family("write.splitter.") else existing_chunks(docs, options) if existing else chunked(docs)
     if classifier is not None:
         docs = classified(docs, classifier, options.number("write.classifier.batchSize", 20, 1))
     if service is None and (model is not None or options.has("write.embedder.modelFunction.className")):
@@ -416,10 +404,15 @@ def pipeline(docs: DataFrame, options: Options | dict | None = None, classifier=
     if classifier is not None or model is not None or service is not None:
         docs = kept(docs, "enriched")  # both branches below use it, and what is called, or paid for, is called once
     most = options.number("write.splitter.sidecar.maxChunks", 1, 0)
-    base = inlined(docs, options) if most == 0 or not options.family("write.splitter.") else docs
+    if existing:
+        base = in_place(docs, chunk_objects(options), options)
+    else:
+        base = inlined(docs, options) if most == 0 or not options.family("write.splitter.") else docs
     if "classification" in base.columns:
         base = with_classification(base)
-    if most == 0:
+    if existing:
+        beside = docs.limit(0)
+    elif most == 0:
         beside = docs.filter(~F.col("format").isin("JSON", "XML"))
     else:
         beside = docs if options.family("write.splitter.") or service is not None else docs.limit(0)
