@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import shared
 from .functions import metadata, pointers, uris
-from .operators import documents, enrich, store, triples
+from .operators import documents, enrich, store, temporal, triples
 from .options import Options
 from .plans import buckets, dsl, filters, search, views
 from .sources import rdf
@@ -407,6 +409,35 @@ def bitemporal_intervals(spark, sf_dir):
     return documents.bitemporal(o, "o_custkey", "o_orderdate", "o_orderkey").drop("o_orderdate")
 
 
+_CHANGES = """SELECT DISTINCT client_id, change_id, op = 'D' AS gone, balance, valid_at AS a,
+CASE WHEN op = 'I' THEN NULL ELSE valid_at + to_hours(CAST(24 * (change_id % 40 + 1) AS BIGINT)) END AS b FROM client_changes WHERE valid_at IS NOT NULL AND client_id IS NOT NULL"""
+
+
+@query(f"""WITH w AS ({_CHANGES}), p AS (SELECT v, s FROM (SELECT unnest([TIMESTAMP '2024-02-01', TIMESTAMP '2024-03-15', TIMESTAMP '2024-06-01']) AS v), (SELECT CAST(max(change_id) AS BIGINT) * unnest([1, 2, 4]) // 4 AS s FROM client_changes)),
+f AS (SELECT client_id, v, s, arg_max(struct_pack(change_id, gone, balance), change_id) AS r FROM w JOIN p ON change_id <= s AND a <= v AND (b IS NULL OR v < b) GROUP BY 1, 2, 3)
+SELECT client_id, v AS valid_time, s AS known_at, r.change_id AS change_id, r.balance AS balance FROM f WHERE NOT r.gone""")
+def bitemporal_as_of(spark, sf_dir):
+    """The history of all clients' changes, written in two rounds, read at three valid times as known at three points."""
+    c = table(spark, sf_dir, "client_changes").filter("valid_at IS NOT NULL AND client_id IS NOT NULL").distinct()
+    b = F.when(F.col("op") != "I", F.col("valid_at") + F.make_interval(hours=(24 * (F.col("change_id") % 40 + 1)).cast("int")))
+    w = c.select("client_id", "change_id", (F.col("op") == "D").alias("gone"), "balance", F.col("valid_at").alias("a"), b.alias("b"))
+    most = table(spark, sf_dir, "client_changes").agg(F.max("change_id")).first()[0]
+    history = None
+    for part in (w.filter(F.col("change_id") <= most // 2), w.filter(F.col("change_id") > most // 2)):
+        history = shared.kept(temporal.applied(history, part, "client_id", "a", "b", "change_id", "gone"), "history")
+    found = [temporal.as_of(history, F.to_timestamp_ntz(F.lit(f"{v} 00:00:00")), F.lit(s)).select("client_id", F.to_timestamp_ntz(F.lit(f"{v} 00:00:00")).alias("valid_time"), F.lit(s).cast("long").alias("known_at"), "change_id", "balance") for v in ("2024-02-01", "2024-03-15", "2024-06-01") for s in (most // 4, most * 2 // 4, most)]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+@query("""WITH w AS (SELECT DISTINCT client_id, change_id, valid_at AS a FROM client_changes WHERE valid_at IS NOT NULL AND client_id IS NOT NULL),
+r AS (SELECT client_id, change_id, a, min(a) OVER (PARTITION BY client_id ORDER BY change_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS least FROM w)
+SELECT client_id, change_id, a AS valid_from, least AS valid_to FROM r WHERE least IS NULL OR a < least""")
+def bitemporal_now(spark, sf_dir):
+    """What holds now, from all changes with open ends: each change up to the start of a later one."""
+    c = table(spark, sf_dir, "client_changes").select("client_id", "change_id", F.col("valid_at").alias("a"), F.lit(None).cast("timestamp_ntz").alias("b")).filter("a IS NOT NULL")
+    return temporal.as_of(temporal.applied(None, c, "client_id", "a", "b", "change_id")).select("client_id", "change_id", "valid_from", "valid_to")
+
+
 # triples
 
 

@@ -10,7 +10,7 @@ from .api import Engine
 from .operators import documents, enrich, sinks, triples
 from .queries import _WORDS, XSD, document_rows, query, table
 from .shared import shared_dir
-from .sources import custom, files
+from .sources import custom, datasource, files
 from .streaming import streams
 
 _TEXT = "UTF-8"
@@ -169,6 +169,45 @@ def store_search(spark, sf_dir):
     return engine.read({"read.documents.collections": "de", "read.documents.stringQuery": '"licensed under"'}).select("URI")
 
 
+def indexed(spark, sf_dir):
+    """An engine whose store keeps postings, with all documents."""
+    engine = Engine(spark, folder(spark), index=True)
+    engine.store.write(document_rows(spark, sf_dir))
+    return engine
+
+
+@query(f"SELECT '/' || source || '/' || doc_id || '.txt' AS \"URI\", CAST(length(text) AS BIGINT) AS chars FROM documents WHERE contains(' ' || array_to_string({_WORDS}, ' ') || ' ', ' apache license ') AND NOT list_contains({_WORDS}, 'trash')")
+def index_phrase(spark, sf_dir):
+    """A phrase and an excluded word, found by positions in the index; only what it finds is read."""
+    found = indexed(spark, sf_dir).read({"read.documents.stringQuery": '"apache license" -trash'})
+    return found.select("URI", F.length(F.decode("content", _TEXT)).cast("long").alias("chars"))
+
+
+@query(f"SELECT '/' || source || '/' || doc_id || '.txt' AS \"URI\" FROM documents WHERE lang <> 'de' AND (len(list_filter({_WORDS}, lambda t: starts_with(t, 'licen'))) > 0 OR contains(' ' || array_to_string({_WORDS}, ' ') || ' ', ' all rights '))")
+def index_wildcard_unfiltered(spark, sf_dir):
+    """The index alone says which documents have a word with that start or the phrase."""
+    query = '{"search":{"qtext":"licen* OR \\"all rights\\"","query":{"queries":[{"not-query":{"collection-query":{"uri":["de"]}}}]}}}'
+    return indexed(spark, sf_dir).read({"read.documents.query": query, "read.documents.filtered": "false"}).select("URI")
+
+
+@query(f"SELECT term, count(DISTINCT doc_id) AS documents, count(*) AS occurrences FROM (SELECT doc_id, unnest({_WORDS}) AS term FROM documents) GROUP BY term")
+def index_lexicon(spark, sf_dir):
+    """Every word of the documents, in how many it is and how often."""
+    return indexed(spark, sf_dir).store.lexicon().filter("within = ''").select("term", "documents", "occurrences")
+
+
+@query("SELECT '/' || source || '/' || doc_id || '.txt' AS \"URI\", CAST(length(text) AS BIGINT) AS chars, lang FROM documents WHERE source = 'src1' AND lang <> 'fr'")
+def format_push_down(spark, sf_dir):
+    """All documents through the engine's Spark format, some replaced by a second write; a folder is read back by a filter on the URI."""
+    datasource.register(spark)
+    out = folder(spark)
+    docs = document_rows(spark, sf_dir)
+    docs.withColumn("content", F.lit(b"old")).write.format("docloom").mode("append").save(out)
+    docs.write.format("docloom").mode("append").save(out)
+    back = spark.read.format("docloom").load(out).filter(F.col("URI").startswith("/src1/")).filter("collections[0] <> 'fr'")
+    return back.select("URI", F.length(F.decode("content", _TEXT)).cast("long").alias("chars"), F.col("collections")[0].alias("lang"))
+
+
 @query("SELECT CAST(count(*) FILTER (doc_id % 4 <> 0) AS BIGINT) AS success, CAST(count(*) FILTER (doc_id % 4 = 0) AS BIGINT) AS failed, CAST(0 AS BIGINT) AS skipped FROM documents")
 def write_failure_counts(spark, sf_dir):
     """A quarter of the documents is invalid JSON: it is counted and put into an archive, the rest is written."""
