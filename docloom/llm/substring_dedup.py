@@ -190,9 +190,11 @@ def _shared(pairs: DataFrame, parts: int) -> DataFrame:
 
     Anchors with over a quarter of a partition's share, at most 4 times the partitions, are counted where they are and broadcast; the others meet in windows.
     """
-    hot = hot_keys(pairs, ["anchor"], pairs.count(), parts, F.min("rid").alias("first")).withColumnRenamed("n", "all")
-    none = pairs.sparkSession.range(1).selectExpr("CAST(NULL AS long) AS anchor", "0L AS all", "0L AS first")
-    hot = hot.unionByName(none)  # a row that meets none, so the plan is the same with and without hot anchors
+    hot = hot_keys(pairs, ["anchor"], pairs.count(), parts, F.min("rid").alias("home"))
+    if one := pairs.select("anchor").first():  # some anchor is always among them, so the plan is the same with and without hot ones
+        some = pairs.filter(F.col("anchor") == one[0]).groupBy("anchor").agg(F.count("*").alias("n"), F.min("rid").alias("home"))
+        hot = hot.unionByName(some)
+    hot = hot.groupBy("anchor").agg(F.max("n").alias("all"), F.min("home").alias("first"))
     met = pairs.join(F.broadcast(hot), "anchor", "left")
     among = Window.partitionBy("anchor", F.when(F.col("all").isNotNull(), F.col("rid")))  # rows of a hot anchor don't meet
     n, home = F.coalesce("all", F.count("*").over(among)), F.coalesce("first", F.min("rid").over(among))
