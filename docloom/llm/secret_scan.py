@@ -42,7 +42,7 @@ _PREFIX = re.compile(r"[rbfuRBFU]{0,2}(?=[\"'`])")
 _NAME = re.compile(r"[A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)*(?![\w+/=-])")
 _BARE = re.compile(r"[^\s,;#\"'`(){}\[\]<>&=]+={0,2}")
 _JOIN = re.compile(r"(?:\+|\.\.|&|\|\|)(?=\s*[\w\"'`$])|(?=[\"'])")
-_TYPE = re.compile(r"[ \t]*(?:\[[\w., \[\]]{0,200}\])?[ \t]*=(?!=)")
+_TYPE = re.compile(r"[ \t]*(?:\[[\w., \[\]]*\])?[ \t]*=(?!=)")
 _BLOCK = re.compile(r"[ \t]*[|>][+-]?\d?[+-]?[ \t]*(?:#[^\n]*)?\n")
 _LINE = re.compile(r"([ \t]*)([^\n]*)(?:\n|\Z)")
 _TEXT = re.compile(r"[^<>]*(?=</)")
@@ -71,7 +71,9 @@ class Value:
                 self.url = p.url if p.url is not None else False if self.url and "@" in p.characters() else self.url
 
     def characters(self) -> Counter:
-        return Counter(self.text) if self.count is None else self.count
+        if self.count is None:
+            self.count = Counter(self.text)  # once, however often the constant is used
+        return self.count
 
     def literals(self):
         """The spans of the literals in it that weren't given out before."""
@@ -228,7 +230,7 @@ class _Lexer:
             elif kind == "quote":
                 end = self.string(m[0], at)
                 if end is not None:
-                    name = text[at:end] if end - at <= 200 else ""
+                    name = text[at:end]
                     target, at = ((name, m.start()) if name else None), end + len(m[0])
             elif kind == "op":
                 if target is None:

@@ -106,3 +106,19 @@ def test_tables(spark, tmp_path, make):
         assert r["n_assign"] == sum(k == "assign" for k, _, _ in want)
         assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
     assert s.scanned(make([])).collect() == []
+
+
+def test_names_and_types_of_any_length():
+    for n in (10, 190, 210, 5000):
+        assert literals(f'{{"{"x" * n}_password": "hunter2-Zq81LkP0"}}') == ["hunter2-Zq81LkP0"], n
+        assert s._TYPE.match(f"[{'str, ' * n}str] = ")
+
+
+def test_a_long_constant_used_often_takes_linear_time():
+    took = []
+    for n in (2000, 8000):
+        text = "x = '" + "aB3" * n + "'\n" + "".join(f"token_{i} = x\n" for i in range(n))
+        began = time.process_time()
+        s.scan(text)
+        took.append(time.process_time() - began)
+    assert took[1] < 8 * took[0] + 0.5
