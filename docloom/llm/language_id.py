@@ -180,7 +180,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> It
 def identified(docs: DataFrame, models: Iterator[Model] | Model, text_col: str = "text") -> DataFrame:
     """``docs`` and lang_pred, score: a learned language, or ``und`` with 0.0 where the text is null or has no letter.
 
-    Languages of equal probability go by name. Rows and other columns stay, repeated rows and null ids too; columns named lang_pred and score are replaced. Long texts are
+    Languages of equal probability go by name. Rows and other columns stay, repeated rows and null ids too; columns named lang_pred and score are replaced, no other name clashes. Long texts are
     scored whole, part by part. An empty table gives no rows.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -188,7 +188,9 @@ def identified(docs: DataFrame, models: Iterator[Model] | Model, text_col: str =
     base = docs.drop("lang_pred", "score")
     out = base
     models = [models] if isinstance(models, Model) else models
-    judged = extended(base, "__pred string, __best double, __mass double")
+    taken = {c.lower() for c in base.columns}
+    inner = {n: next(x for x in (f"__{n}{'_' * k}" for k in range(len(taken) + 1)) if x not in taken) for n in ("pred", "best", "mass")}
+    judged = extended(base, f"{inner['pred']} string, {inner['best']} double, {inner['mass']} double")
     arrow = to_arrow_schema(judged)
     for nth, model in enumerate(models):
         shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -202,14 +204,14 @@ def identified(docs: DataFrame, models: Iterator[Model] | Model, text_col: str =
                     before = unjudged(b - a)
                     if nth:
                         names = part.schema.names
-                        before = (part.column(names.index("__pred")).to_pylist(), *[part.column(names.index(c)).to_numpy().copy() for c in ("__best", "__mass")])
+                        before = (part.column(names.index(inner["pred"])).to_pylist(), *[part.column(names.index(inner[c])).to_numpy().copy() for c in ("best", "mass")])
                     pred, best, mass = m.judged(texts[a:b], before)
-                    yield replaced(part, {"__pred": pa.array(pred, pa.string()), "__best": pa.array(best), "__mass": pa.array(mass)}, arrow)
+                    yield replaced(part, {inner["pred"]: pa.array(pred, pa.string()), inner["best"]: pa.array(best), inner["mass"]: pa.array(mass)}, arrow)
 
         out = out.mapInArrow(run, judged)
-    found = F.col("__pred").isNotNull()
-    score = F.when(found, F.least(F.lit(1.0), F.exp(F.col("__best") - F.col("__mass")))).otherwise(F.lit(0.0))
-    return out.select(*[F.col(f"`{c}`") for c in base.columns], F.coalesce("__pred", F.lit(UNDETERMINED)).alias("lang_pred"), score.alias("score"))
+    pred, best, mass = (F.col(inner[n]) for n in ("pred", "best", "mass"))
+    score = F.when(pred.isNotNull(), F.least(F.lit(1.0), F.exp(best - mass))).otherwise(F.lit(0.0))
+    return out.select(*[F.col(f"`{c}`") for c in base.columns], F.coalesce(pred, F.lit(UNDETERMINED)).alias("lang_pred"), score.alias("score"))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -18,7 +18,7 @@ def make(spark):
         if extra:
             from pyspark.sql import functions as F
 
-            for name in ("spans", "tokens", "score", "fp", "keep", "shard", "n", "lang_pred", "size"):
+            for name in ("spans", "tokens", "score", "fp", "keep", "shard", "n", "lang_pred", "size", "__pred", "__best", "__mass", "text_hash", "block"):
                 df = df.withColumn(name, F.lit(7))
         return df
 
