@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import re
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ BACK = np.array([1, 2, 3, 4, 5, 7, 9, 13, 17, 33, 65])
 SHARD_ROWS = 250_000
 #: Characters of the texts whose n-grams are looked up together.
 BLOCK_CHARS = 1 << 22
+#: How hard zstd packs blocks of texts and windows, which lie on disk until all values are there.
+STORED_LEVEL = 9
 #: Rows of an Arrow batch where rows hold blocks or shards, of up to some MB each.
 BLOB_ROWS = 4
 #: N-grams that meet one copy of a shard, as a multiple of its entries: copies of the model are never more than a part of what is looked up.
@@ -42,6 +46,8 @@ STEP = 1e-3
 
 _ODD = np.random.default_rng(11).integers(0, 1 << 64, ORDER + 1, np.uint64, endpoint=False) | np.uint64(1)
 
+_SPACE = re.compile(r"\s")
+
 
 def characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all texts, one after the other, and where each begins (and the last ends)."""
@@ -66,17 +72,20 @@ def parts_of(text: str) -> list[tuple[str, int]]:
 
 
 def rhythm(text: str | None) -> str:
-    """A letter for each word: the class of its distance to its last occurrence, cases apart no difference. Repeated words or lines read like no prose."""
-    out = []
-    for part, _ in parts_of(text or ""):
-        words = part.lower().split()
-        code = np.fromiter(map(hash, words), np.int64, len(words))
-        order = np.argsort(code, kind="stable")
-        same = code[order[1:]] == code[order[:-1]]
-        back = np.full(len(words), BACK[-1])
-        back[order[1:][same]] = (order[1:] - order[:-1])[same]
-        out.append((np.searchsorted(BACK, back, side="right") + 64).astype(np.uint8).tobytes().decode())
-    return "".join(out)
+    """A letter for each word: the class of its distance to its last occurrence, cases apart no difference. Repeated words or lines read like no prose. Long texts are split part by part."""
+    text, at, codes = text or "", 0, [np.zeros(0, np.int64)]
+    while at < len(text):
+        space = _SPACE.search(text, at + PART_CHARS)
+        end = space.start() if space else len(text)
+        words = text[at:end].lower().split()
+        codes.append(np.fromiter(map(hash, words), np.int64, len(words)))
+        at = end
+    code = np.concatenate(codes)
+    order = np.argsort(code, kind="stable")
+    same = code[order[1:]] == code[order[:-1]]
+    back = np.full(len(code), BACK[-1])
+    back[order[1:][same]] = (order[1:] - order[:-1])[same]
+    return (np.searchsorted(BACK, back, side="right") + 64).astype(np.uint8).tobytes().decode()
 
 
 def rhythms(trusted: DataFrame) -> DataFrame:
@@ -209,12 +218,12 @@ class Table:
         return out
 
 
-def _packed(batch: pa.RecordBatch) -> bytes:
+def _packed(batch: pa.RecordBatch, level: int = 1) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema) as out:
         out.write_batch(batch)
     raw = sink.getvalue()
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=level).compress(raw, asbytes=True)
 
 
 def _unpacked(payload: bytes) -> pa.RecordBatch:
@@ -353,7 +362,7 @@ def shards(model: DataFrame) -> tuple[DataFrame, int]:
 
 
 def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) -> DataFrame:
-    """(doc_id, lang, chars, logp, words, beat) of each row: beat is the log probability of its rhythm under the model of that name, 0 without one.
+    """(doc_id, lang, chars, logp, words, beat, text_hash) of each row: beat is the log probability of its rhythm under the model of that name, 0 without one.
 
     Texts are read once, in blocks. A block's distinct windows go to the model's shards, each window to one, and come back with their log probabilities, which
     the block's texts, which stay in the bucket they were written to, then sum up; so nothing of the character model is gathered in one place. Null and empty texts: 0 in all four. The rhythms' model has at most
@@ -416,13 +425,14 @@ def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) ->
                 known = Table(grams(words_, of)[0], np.concatenate([np.zeros(0, np.float32), *value]))
                 logp = summed(words_, lambda code, ends, known=known: known.get(window_keys(code)[ends - ORDER + 1]))
                 rest = [texts.column(c) for c in ("doc_id", "lang", "chars")]
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(logp), texts.column("words"), texts.column("beat")], names=["doc_id", "lang", "chars", "logp", "words", "beat"])
+                yield pa.RecordBatch.from_arrays([*rest, pa.array(logp), *[texts.column(c) for c in ("words", "beat", "text_hash")]], names=["doc_id", "lang", "chars", "logp", "words", "beat", "text_hash"])
 
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in carried], "chars long", "logp double", "words long", "beat double"])
-    with few_rows(spark, BLOB_ROWS):
-        out = written(whole.mapInArrow(add_up, schema), "lm-scores")
-    spark.sql(f"DROP TABLE {name}")
-    return out
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in carried], "chars long", "logp double", "words long", "beat double", "text_hash long"])
+    try:
+        with few_rows(spark, BLOB_ROWS):
+            return written(whole.mapInArrow(add_up, schema), "lm-scores")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 def _floats(payload: bytes) -> np.ndarray:
@@ -441,14 +451,15 @@ def _block(held: list[pa.RecordBatch], second: Shard | None, of: int) -> Iterato
     told = [rhythm(t) for t in texts] if second else [""] * len(texts)
     beaten = second.score(told) if second else np.zeros(len(texts))
     own = [pa.array([len(t) for t in texts], pa.int64()), pa.array([len(t) for t in told], pa.int64()), pa.array(beaten), pa.array(texts, pa.large_string())]
-    batch = pa.RecordBatch.from_arrays([rows.column(0).combine_chunks(), rows.column(1).combine_chunks(), *own], names=["doc_id", "lang", "chars", "words", "beat", "text"])
+    hashed = pa.array(np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), 42) for t in texts], np.uint64).view(np.int64))  # that of Spark's xxhash64
+    batch = pa.RecordBatch.from_arrays([rows.column(0).combine_chunks(), rows.column(1).combine_chunks(), *own, hashed], names=["doc_id", "lang", "chars", "words", "beat", "text", "text_hash"])
     block = uuid.uuid4().int >> 65
-    out = [(-1, len(texts), _packed(batch))]
+    out = [(-1, len(texts), _packed(batch, STORED_LEVEL))]
     _, windows, number = grams(texts, of)
     at = np.searchsorted(number, np.arange(of + 1))
     for k in np.flatnonzero(np.diff(at)).tolist():
         mine = windows[at[k] : at[k + 1]].astype(np.uint32)
-        out.append((k, len(mine), _packed(pa.RecordBatch.from_arrays([pa.array(mine[:, i].copy()) for i in range(ORDER)], names=[f"c{i}" for i in range(ORDER)]))))
+        out.append((k, len(mine), _packed(pa.RecordBatch.from_arrays([pa.array(mine[:, i].copy()) for i in range(ORDER)], names=[f"c{i}" for i in range(ORDER)]), STORED_LEVEL)))
     for k, n, payload in out:
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([k], pa.int32()), pa.array([n], pa.int64()), pa.array([payload], pa.binary())], names=["block", "shard", "n", "payload"])
 
@@ -459,7 +470,7 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` rows as (doc_id, lang, chars, score, limit, beat, beat_limit, keep), where doc_id is not null or is.
+    """``docs`` rows as (doc_id, lang, chars, score, limit, beat, beat_limit, text_hash, keep), where doc_id is not null or is.
 
     score is the mean negative log probability a character (log perplexity) under a model of the trusted texts, with ``PRIOR_CHARS`` characters at the
     trusted mean added; beat is the same a word for the texts' rhythms, with ``PRIOR_WORDS`` words. keep is whether both are at most the language's limits.
@@ -485,7 +496,7 @@ def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = _limited(rows, known, scores["score"], "limit")
     rows = _limited(rows, known, scores["beat"], "beat_limit").withColumns(scores)
     within = (F.col("score") <= F.col("limit")) & (F.col("beat") <= F.col("beat_limit"))
-    return rows.select("doc_id", "lang", "chars", "score", "limit", "beat", "beat_limit", F.coalesce(within, F.lit(True)).alias("keep"))
+    return rows.select("doc_id", "lang", "chars", "score", "limit", "beat", "beat_limit", "text_hash", F.coalesce(within, F.lit(True)).alias("keep"))
 
 
 def _limited(rows: DataFrame, known: DataFrame, score: Column, name: str) -> DataFrame:
@@ -526,9 +537,12 @@ def quantiles(known: DataFrame) -> tuple[DataFrame, float | None]:
 
 
 def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, all columns as they are; rows without an id stay."""
-    bad = written(classified(docs, labels).filter("not keep and doc_id is not null").select("doc_id").distinct(), "rejected")
-    return docs.join(F.broadcast(bad) if bad.count() <= BROADCAST_IDS else bad, "doc_id", "left_anti")
+    """The rows of ``docs`` that the classifier keeps, all columns as they are. A row is known by its id and its text: of rows that repeat an id those with a rejected text go, and rows without an id too."""
+    bad = classified(docs, labels).filter("not keep").select(F.col("doc_id").alias("bad_id"), F.col("lang").alias("bad_lang"), F.col("text_hash").alias("bad_hash")).distinct()
+    bad = written(bad, "rejected")
+    few = F.broadcast(bad) if bad.count() <= BROADCAST_IDS else bad
+    same = docs["doc_id"].eqNullSafe(F.col("bad_id")) & docs["lang"].eqNullSafe(F.col("bad_lang")) & (F.xxhash64(docs["text"]) == F.col("bad_hash"))
+    return docs.join(few, same, "left_anti")
 
 
 def op2_quality(spark, sf_dir: str) -> DataFrame:

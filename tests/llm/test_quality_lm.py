@@ -180,3 +180,20 @@ def test_join_instead_of_broadcast(make, labels, words, monkeypatch):
 def test_without_labels_or_rows(make, labels):
     assert q.filtered(make(ODD), labels([])).count() == len(ODD)
     assert q.classified(make([]), labels([(1, 1, 0)])).collect() == []
+
+
+def test_rhythm_of_a_long_text_is_that_of_its_words(monkeypatch, words):
+    text = words(3000, 3) + " same" * 500 + "\u2028Same  " + words(200, 3)
+    whole = q.rhythm(text)
+    monkeypatch.setattr(q, "PART_CHARS", 37)
+    assert q.rhythm(text) == whole and len(whole) == len(text.split())
+
+
+def test_a_row_goes_by_its_id_and_text(make, labels, words):
+    """Of rows that repeat an id those with a junk text go; junk without an id goes too."""
+    good, bad, _, marks = corpus(words)
+    junk = bad[0][1]
+    rows = [(5000, good[0][1]), (5000, junk), (None, good[1][1]), (None, junk)]
+    kept = q.filtered(make(good + bad + rows), labels(marks)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept if r["doc_id"] in (5000, None)) == sorted([(5000, good[0][1]), (0, good[1][1])])
+    assert {i for i, *_ in good} <= {r["doc_id"] for r in kept}
