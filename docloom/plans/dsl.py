@@ -90,7 +90,7 @@ def parse(text: str) -> Any:
             if peek()[1] == "(":
                 take("(")
                 calls.append(Call(here, tuple(several(")", value))))
-            elif not calls and here in ("op", "cts"):
+            elif not calls and here in ("op", "cts", "sem", "rdf", "xs"):
                 pass
             else:
                 raise DslError(f"{here!r} is not a value")
@@ -123,8 +123,9 @@ _AGGREGATE = {"count": F.count, "sum": F.sum, "avg": F.avg, "mean": F.avg, "min"
 class Builder:
     """Turns parsed chains into DataFrames. Grouping, order and limits hold over all rows, however the scan is partitioned."""
 
-    def __init__(self, views: Views, store=None, params: dict[str, Any] | None = None):
-        self.views, self.store, self.params = views, store, params or {}
+    def __init__(self, views: Views, store=None, params: dict[str, Any] | None = None, triples: DataFrame | None = None):
+        """triples: triple rows for ``fromTriples``; without them those of the store's documents."""
+        self.views, self.store, self.params, self.triples = views, store, params or {}, triples
 
     def frame(self, text: str) -> DataFrame:
         chain = parse(text)
@@ -173,6 +174,39 @@ class Builder:
                 cols.append(F.get_json_object("__doc", f"$.{call.args[0]}").alias(name))
         return docs.select(*cols).distinct()
 
+    def _fromTriples(self, patterns, qualifier=None, graphs=None, options=None) -> DataFrame:  # noqa: N802
+        """Solutions of op.pattern(subject, predicate, object, graph) calls: op.col is a variable, sem.iri an IRI, anything else a literal; op.optional([patterns]) is left joined."""
+        from ..operators import patterns as p
+        from ..operators.triples import rows
+
+        def term(value, literal: bool):
+            if isinstance(value, Chain):
+                call = value.calls[-1]
+                if call.name in ("col", "graphCol"):
+                    return p.Var(call.args[-1])
+                if call.name == "iri":
+                    return p.Iri(call.args[0])
+                if call.name == "langString":
+                    return p.Literal(call.args[0], lang=call.args[1])
+                if call.name == "typed":
+                    return p.Literal(str(call.args[0]), datatype=call.args[1])
+                raise DslError(f"{call.name} is no term of a pattern")
+            return p.Literal(str(value)) if literal else p.Iri(str(value))
+
+        def pattern(chain: Chain) -> p.Pattern:
+            call = chain.calls[-1]
+            if call.name != "pattern" or not 3 <= len(call.args) <= 4:
+                raise DslError("a pattern has a subject, a predicate, an object and perhaps a graph")
+            return p.Pattern(*[term(a, k == 2) for k, a in enumerate(call.args)])
+
+        each = patterns if isinstance(patterns, list) else [patterns]
+        needed = [pattern(c) for c in each if c.calls[-1].name != "optional"]
+        groups = [[pattern(c) for c in (g if isinstance(g, list) else [g])] for x in each if x.calls[-1].name == "optional" for g in [x.calls[-1].args[0]]]
+        names_ = None if graphs is None else [g.calls[-1].args[0] if isinstance(g, Chain) else g for g in (graphs if isinstance(graphs, list) else [graphs])]
+        triples = self.triples if self.triples is not None else rows(self._documents())
+        found = p.solutions(triples, needed, groups, names_, (options or {}).get("dedup", "on") != "off")
+        return found.select(*[F.col(names.quoted(c)).alias(names.qualified("", qualifier or "", c)) for c in found.columns])
+
     def _documents(self) -> DataFrame:
         if self.store is None:
             raise DslError("this accessor needs a document store")

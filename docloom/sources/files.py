@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import codecs
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,6 +21,10 @@ PASSED = ("pathGlobFilter", "recursiveFileLookup", "modifiedBefore", "modifiedAf
 TYPES = ("rdf", "archive", "bulk_archive", "json_lines", "aggregate_xml")
 
 
+#: Files that ``late`` opens by their names.
+NAMED = 10_000
+
+
 def listed(spark: SparkSession, paths: str | list[str], options: Options) -> DataFrame:
     """The files: path, modificationTime, length, content. Content is read only if a later step uses it."""
     reader = spark.read.format("binaryFile")
@@ -132,7 +137,7 @@ def json_lines(spark: SparkSession, paths: str | list[str], options: Options) ->
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], names=["value", "path", "block", "nth"])
 
     numbered = lines.mapInArrow(run, "value string, path string, block long, nth long")
-    blocks = numbered.groupBy("path", "block").agg(F.max("nth").alias("lines"))
+    blocks = lines.groupBy("path", "block").agg(F.count("*").alias("lines"))  # in the JVM; lines pass Python once
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     shift = blocks.select("path", "block", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("shift"))
     found = numbered.filter(F.trim("value") != "").join(shift, ["path", "block"])
@@ -176,13 +181,21 @@ def expanded(files: DataFrame, options: Options, schema) -> DataFrame:
 
 
 def late(rows: DataFrame, options: Options | dict | None = None) -> DataFrame:
-    """The documents of rows that ``streamFiles`` left without content, read now: a zip's row becomes a row for each entry."""
+    """The documents of rows that ``streamFiles`` left without content, read now: a zip's row becomes a row for each entry.
+
+    Up to ``NAMED`` files are opened by their names and no other file is listed or opened. More are found by listing their folders, and then the files that aren't asked for are left unread where Spark
+    can tell, else read in vain.
+    """
     options = Options.of(options)
     spark = rows.sparkSession
     uris = rows.select(F.col("URI").alias("path")).distinct()
+    some = [r["path"] for r in uris.filter("path IS NOT NULL").limit(NAMED + 1).toLocalIterator()]
+    if not some:
+        return spark.createDataFrame([], DOCUMENT)
+    if len(some) <= NAMED:
+        literal = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in some]  # a name is no pattern
+        return expanded(listed(spark, literal, options).select("path", "content"), options, DOCUMENT)
     folder = F.regexp_replace("path", r"[^/]*$", "")
     folders = [r[0] for r in uris.select(folder.alias("f")).distinct().toLocalIterator()]  # one a folder, however many files it has
-    if not folders:
-        return spark.createDataFrame([], DOCUMENT)
     files = listed(spark, folders, options).join(uris, "path", "left_semi")
     return expanded(files.select("path", "content"), options, DOCUMENT)
