@@ -11,9 +11,9 @@ import uuid
 import xml.dom.minidom
 import zipfile
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from datetime import datetime, timezone
-from itertools import chain
+from itertools import chain, islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +28,8 @@ from . import triples
 log = logging.getLogger(__name__)
 #: Entries of one zip from which a warning is logged.
 WARN_ENTRIES = 500_000
+#: Triples that an RDF file is written by at a time.
+RDF_BLOCK = 5000
 
 
 def pretty(content: bytes, name: str) -> bytes:
@@ -147,6 +149,14 @@ def write_files(docs: DataFrame, path: str, options: Options | dict | None = Non
     return _by_partition(rows, write)[0]
 
 
+def rdf_parts(content: bytes, syntax: str) -> tuple[bytes, bytes, bytes]:
+    """(head, body, end) of a file; bodies follow each other between one head and one end. Only TriX has any but a body."""
+    if syntax != "trix":
+        return b"", content, b""
+    head, end = re.search(rb"<TriX[^>]*>", content).end(), content.rindex(b"</TriX>")
+    return content[:head], content[head:end], content[end:]
+
+
 def write_rdf(rows: DataFrame, path: str, options: Options | dict | None = None) -> int:
     """Writes triples, one file a partition that has any; ``write.files.rdf.format`` is ttl, nt, nq, trig or trix."""
     options = Options.of(options)
@@ -164,12 +174,18 @@ def write_rdf(rows: DataFrame, path: str, options: Options | dict | None = None)
     def write(found: Iterator[dict]) -> tuple[int, int]:
         from pyspark import TaskContext
 
-        kept = list(found)
-        if kept:
-            content = serialized(kept, syntax, graph)
-            name = f"{job}-{TaskContext.get().partitionId()}.{syntax}"
-            folder.put(name + (".gz" if squeezed else ""), gzip.compress(content, mtime=0) if squeezed else content)
-        return len(kept), 0
+        first = next(found, None)
+        if first is None:
+            return 0, 0
+        n, found = 0, chain((first,), found)
+        with folder.opened(f"{job}-{TaskContext.get().partitionId()}.{syntax}" + (".gz" if squeezed else "")) as f, gzip.GzipFile("", "wb", fileobj=f, mtime=0) if squeezed else nullcontext(f) as out:
+            end = b""
+            while block := list(islice(found, RDF_BLOCK)):
+                head, body, end = rdf_parts(serialized(block, syntax, graph), syntax)
+                out.write(body if n else head + body)
+                n += len(block)
+            out.write(end)
+        return n, 0
 
     return _by_partition(rows, write)[0]
 

@@ -62,11 +62,6 @@ def documents(rows: DataFrame, options: Options | dict | None = None) -> DataFra
     )
 
 
-def group_number(graph: str, order: list[str], size: int = GROUP) -> Column:
-    """The number of the group of ``size`` rows that a row falls into within its graph."""
-    return F.floor((F.row_number().over(Window.partitionBy(graph).orderBy(*order)) - 1) / size)
-
-
 def graphs(rows: DataFrame, options: Options | dict | None = None, known: DataFrame | None = None) -> DataFrame:
     """The (graph) names that rows use and a table of known ones lacks."""
     found = rows.select(graph_of(Options.of(options)).alias("graph")).distinct()

@@ -458,11 +458,35 @@ def triples_of_documents(spark, sf_dir):
     return triples.rows(docs, {"read.triples.baseIri": "http://base/"}).select("subject", "object", "datatype", "graph")
 
 
-@query("""SELECT graph, grp, count(*) AS n FROM (SELECT o_orderstatus AS graph, CAST(floor((row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) / 100) AS BIGINT) AS grp FROM orders) GROUP BY 1, 2""")
+@query("""SELECT s_name AS name, n_name AS nation, CASE WHEN s_acctbal < 0 THEN CAST(s_suppkey AS VARCHAR) END AS debtor, r_name AS region
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA'""")
+def triples_patterns(spark, sf_dir):
+    """Triples of all suppliers, nations and regions; what fits a chain of patterns with an optional one, less a region."""
+
+    def of(name: str, key: str, kind: str, columns: dict, links: dict) -> DataFrame:
+        df = table(spark, sf_dir, name)
+        node = lambda k, c: F.concat(F.lit(f"http://{k}/"), F.col(c).cast("string"))
+        out = triples.of_columns(df, node(kind, key), {f"http://p/{n}": c for n, c in columns.items()})
+        for n, (target, c) in links.items():
+            iri = F.lit(None).cast("string")
+            out = out.unionByName(df.select(node(kind, key).alias("subject"), F.lit(f"http://p/{n}").alias("predicate"), node(target, c).alias("object"), iri.alias("datatype"), iri.alias("lang"), iri.alias("graph")))
+        return out
+
+    t = of("supplier", "s_suppkey", "s", {"name": F.col("s_name"), "debtor": F.when(F.col("s_acctbal") < 0, F.col("s_suppkey").cast("string"))}, {"in": ("n", "s_nationkey")})
+    t = t.unionByName(of("nation", "n_nationkey", "n", {"called": F.col("n_name")}, {"of": ("r", "n_regionkey")})).unionByName(of("region", "r_regionkey", "r", {"titled": F.col("r_name")}, {}))
+    ask = ", ".join(f"op.pattern(op.col('{a}'), sem.iri('http://p/{b}'), op.col('{c}'))" for a, b, c in (("s", "name", "name"), ("s", "in", "n"), ("n", "called", "nation"), ("n", "of", "r"), ("r", "titled", "region")))
+    q = f"op.fromTriples([{ask}, op.optional([op.pattern(op.col('s'), sem.iri('http://p/debtor'), op.col('debtor'))])]).where(op.ne(op.col('region'), 'ASIA')).select(['name', 'nation', 'debtor', 'region'])"
+    return dsl.Builder(views.Views(spark), triples=t.filter("object IS NOT NULL")).frame(q)
+
+
+@query("SELECT 'http://g/' || o_orderstatus AS graph, 2 * count(*) AS triples, true AS at_most_100 FROM orders GROUP BY 1")
 def triples_batched_100(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("graph"), "o_orderkey")
-    return o.withColumn("grp", triples.group_number("graph", ["o_orderkey"])).groupBy("graph", "grp").agg(F.count("*").alias("n"))
-
+    """Two triples of each order into documents of at most 100, a graph a status: what is read back of each graph's documents."""
+    o = table(spark, sf_dir, "orders")
+    t = triples.of_columns(o, F.concat(F.lit("http://o/"), F.col("o_orderkey").cast("string")), {"http://p/customer": F.col("o_custkey"), "http://p/priority": F.col("o_orderpriority")}, F.concat(F.lit("http://g/"), "o_orderstatus"))
+    docs = triples.documents(t).select("URI", "content", "collections")
+    of_each = triples.rows(docs.withColumn("collections", F.array(F.concat("URI", F.lit("|"), F.col("collections")[0])))).groupBy("graph").agg(F.count("*").alias("n"))
+    return of_each.groupBy(F.substring_index("graph", "|", -1).alias("graph")).agg(F.sum("n").alias("triples"), (F.max("n") <= triples.GROUP).alias("at_most_100"))
 
 @query("SELECT DISTINCT c_mktsegment AS graph FROM customer WHERE c_mktsegment <> 'BUILDING'")
 def graph_distinct(spark, sf_dir):
@@ -552,16 +576,17 @@ def embed_base64(spark, sf_dir):
     return e.select("vec_id", F.size("back").alias("dim"), (F.col("back") == F.col("embedding")).alias("same"))
 
 
-@query("""SELECT CAST(p AS INTEGER) AS part, CAST(b AS INTEGER) AS bucket, CAST(CAST(18446744073709551616 AS HUGEINT) * (p * 3 + b) // 12 AS DECIMAL(20, 0)) AS lower,
-CAST(CAST(18446744073709551616 AS HUGEINT) * (p * 3 + b + 1) // 12 - 1 AS DECIMAL(20, 0)) AS upper FROM range(4) AS x(p), range(3) AS y(b)""")
+@query("""WITH c AS (SELECT CAST(greatest(1, ceil(ceil(count(*) / 4.0) / 1000.0)) AS BIGINT) AS each FROM orders), x AS (SELECT p, each, unnest(range(each)) AS b FROM c, range(4) AS y(p))
+SELECT CAST(p AS INTEGER) AS part, CAST(b AS INTEGER) AS bucket, CAST(CAST(18446744073709551616 AS HUGEINT) * (p * each + b) // (4 * each) AS DECIMAL(20, 0)) AS lower,
+CAST(CAST(18446744073709551616 AS HUGEINT) * (p * each + b + 1) // (4 * each) - 1 AS DECIMAL(20, 0)) AS upper FROM x""")
 def rowid_buckets(spark, sf_dir):
+    """The row-id ranges that a stream of all orders is dealt into, 1,000 rows each."""
     from decimal import Decimal
 
-    plan = buckets.plan(4, 1000, 12_000)
+    plan = buckets.plan(4, 1000, table(spark, sf_dir, "orders").count())
     rows = [(p, b, Decimal(x.lower), Decimal(x.upper)) for p, part in enumerate(plan) for b, x in enumerate(part.buckets)]
     return spark.createDataFrame(rows, "part int, bucket int, lower decimal(20,0), upper decimal(20,0)")
 
-
 @query()
 def html_text(spark, sf_dir):
     """The text of every page."""

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterable
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators import documents, sinks
 from ..options import Options
 from ..plans import buckets
+from ..shared import shared_dir
 from ..sources import custom
 
 
@@ -69,43 +72,25 @@ class PartitionSource(DataSource):
         return ListReader(len(values), rows)
 
 
-class BucketSource(DataSource):
-    """``docloom_buckets``: the row-id buckets of a view, one a micro-batch; with ``bucketed`` each becomes its rows."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "docloom_buckets"
-
-    def schema(self) -> str:
-        return "bucket int, lower decimal(20,0), upper decimal(20,0)"
-
-    def streamReader(self, schema: StructType) -> DataSourceStreamReader:  # noqa: N802
-        o = Options.of(dict(self.options))
-        plan = buckets.plan(o.number("numpartitions", 4, 1), o.number("batchsize", 0, 0), o.number("rowcount", 1, 0))
-        flat = [b for p in plan for b in p.buckets]
-        return ListReader(len(flat), lambda i: [(i, Decimal(flat[i].lower), Decimal(flat[i].upper))])
-
-
 def row_id(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` and __row_id, an unsigned 64-bit hash of the keys as a decimal."""
-    from pyspark.sql import functions as F
-
     h = F.xxhash64(*keys).cast("decimal(20,0)")
     return df.withColumn("__row_id", F.when(h < 0, h + F.lit(Decimal(1 << 64)).cast("decimal(20,0)")).otherwise(h))
 
 
 def stream_view(spark: SparkSession, view: DataFrame, keys: list[str], partitions: int = 4, batch_size: int = 0) -> DataFrame:
-    """A stream of a view's rows, a bucket a micro-batch."""
-    spark.dataSource.register(BucketSource)
-    count = view.count()
-    stream = spark.readStream.format("docloom_buckets").option("numPartitions", partitions).option("batchSize", batch_size).option("rowCount", count).load()
-    rows = row_id(view, *keys)
-    from pyspark.sql import functions as F
-
-    # a bucket's number follows from a row's id, so the stream joins by equality
-    total = sum(len(p.buckets) for p in buckets.plan(partitions, batch_size, count)) or 1
+    """A stream of a view's rows, a bucket of row ids a micro-batch.
+
+    The view is read once: its rows are written in a file a bucket to the shared folder, and a micro-batch reads the next file alone.
+    """
+    total = sum(len(p.buckets) for p in buckets.plan(partitions, batch_size, view.count())) or 1
+    # a bucket's number follows from a row's id
     number = F.floor(F.col("__row_id").cast("decimal(38,0)") * total / F.lit(Decimal(1 << 64)).cast("decimal(38,0)")).cast("int")
-    return stream.join(rows.withColumn("bucket", F.least(number, F.lit(total - 1))), "bucket").select(*view.columns)
+    rows = row_id(view, *keys).withColumn("__bucket", F.least(number, F.lit(total - 1))).drop("__row_id")
+    path = f"{shared_dir(spark)}/view-{uuid.uuid4().hex}"
+    rows.repartition(total, "__bucket").write.partitionBy("__bucket").parquet(path)
+    schema = StructType([*view.schema.fields, StructField("__bucket", IntegerType())])
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path).select(*view.columns)
 
 
 def stream_custom(spark: SparkSession, options: dict) -> DataFrame:

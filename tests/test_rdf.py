@@ -95,3 +95,20 @@ def test_what_stands_before_an_error_is_read():
         for r in rdf.parse("a.trig", text.encode()):
             rows.append(r["object"])
     assert rows == ["1", "2"]
+
+
+@pytest.mark.parametrize("syntax", ["nt", "nq", "ttl", "trig", "trix"])
+@pytest.mark.parametrize("squeezed", ["", "gzip"])
+def test_files_are_written_block_by_block(spark, tmp_path, monkeypatch, syntax, squeezed):
+    from docloom.operators import sinks
+    from docloom.schemas import TRIPLE
+    from docloom.sources import files
+
+    monkeypatch.setattr(sinks, "RDF_BLOCK", 3)
+    graphs = syntax in ("nq", "trig", "trix")
+    rows = [(f"{EX}s{i % 4}", EX + "p", f"v{i} <&>", XSD + "string", None, f"{EX}g{i % 2}" if graphs else rdf.DEFAULT_GRAPH) for i in range(20)]
+    df = spark.createDataFrame(rows, TRIPLE).coalesce(1)
+    assert sinks.write_rdf(df if graphs else df.withColumn("graph", df["graph"].substr(1, 0)), str(tmp_path / "o"), {"write.files.rdf.format": syntax, "write.files.compression": squeezed}) == 20
+    back = files.read(spark, str(tmp_path / "o"), {"read.files.type": "rdf"} | ({"read.files.compression": "gzip"} if squeezed else {}))
+    shown = {(r["subject"], r["object"], r["graph"] if graphs else None) for r in back.collect()}
+    assert shown == {(r[0], r[2], r[5] if graphs else None) for r in rows}
