@@ -25,6 +25,7 @@ from ..functions.uris import file_name
 from ..options import OptionError, Options
 from ..schemas import DOCUMENT
 from ..shared import kept
+from . import containers
 from .patches import CHUNK_NS, existing_chunks, in_place
 
 log = logging.getLogger(__name__)
@@ -34,9 +35,15 @@ log = logging.getLogger(__name__)
 
 
 def extract(content: bytes | None, name: str) -> tuple[str, dict[str, str]] | None:
-    """(text, metadata) of HTML, XML, JSON or text; None for no bytes or bytes that are no text."""
+    """(text, metadata) of HTML, XML, JSON, text, office files and mail; None for no bytes, bytes that are no text, and office files that are broken or beyond the bounds."""
     if not content:
         return None
+    try:
+        if found := containers.extract(content, name, html_text):
+            return _lines(found[0]), found[1] | {"content-length": str(len(content))}
+    except ValueError as problem:
+        log.warning("no text: %s", problem)
+        return None
     try:
         text = content.decode()
     except UnicodeDecodeError:
@@ -48,8 +55,7 @@ def extract(content: bytes | None, name: str) -> tuple[str, dict[str, str]] | No
             found["dc:title"] = html.unescape(title[1].strip())
         for m in re.finditer(r"""(?i)<meta\s+name=["']([^"']+)["']\s+content=["']([^"']*)["']""", text):
             found[m[1]] = html.unescape(m[2])
-        text = re.sub(r"(?is)<(script|style|head)\b.*?</\1>|<!--.*?-->", " ", text)
-        text = html.unescape(re.sub(r"(?s)<[^>]+>", " ", re.sub(r"(?i)<(br|/p|/div|/li|/h\d)[^>]*>", "\n", text)))
+        text = html_text(text)
         found["content-type"] = "text/html"
     elif kind == "xml" or text.lstrip().startswith("<?xml"):
         text, found["content-type"] = " ".join(t.strip() for t in ET.fromstring(text).itertext() if t.strip()), "application/xml"
@@ -68,7 +74,16 @@ def extract(content: bytes | None, name: str) -> tuple[str, dict[str, str]] | No
         text, found["content-type"] = " ".join(values), "application/json"
     else:
         found["content-type"] = "text/plain"
-    return "\n".join(line for line in (re.sub(r"[ \t]+", " ", x).strip() for x in text.splitlines()) if line), found
+    return _lines(text), found
+
+
+def html_text(text: str) -> str:
+    text = re.sub(r"(?is)<(script|style|head)\b.*?</\1>|<!--.*?-->", " ", text)
+    return html.unescape(re.sub(r"(?s)<[^>]+>", " ", re.sub(r"(?i)<(br|/p|/div|/li|/h\d)[^>]*>", "\n", text)))
+
+
+def _lines(text: str) -> str:
+    return "\n".join(line for line in (re.sub(r"[ \t]+", " ", x).strip() for x in text.splitlines()) if line)
 
 
 def with_text(docs: DataFrame) -> DataFrame:
