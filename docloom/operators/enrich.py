@@ -25,7 +25,7 @@ from ..functions.uris import file_name
 from ..options import OptionError, Options
 from ..schemas import DOCUMENT
 from ..shared import kept
-from . import containers
+from . import containers, services
 from .patches import CHUNK_NS, existing_chunks, in_place
 
 log = logging.getLogger(__name__)
@@ -381,7 +381,7 @@ def inlined(docs: DataFrame, options: Options | dict | None = None) -> DataFrame
     def put(content: pd.Series, fmt: pd.Series, chunks: pd.Series) -> pd.Series:
         def one(c, f, x):
             found = json.loads(x or "[]")
-            if not found or c is None:
+            if not found or c is None or f not in ("JSON", "XML"):
                 return c
             if f == "JSON":
                 doc = json.loads(bytes(c).decode())
@@ -405,6 +405,8 @@ def inlined(docs: DataFrame, options: Options | dict | None = None) -> DataFrame
 def pipeline(docs: DataFrame, options: Options | dict | None = None, classifier=None, model=None, service=None) -> DataFrame:
     """Extract, split, classify, embed, assemble, each if the options ask for it; an external service, if given, stands for the first four."""
     options = Options.of(options)
+    if service is None and options.has("write.service.url"):
+        service = services.HttpService.of(options)
     existing = service is None and not options.family("write.splitter.") and bool(options.family("write.embedder."))
     if service is not None:
         docs = served(docs, service, options.number("write.service.timeout", 120, 1))
@@ -422,7 +424,7 @@ def pipeline(docs: DataFrame, options: Options | dict | None = None, classifier=
     if existing:
         base = in_place(docs, chunk_objects(options), options)
     else:
-        base = inlined(docs, options) if most == 0 or not options.family("write.splitter.") else docs
+        base = inlined(docs, options) if most == 0 or not (options.family("write.splitter.") or service is not None) else docs
     if "classification" in base.columns:
         base = with_classification(base)
     if existing:
@@ -512,7 +514,7 @@ def served(docs: DataFrame, service: Service, timeout: int = 120, pause: float =
                 if time.monotonic() > end:
                     return []
                 time.sleep(pause)
-            return [{"text": e.get("text"), "embedding": e.get("embedding"), "classification": None, "modelName": e.get("model"), "metadata": None} for e in events if e.get("embedding") is not None]
+            return [{"text": e.get("text"), "embedding": e.get("embedding"), "classification": None, "modelName": e.get("model"), "metadata": e.get("metadata")} for e in events if e.get("embedding") is not None]
         except Exception:  # noqa: BLE001  a document that the service fails on is written plain
             return []
 
