@@ -15,6 +15,8 @@ BLOCK_QUERIES = 1024
 LEAF_ROWS = 128
 #: Most cells that rows are dealt into by their nearest pivot, so at most 8 bytes x this x dimension are broadcast; shards split the cells.
 CELLS = 1024
+#: Cells that a query meets first; then it meets all others whose bound still reaches its k-th score.
+FIRST = 8
 
 _LEAST = np.iinfo(np.int64).min
 
@@ -173,7 +175,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     rows; other columns are not read.
 
     Rows are dealt into cells by their nearest pivot, cells into shards of about ``SHARD_ROWS`` rows, and a ball tree is built once for each shard. A query meets
-    cells by falling upper bound of their balls, twice as many each round, and only those whose bound reaches the k-th score it has from all shards so far.
+    cells by falling upper bound of their balls: ``FIRST`` of them, then those of the others whose bound reaches the k-th score it has from all shards so far.
     """
     spark = vectors.sparkSession
     v = F.col(vector_col)
@@ -241,7 +243,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     out = spark.createDataFrame([], _FOUND + ", rank int")
     low, most = 0, max([len(c[0]) for c in of_dim.values()], default=0)
     while low < most:
-        high = 2 * low + 1
+        high = FIRST if low == 0 else most
         floors = out.groupBy(F.col("query_id").alias("id"), "key", "dim").agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
         met = asked.join(floors, ["id", "key", "dim"], "left") if low else asked.withColumn("floor", F.lit(None).cast("long"))
         met = met.select("id", "v", "dim", "key", "floor").mapInArrow(meeting(low, high), f"id long, v {vector}, dim int, key long, floor long, cell int")
