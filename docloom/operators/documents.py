@@ -150,11 +150,17 @@ def canonical(text: str, exclude: tuple[str, ...] = ()) -> str:
 
 
 def content_hash(options: Options | dict | None = None) -> Column:
-    """xxhash64 of a document's content; JSON in canonical form unless ``write.incremental.canonicalizeJson`` is false."""
+    """xxhash64 of a document's content; JSON in canonical form unless ``write.incremental.canonicalizeJson`` is false.
+
+    The canonical form is that of Spark's variants, whose objects are sorted by key; only where values are excluded does Python take them out first. What is no JSON is taken as it stands.
+    """
     options = Options.of(options)
     exclude = tuple(options.lines("write.incremental.jsonExclusions"))
     if not options.flag("write.incremental.canonicalizeJson", True) and not exclude:
         return F.xxhash64("content")
+    if not exclude:
+        sorted_ = F.encode(F.to_json(F.try_parse_json(F.decode("content", "UTF-8"))), "UTF-8")
+        return F.xxhash64(F.when(F.col("format") == "JSON", F.coalesce(sorted_, F.col("content"))).otherwise(F.col("content")))
 
     @F.pandas_udf("binary")
     def run(content: pd.Series, fmt: pd.Series) -> pd.Series:

@@ -283,3 +283,13 @@ def test_nested_rows_become_json_and_xml(spark):
     assert content(documents.of_rows(df, {"write.uriTemplate": "/{/data/color}/{id}"})) == {"/blue/1": '{"id":1,"data":{"color":"blue","numbers":[1,2]}}'}
     xml = content(documents.of_rows(df, {"write.uriTemplate": "/{id}", "write.xmlRootName": "row"}))["/1"]
     assert "<color>blue</color>" in xml and xml.count("<numbers>") == 2
+
+
+def test_hashes_of_json_are_of_its_values(spark):
+    """Order and white space make no difference, values do; nothing of it runs in Python unless values are excluded."""
+    texts = ['{"b":[1,{"y":null,"x":"é"}],"a":1.5}', ' {"a" : 1.5,\n"b":[1, {"x":"\\u00e9","y":null}]} ', '{"a":1.5,"b":[{"x":"é","y":null},1]}', "{broken", '{"a":1,"a":2}', "", '"text"']
+    rows = [(str(i), t.encode(), "JSON") for i, t in enumerate(texts)] + [("t", texts[0].encode(), "TEXT"), ("n", None, "JSON")]
+    df = spark.createDataFrame(rows, "URI string, content binary, format string").withColumn("h", documents.content_hash())
+    got = {r["URI"]: r["h"] for r in df.collect()}
+    assert got["0"] == got["1"] and len({got[k] for k in ("1", "2", "3", "4", "5", "6", "t")}) == 7
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString() and "Arrow" not in df._jdf.queryExecution().executedPlan().toString()
