@@ -515,7 +515,10 @@ def split_regex(spark, sf_dir):
     return d.select("doc_id", F.posexplode(lines).alias("pos", "piece"))
 
 
-@query()
+@query(r"""WITH d AS (SELECT doc_id, regexp_split_to_array(text, '\s+') AS w FROM documents WHERE text IS NOT NULL),
+e AS (SELECT doc_id, list_filter(w, lambda x: trim(x, ' ') <> '') AS w, greatest(2000, list_max(list_transform(w, lambda x: length(x)))) AS size FROM d),
+p AS (SELECT doc_id, list_reduce(list_transform(w, lambda x: [length(x)]), lambda a, x: CASE WHEN a[-1] + 1 + x[1] <= size THEN list_concat(a[:-2], [a[-1] + 1 + x[1]]) ELSE list_concat(a, x) END) AS p FROM e WHERE len(w) > 0)
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, CAST(chars AS INTEGER) AS chars FROM (SELECT doc_id, unnest(p) AS chars, unnest(range(len(p))) AS pos FROM p)""")
 def split_regex_packed(spark, sf_dir):
     """Every document's words packed into pieces of at most 2000 characters, or of one longer word."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
