@@ -590,7 +590,12 @@ def rowid_buckets(spark, sf_dir):
     rows = [(p, b, Decimal(x.lower), Decimal(x.upper)) for p, part in enumerate(plan) for b, x in enumerate(part.buckets)]
     return spark.createDataFrame(rows, "part int, bucket int, lower decimal(20,0), upper decimal(20,0)")
 
-@query()
+_BARE = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<head\b.*?</head>', ' ', 'g'), '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'),
+'(?i)<(br|/p|/div|/li|/h[0-9])[^>]*>', chr(10), 'g')"""
+_SHOWN = rf"""replace(replace(replace(replace(replace(replace(replace(regexp_replace({_BARE}, '(?s)<[^>]+>', ' ', 'g'), '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', chr(160)), '&amp;', '&')"""
+
+
+@query(rf"""SELECT page_id, CAST(length(array_to_string(list_filter(list_transform(string_split({_SHOWN}, chr(10)), lambda x: trim(regexp_replace(x, '[ \t]+', ' ', 'g'))), lambda x: x <> ''), chr(10))) AS INTEGER) AS chars, 'text/html' AS kind FROM pages""")
 def html_text(spark, sf_dir):
     """The text of every page."""
     p = table(spark, sf_dir, "pages").select(F.concat(F.col("url"), F.lit(".html")).alias("URI"), F.encode("html", "UTF-8").alias("content"), "page_id")
