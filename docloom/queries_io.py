@@ -247,3 +247,18 @@ def enrich_chunks(spark, sf_dir):
     first = F.col("chunks")[0]
     same = F.forall("chunks", lambda c: F.decode(c["classification"], _TEXT).cast("int") == F.length(c["text"]))
     return made.select(F.col("URI").cast("long").alias("doc_id"), F.size(first["embedding"]).alias("dim"), same.alias("labelled"))
+
+
+@query(r"""SELECT doc_id, CAST(len(s) AS BIGINT) AS chunks, CAST(list_sum(list_transform(s, lambda x: length(x))) AS BIGINT) AS chars, true AS kept FROM (
+SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\S')) AS s FROM documents) WHERE len(s) > 0""")
+def embed_in_place(spark, sf_dir):
+    """Every document as JSON whose chunks are its lines; the vectors go into those chunks, and are read back from them."""
+    d = table(spark, sf_dir, "documents")
+    lines = F.transform(F.split("text", "\n", -1), lambda x: F.struct(x.alias("text")))
+    body = F.to_json(F.struct(F.col("doc_id").alias("id"), F.struct(lines.alias("parts")).alias("body"), F.lit("end").alias("last")))
+    docs = documents.blank(d.select(F.concat(F.lit("/e/"), F.col("doc_id").cast("string"), F.lit(".json")).alias("URI"), F.encode(body, _TEXT).alias("content"), F.lit("JSON").alias("format")))
+    made = enrich.pipeline(docs, {"write.embedder.chunks.jsonPointer": "/body/parts", "write.embedder.batchSize": "256"}, model=lambda texts: [[float(len(t)), 1.0] for t in texts])
+    back = F.from_json(F.decode("content", _TEXT), "id long, body struct<parts:array<struct<text:string,_vector:array<float>>>>, last string")
+    found = made.select(back.alias("r")).select("r.id", "r.last", F.filter("r.body.parts", lambda c: c["_vector"].isNotNull()).alias("c")).filter(F.size("c") > 0)
+    chars = F.aggregate("c", F.lit(0).cast("long"), lambda a, c: a + c["_vector"][0].cast("long"))
+    return found.select(F.col("id").alias("doc_id"), F.size("c").cast("long").alias("chunks"), chars.alias("chars"), (F.col("last") == "end").alias("kept"))
