@@ -48,6 +48,40 @@ def json_keys(values: Column) -> Column:
     return F.transform_keys(values, lambda k, _: F.replace(k, F.lit(":"), F.lit("-")))
 
 
+#: The namespaces that prefixes of metadata keys stand for in XML.
+PREFIXES = {
+    "dc": "http://purl.org/dc/elements/1.1/",
+    "dcterms": "http://purl.org/dc/terms/",
+    "exif": "http://ns.adobe.com/exif/1.0/",
+    "pdf": "http://ns.adobe.com/pdf/1.3/",
+    "tiff": "http://ns.adobe.com/tiff/1.0/",
+    "xhtml": "http://www.w3.org/1999/xhtml",
+    "xmp": "http://ns.adobe.com/xap/1.0/",
+}
+
+
+def xml_text(text: Column) -> Column:
+    """Text for an XML element or attribute; characters that XML can't hold are left out."""
+    text = F.regexp_replace(text, r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]", "")
+    for raw, made in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        text = F.replace(text, F.lit(raw), F.lit(made))
+    return text
+
+
+def xml_elements(values: Column) -> Column:
+    """Metadata as XML elements, by column functions: a known prefix of a key gives its namespace, other colons and what no name may hold become dashes."""
+
+    def one(entry: Column) -> Column:
+        key, prefix = entry["key"], F.substring_index(entry["key"], ":", 1)
+        space = F.when(key.contains(":"), F.try_element_at(F.create_map(*[F.lit(x) for pair in PREFIXES.items() for x in pair]), prefix))
+        name = F.when(space.isNotNull(), F.substring(key, F.length(prefix) + 2, F.length(key))).otherwise(key)
+        name = F.regexp_replace(F.regexp_replace(name, r"[^\p{L}\p{N}._-]", "-"), r"^(?=[^\p{L}_])|^$", "_")
+        opened = F.concat(F.lit("<"), name, F.coalesce(F.concat(F.lit(' xmlns="'), space, F.lit('"')), F.lit("")), F.lit(">"))
+        return F.concat(opened, F.coalesce(xml_text(entry["value"]), F.lit("")), F.lit("</"), name, F.lit(">"))
+
+    return F.array_join(F.transform(F.map_entries(values), one), "")
+
+
 def to_xml(row: dict) -> str:
     """The five metadata columns as one XML document."""
     root = ET.Element(f"{{{NS}}}metadata")

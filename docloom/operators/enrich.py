@@ -108,7 +108,8 @@ def extracted(docs: DataFrame, options: Options | dict | None = None) -> DataFra
     if kind == "json":
         body = F.to_json(F.struct(F.col("URI").alias("source-uri"), F.col("extracted_text").alias("content"), meta.json_keys(F.col("extracted_metadata")).alias("extracted-metadata")))
     else:
-        body = F.to_xml(F.struct(F.col("URI").alias("source-uri"), F.col("extracted_text").alias("content"), F.transform(F.map_entries("extracted_metadata"), lambda e: F.struct(e["key"].alias("name"), e["value"].alias("value"))).alias("extracted-metadata")), {"rowTag": "root"})
+        told = {"source-uri": meta.xml_text(F.col("URI")), "content": meta.xml_text(F.col("extracted_text")), "extracted-metadata": F.coalesce(meta.xml_elements(F.col("extracted_metadata")), F.lit(""))}
+        body = F.concat(F.lit("<root>"), *[x for name, value in told.items() for x in (F.lit(f"<{name}>"), value, F.lit(f"</{name}>"))], F.lit("</root>"))
     own = options.listed("write.extractedText.collections")
     made = {
         "URI": uri,

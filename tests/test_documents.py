@@ -1,4 +1,5 @@
 import json
+import xml.etree.ElementTree as ET
 import zipfile
 
 import pytest
@@ -293,3 +294,19 @@ def test_hashes_of_json_are_of_its_values(spark):
     got = {r["URI"]: r["h"] for r in df.collect()}
     assert got["0"] == got["1"] and len({got[k] for k in ("1", "2", "3", "4", "5", "6", "t")}) == 7
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString() and "Arrow" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_extracted_metadata_as_xml(spark):
+    """Known prefixes become namespaces; names and values are fit for XML whatever they hold."""
+    from docloom.functions import metadata
+
+    values = {"dc:title": "A & <b>", "xmp:a:b": "x", "odd:name": "y", "plain": 'q"\x01', "1 st?": "z", "pdf:": "none", "n": None}
+    df = spark.createDataFrame([(values,)], "m map<string,string>").select(metadata.xml_elements(F.col("m")).alias("x"))
+    found = {e.tag: e.text for e in ET.fromstring(f"<r>{df.first()['x']}</r>")}
+    assert found == {"{http://purl.org/dc/elements/1.1/}title": "A & <b>", "{http://ns.adobe.com/xap/1.0/}a-b": "x", "odd-name": "y", "plain": 'q"', "_1-st-": "z", "{http://ns.adobe.com/pdf/1.3/}_": "none", "n": None}
+    page = b"<html><head><title>T &amp; t</title><meta name='dcterms:x' content='v'></head><body>Hello &lt;x&gt;</body></html>"
+    docs = documents.blank(spark.createDataFrame([("/p&.html", page)], "URI string, content binary"))
+    made = enrich.extracted(docs, {"write.extractedText.documentType": "xml", "write.extractedText.dropSource": "true"}).first()
+    root = ET.fromstring(bytes(made["content"]).decode())
+    assert made["URI"] == "/p&.html-extracted-text.xml" and root.findtext("source-uri") == "/p&.html" and root.findtext("content") == "Hello <x>"
+    assert root.find("extracted-metadata/{http://purl.org/dc/elements/1.1/}title").text == "T & t" and root.find("extracted-metadata/{http://purl.org/dc/terms/}x").text == "v"
