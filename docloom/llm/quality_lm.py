@@ -387,6 +387,7 @@ def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) ->
                 held, size = [], 0
         if held:
             yield from _block(held, second, of)
+        spared()
 
     passed = docs.select("doc_id", "lang", "text").mapInArrow(first, "block long, shard int, n long, payload binary")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -409,6 +410,8 @@ def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) ->
                 raw = shard.values(windows).astype("<f4").view(np.uint8).reshape(-1, 4)
                 value = pa.RecordBatch.from_arrays([pa.array(raw[:, i].copy()) for i in range(4)], names=["b0", "b1", "b2", "b3"])  # byte by byte packs better
                 yield pa.RecordBatch.from_arrays([pa.array([row["block"]], pa.int64()), pa.array([row["shard"]], pa.int32()), pa.array([_packed(value)], pa.binary())], names=["block", "shard", "payload"])
+        del shard
+        spared()
 
     met = halls.unionByName(guests).repartition("shard", "copy").sortWithinPartitions("shard", "copy", F.col("block").isNotNull())
     found = met.mapInArrow(look_up, "block long, shard int, payload binary").repartition(buckets, "block")
@@ -426,6 +429,8 @@ def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) ->
                 logp = summed(words_, lambda code, ends, known=known: known.get(window_keys(code)[ends - ORDER + 1]))
                 rest = [texts.column(c) for c in ("doc_id", "lang", "chars")]
                 yield pa.RecordBatch.from_arrays([*rest, pa.array(logp), *[texts.column(c) for c in ("words", "beat", "text_hash")]], names=["doc_id", "lang", "chars", "logp", "words", "beat", "text_hash"])
+                del texts, words_, value, known, logp, rest
+        spared()
 
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in carried], "chars long", "logp double", "words long", "beat double", "text_hash long"])
     try:
@@ -435,6 +440,11 @@ def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) ->
         spark.sql(f"DROP TABLE {name}")
 
 
+def spared() -> None:
+    """Gives memory that a task no longer needs back, as its Python worker waits for the next one."""
+    pa.default_memory_pool().release_unused()
+
+
 def _floats(payload: bytes) -> np.ndarray:
     return np.stack([c.to_numpy() for c in _unpacked(payload).columns], axis=1).reshape(-1).view("<f4")
 
