@@ -172,8 +172,12 @@ def _row_batch(fp: np.ndarray, grid: int, cell: np.ndarray, visitor: bool) -> pa
     return pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(np.full(n, grid, np.int32)), pa.array(cell.view(np.int64)), pa.array(np.full(n, visitor))], names=["fp", "grid", "cell", "visitor"])
 
 
-def _compared(cells: DataFrame, distance: int) -> DataFrame:
-    """The links (a, b) within ``distance`` of residents with each other and with visitors, of the rows (fp, grid, cell, visitor)."""
+def _compared(cells: DataFrame, distance: int, across: bool = False) -> DataFrame:
+    """The links (a, b) within ``distance`` of residents with each other and with visitors, of the rows (fp, grid, cell, visitor): of each cell a spanning forest.
+
+    ``across``: every link instead, between the ids of rows (..., id, class) of different classes.
+    """
+    more = ("id", "class") if across else ()
     sizes = cells.groupBy("grid", "cell").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK)
     hot = written(sizes.select("grid", "cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "hot-cells")
     many = hot.count()
@@ -183,18 +187,25 @@ def _compared(cells: DataFrame, distance: int) -> DataFrame:
         keyed = cells.withColumn("blocks", F.lit(1))
     # A cell of one block is one task (0, 0). Of a larger one, the residents of blocks p <= q meet in (p, q) and those of p meet the visitors of q in (p, blocks + q).
     # place: of residents 0 or 1 for the left and right side; visitors are a right side that is not compared with itself either
-    p, others = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"), F.sequence(F.lit(0), F.col("blocks") - 1)
+    p, others = F.pmod(F.xxhash64("fp", *more), F.col("blocks")).cast("int"), F.sequence(F.lit(0), F.col("blocks") - 1)
     alone = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.col("visitor").alias("right")))
     among = F.transform(others, lambda q: F.struct(F.least(p, q).alias("i"), F.greatest(p, q).alias("j"), (p > q).alias("right")))
     toward = F.transform(others, lambda q: F.struct(p.alias("i"), (F.col("blocks") + q).alias("j"), F.lit(False).alias("right")))
     coming = F.transform(others, lambda q: F.struct(q.alias("i"), (F.col("blocks") + p).alias("j"), F.lit(True).alias("right")))
     tasks = F.when(F.col("blocks") == 1, alone).when(F.col("visitor"), coming).otherwise(F.concat(among, toward))
-    dealt = keyed.select("fp", "grid", "cell", F.explode(tasks).alias("t")).select("fp", "grid", "cell", "t.i", "t.j", "t.right")
+    dealt = keyed.select("fp", "grid", "cell", *more, F.explode(tasks).alias("t")).select("fp", "grid", "cell", "t.i", "t.j", "t.right", *more)
+
+    def compared(rows: dict) -> Iterator[np.ndarray]:
+        among = bool(rows["i"][0] == rows["j"][0])
+        if across:
+            yield from _across(rows, among, distance)
+        elif len(found := _forest(rows["fp"], rows["right"], among, distance)):
+            yield found
 
     def run(batches):
         kept: dict | None = None
         for batch in batches:
-            now = {n: batch.column(k).to_numpy(zero_copy_only=False) for k, n in enumerate(("fp", "grid", "cell", "i", "j", "right"))}
+            now = {n: batch.column(k).to_numpy(zero_copy_only=False) for k, n in enumerate(("fp", "grid", "cell", "i", "j", "right", *more))}
             if kept is not None:
                 now = {n: np.concatenate([kept[n], now[n]]) for n in now}
             size = len(now["fp"])
@@ -202,18 +213,36 @@ def _compared(cells: DataFrame, distance: int) -> DataFrame:
             for n in ("grid", "cell", "i", "j"):
                 change[1:] |= now[n][1:] != now[n][:-1]
             cuts = [0, *np.flatnonzero(change).tolist()]
-            out = [_forest(now["fp"][a:b], now["right"][a:b], bool(now["i"][a] == now["j"][a]), distance) for a, b in zip(cuts, cuts[1:], strict=False) if b - a > 1]
+            out, held = [], 0
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                for found in compared({n: c[a:b] for n, c in now.items()}) if b - a > 1 else ():
+                    out.append(found)
+                    held += len(found)
+                    if held > 1 << 18:
+                        yield _edges(np.concatenate(out))
+                        out, held = [], 0
             kept = {n: c[cuts[-1] :] for n, c in now.items()}
-            if out := [x for x in out if len(x)]:
+            if out:
                 yield _edges(np.concatenate(out))
         if kept is not None and len(kept["fp"]) > 1:
-            found = _forest(kept["fp"], kept["right"], bool(kept["i"][0] == kept["j"][0]), distance)
-            if len(found):
+            for found in compared(kept):
                 yield _edges(found)
 
     return dealt.repartition("grid", "cell", "i", "j").sortWithinPartitions("grid", "cell", "i", "j").mapInArrow(run, "a long, b long")
 
 
+def _across(rows: dict, among: bool, distance: int) -> Iterator[np.ndarray]:
+    """All links of left rows with right ones, and with each other if ``among``, between rows of different classes."""
+    bits, ids, of = rows["fp"].view(np.uint64), rows["id"], rows["class"]
+    left, other = np.flatnonzero(~rows["right"]), np.flatnonzero(rows["right"])
+    for right in ([None] if among else []) + ([other] if len(left) and len(other) else []):
+        for i, j in _links(bits[left], None if right is None else bits[right], distance):
+            i, j = left[i], (left if right is None else right)[j]
+            apart = of[i] != of[j]
+            if apart.any():
+                yield np.stack([ids[i[apart]], ids[j[apart]]], axis=1)
+
+
 def _edges(pairs: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
 
@@ -269,17 +298,18 @@ def tables(count: int) -> tuple[int, int]:
 
 
 def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(prints, edges): (doc_id, text_hash, fp) of each row of (doc_id, text), and links of fingerprints whose texts share ``SIMILARITY`` of their five-word shingles.
+    """(prints, edges): (doc_id, text_hash, fp) of each row of (doc_id, text), fp being the hash of the text's words in order, and links of those whose texts share ``SIMILARITY`` of their five-word shingles.
 
     At this similarity fingerprints differ by about ten of 64 bits, a distance at which no grid over 64 bits tells texts apart. So a text has many more SimHash bits
-    here; rows that share a key, a run of them, meet in a cell, are compared there by popcounts and bits of the first 64, and links are verified by exact
-    shingles. Texts of one 64-bit fingerprint are one node, verified by the text with the least hash.
+    here; texts that share a key, a run of them, meet in a cell, are compared there by popcounts and bits of the first 64, and links are verified by exact
+    shingles: first those of a forest of each cell's candidates, then all candidates that the verified ones leave in different components (see ``_apart``).
+    Texts of the same words are one node; every other text is a node of its own.
     """
     width_bits, keys = tables(docs.count())
     each = BITS // width_bits
     extra = -(-keys // each)
     far = 22  # bits of 64 by which copies at the similarity differ with odds below 1 in 10,000: the mean is 9.7, the deviation 2.9
-    schema = "doc_id long, text_hash long, fp long, words binary"
+    schema = "doc_id long, text_hash long, bits long, words binary, fp long"
 
     def run(batches):
         for batch in batches:
@@ -287,23 +317,65 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             for a, b in slices(texts):
                 found = np.stack([fingerprint(t, WIDTH, extra=extra) for t in texts[a:b]])
                 rest = pa.array([w.tobytes() for w in found[:, 1:]], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(found[:, 0].copy().view(np.int64)), rest], names=["doc_id", "text_hash", "fp", "words"])
+                same = np.array([words_hash(t) for t in texts[a:b]], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(found[:, 0].copy().view(np.int64)), rest, pa.array(same)], names=["doc_id", "text_hash", "bits", "words", "fp"])
 
     every = written(docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, schema), "wide-fingerprints")
     prints = every.select("doc_id", "text_hash", "fp")
-    nodes = written(every.groupBy("fp").agg(F.min("text_hash").alias("text_hash"), F.min("words").alias("words")), "wide-nodes")
+    nodes = written(every.groupBy("fp").agg(F.min("text_hash").alias("text_hash"), F.first("bits").alias("bits"), F.min("words").alias("words")), "wide-nodes")
 
     def cells(batches):
         low = np.uint64((1 << width_bits) - 1)
         for batch in (b.slice(at, 2048) for b in batches for at in range(0, len(b), 2048)):
             fp = batch.column(0).to_numpy().view(np.uint64)
             words = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u8").reshape(len(fp), extra)
+            more = [batch.column(k) for k in range(2, batch.num_columns)]
+            names = ["fp", "grid", "cell", "visitor", "id", "class"][: 4 + len(more)]
             for k in range(keys):
-                yield _row_batch(fp, k, (words[:, k // each] >> np.uint64(width_bits * (k % each))) & low, False)
+                made = _row_batch(fp, k, (words[:, k // each] >> np.uint64(width_bits * (k % each))) & low, False)
+                yield pa.RecordBatch.from_arrays([*made.columns, *more], names=names)
+            if more:  # texts of one fingerprint are candidates too, which a forest of fingerprints doesn't tell
+                yield pa.RecordBatch.from_arrays([*_row_batch(fp, -1, fp, False).columns, *more], names=names)
+
+    near = _compared(nodes.select("bits", "words").mapInArrow(cells, "fp long, grid int, cell long, visitor boolean"), far)
+    near = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+    # a fingerprint's links are first tried by the text with the least hash of its words, which is also tried with the others
+    first = written(nodes.groupBy("bits").agg(F.min("fp").alias("first"), F.count("*").alias("n")), "first-texts")
+    of = lambda c: first.select(F.col("bits").alias(c), F.col("first").alias(f"{c}_first"))
+    stars = nodes.join(first.filter("n > 1"), "bits").filter("fp <> first").select(F.col("first").alias("a"), F.col("fp").alias("b"))
+    tried = written(near.join(of("a"), "a").join(of("b"), "b").select(F.col("a_first").alias("a"), F.col("b_first").alias("b")).unionByName(stars), "near")
+    edges = written(verified(docs, nodes.select("fp", "text_hash"), tried), "verified")
+    apart = _apart(nodes, tried, edges)
+    if apart is None:
+        return prints, edges
+    rest = _compared(apart.select("bits", "words", "fp", "class").mapInArrow(cells, "fp long, grid int, cell long, visitor boolean, id long, class long"), far, across=True)
+    rest = written(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near")
+    return prints, edges.unionByName(verified(docs, nodes.select("fp", "text_hash"), rest))
+
+
+def words_hash(text: str | None) -> int:
+    """XXH64 of a text's words (A-Z lower-cased), joined by spaces."""
+    h = xxhash.xxh64(seed=7)
+    for words in parts_of(text or ""):
+        h.update(b"".join(w + b" " for w in words))
+    return h.intdigest()
+
+
+def _apart(nodes: DataFrame, tried: DataFrame, edges: DataFrame) -> DataFrame | None:
+    """The nodes, with the class of the links (a, b) of ``edges``, that ``tried`` links join and ``edges`` leave in different classes; None if there are none.
+
+    ``tried`` spans all candidates, so any other candidate of two classes lies between two of these nodes.
+    """
+    classes = written(connected(edges), "classes")
+
+    def classed(df: DataFrame, c: str) -> DataFrame:
+        return df.join(classes.select(F.col("node").alias(c), F.col("root").alias(f"{c}_class")), c, "left").withColumn(f"{c}_class", F.coalesce(f"{c}_class", c))
 
-    near = _compared(nodes.select("fp", "words").mapInArrow(cells, "fp long, grid int, cell long, visitor boolean"), far)
-    near = written(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near")
-    return prints, verified(docs, nodes.select("fp", "text_hash"), near)
+    between = classed(classed(tried, "a"), "b").filter("a_class <> b_class").select("a_class", "b_class")
+    open_ = written(between.select(F.explode(F.array("a_class", "b_class")).alias("class")).distinct(), "open-classes")
+    if open_.isEmpty():
+        return None
+    return classed(nodes, "fp").withColumnRenamed("fp_class", "class").join(open_, "class", "left_semi")
 
 
 def verified(docs: DataFrame, nodes: DataFrame, near: DataFrame) -> DataFrame:

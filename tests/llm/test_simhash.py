@@ -154,5 +154,23 @@ def test_recall_at_the_similarity(make, words):
     assert pairs > 100 and sum(r[0] in kept for r in rows if r[0] % 2) <= 0.12 * pairs and all(r[0] in kept for r in rows if r[0] % 2 == 0)
 
 
+def test_pages_of_one_template_hide_no_copies(make, words):
+    base = words(400, 77)
+    pages = [changed(base, 9, 100 + k) for k in range(60)]  # of a similarity about 0.65 to each other
+    copies = [changed(t, 2, 900 + k) for k, t in enumerate(pages)]
+    assert all(jaccard(a, b) > 0.9 for a, b in zip(pages, copies, strict=True)) and max(jaccard(pages[0], p) for p in pages[1:]) < s.SIMILARITY
+    kept = {r["doc_id"] for r in s.deduplicated(make(list(enumerate(pages + copies)))).collect()}
+    assert kept == set(range(60))
+
+
+def test_texts_of_one_fingerprint_are_each_verified(make, words, monkeypatch):
+    real = s.fingerprint
+    monkeypatch.setattr(s, "fingerprint", lambda t, width=4, seed=42, extra=0: np.concatenate([np.zeros(1, np.uint64), real(t, width, seed, extra)[1:]]))
+    texts = [words(100, 40 + k) for k in range(12)]
+    rows = list(enumerate(texts + [changed(t, 2, k) for k, t in enumerate(texts)] + [t.replace(" ", "  ") for t in texts]))
+    edges = s.similar(make(rows).select("doc_id", "text"))[1]
+    assert edges.count() == 12 and sorted(r[0] for r in s.deduplicated(make(rows)).select("doc_id").collect()) == list(range(12))
+
+
 def test_empty_table(make):
     assert s.grouped(make([])).collect() == [] and s.deduplicated(make([])).collect() == []
