@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import uris
 from ..plans import search
+from ..shared import bounded
 
 #: Postings are dealt by word into so many folders; a search for words reads theirs alone.
 TERM_BUCKETS = 32
+#: Places of words that a task hands on at once.
+PLACES = 1 << 18
 #: The words of the whole document stand under this name, those of a property or element under its own.
 WHOLE = ""
 #: The columns of the files, and of the folders they are in.
@@ -36,23 +43,48 @@ def fields(text: Column, uri: Column, kind: Column) -> Column:
 
 
 def of(documents: DataFrame) -> DataFrame:
-    """(within, term, URI, position) of each word of document rows; words and their places are those that ``search.has_words`` compares."""
+    """(within, term, URI, positions) of each word of each document row; words and their places are those that ``search.has_words`` compares.
+
+    A document's words are put together in the task that reads it, so no row a word's place is shuffled."""
     text = F.decode(F.coalesce("content", F.lit(b"")), "UTF-8")
+    bounded(documents.sparkSession)
     each = documents.select("URI", F.explode(fields(text, F.col("URI"), F.col("format"))).alias("f"))
-    words = F.regexp_extract_all(F.lower("f.text"), F.lit(f"{search._IN}+"), F.lit(0))
-    return each.select(F.col("f.within").alias("within"), "URI", F.posexplode(words).alias("position", "term"))
+    words = F.trim(F.regexp_replace(F.lower("f.text"), f"{search._OUT}++", " "))
+    return each.select("f.within", "URI", words.alias("words")).filter("words <> ''").mapInArrow(_listed, "within string, term string, URI string, positions array<int>")
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The places of each word of (within, URI, words by spaces), a batch for some texts at a time."""
+    for batch in batches:
+        owner, terms, sizes, places = [], [], [], []
+        for i, text in enumerate(batch.column(2).to_pylist()):
+            found: dict[str, list[int]] = {}
+            for at, word in enumerate(text.split(" ")):
+                if word in found:
+                    found[word].append(at)
+                else:
+                    found[word] = [at]
+            owner.append(np.full(len(found), i))
+            terms += found
+            sizes += map(len, found.values())
+            places += chain.from_iterable(found.values())
+            if len(places) >= PLACES or i + 1 == len(batch):
+                at = pa.array(np.concatenate(owner))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(places, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(terms, pa.string()), batch.column(1).take(at), lists], names=["within", "term", "URI", "positions"])
+                owner, terms, sizes, places = [], [], [], []
 
 
 def write(documents: DataFrame, postings: str, lexicon: str) -> None:
     """Writes the postings and the lexicon of a commit's document rows.
 
     A word's postings are dealt by URI too, so a word that every document has is not one task's work; within a file they are sorted by word, which lets a
-    reader pass over most of it. One shuffle of the words, whose partitions also group them.
+    reader pass over most of it. One shuffle, of a row a word of a document.
     """
     spark = documents.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
     dealt = of(documents).withColumns({"bucket": term_bucket(F.col("term")), "part": F.pmod(F.xxhash64("URI"), F.lit(parts))})
-    listed = dealt.repartition(TERM_BUCKETS * 4, "bucket", "part").groupBy("bucket", "part", "within", "term", "URI").agg(F.sort_array(F.collect_list("position")).alias("positions")).drop("part")
+    listed = dealt.repartition(TERM_BUCKETS * 4, "bucket", "part").drop("part")
     listed.sortWithinPartitions("bucket", "within", "term", "URI").write.partitionBy("bucket").parquet(postings)
     words = spark.read.schema(POSTINGS).parquet(postings).groupBy("bucket", "within", "term").agg(F.count("*").alias("documents"), F.sum(F.size("positions")).cast("long").alias("occurrences"))
     words.repartitionByRange("within", "term").sortWithinPartitions("within", "term").write.parquet(lexicon)
