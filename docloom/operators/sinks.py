@@ -11,9 +11,9 @@ import uuid
 import xml.dom.minidom
 import zipfile
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager, nullcontext
+from contextlib import contextmanager
 from datetime import datetime, timezone
-from itertools import chain, islice
+from itertools import islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,14 +22,19 @@ from ..functions import metadata, uris
 from ..functions.pointers import pretty_json
 from ..options import OptionError, Options
 from ..schemas import DOCUMENT, METADATA
-from ..sources.rdf import serialized
+from ..shared import bounded
+from ..sources.rdf import BLANK, serialized
 from . import triples
 
 log = logging.getLogger(__name__)
 #: Entries of one zip from which a warning is logged.
 WARN_ENTRIES = 500_000
-#: Triples that an RDF file is written by at a time.
-RDF_BLOCK = 5000
+#: Bytes and entries after which a partition goes on in another zip, as one file is one task's work when it is read.
+ZIP_BYTES, ZIP_ENTRIES = 32 << 20, 65_535
+#: Triples that an RDF file is written by at a time, and bytes (unpacked) after which a partition goes on in another file, unless the file has blank nodes, which are known inside it alone.
+RDF_BLOCK, RDF_BYTES = 5000, 16 << 20
+#: Rows that become Python objects at a time.
+PY_ROWS = 256
 
 
 def pretty(content: bytes, name: str) -> bytes:
@@ -67,28 +72,57 @@ class _Folder:
     @contextmanager
     def opened(self, name: str):
         """A file to write to piece by piece, which takes its place when it is closed and is dropped if the work fails."""
-        target = os.path.normpath(os.path.join(self.path, name.lstrip("/")))
-        if not target.startswith(os.path.normpath(self.path) + os.sep):
-            raise OptionError(f"{name} leaves the folder that is written to")
-        os.makedirs(os.path.dirname(target), exist_ok=True)
-        draft = f"{target}.{uuid.uuid4().hex}.part"
+        with self.together() as begin:
+            yield begin(name)
+
+    @contextmanager
+    def together(self):
+        """A function that begins a file, which ends the one before. All take their places when the work is done, and all are dropped if it fails."""
+        made: list[tuple[str, str]] = []
+        now = None
+
+        def begin(name: str):
+            nonlocal now
+            if now:
+                now.close()
+            target = os.path.normpath(os.path.join(self.path, name.lstrip("/")))
+            if not target.startswith(os.path.normpath(self.path) + os.sep):
+                raise OptionError(f"{name} leaves the folder that is written to")
+            os.makedirs(os.path.dirname(target), exist_ok=True)
+            made.append((f"{target}.{uuid.uuid4().hex}.part", target))
+            now = open(made[-1][0], "wb")
+            return now
+
         try:
-            with open(draft, "wb") as f:
-                yield f
-            os.replace(draft, target)
+            yield begin
+            if now:
+                now.close()
+            for draft, target in made:
+                os.replace(draft, target)
         finally:
-            if os.path.exists(draft):
-                os.remove(draft)
+            if now:
+                now.close()
+            for draft, _ in made:
+                if os.path.exists(draft):
+                    os.remove(draft)
+
+
+def _numbered(job: str, number: int, end: str) -> str:
+    """The name of a partition's first file, or of a further one."""
+    from pyspark import TaskContext
+
+    return f"{job}-{TaskContext.get().partitionId()}{f'.{number}' if number else ''}{end}"
 
 
 def _by_partition(rows: DataFrame, work: Callable[[Iterator[dict]], tuple[int, int]]) -> tuple[int, int]:
     """Sums of the two numbers that ``work`` gives for the rows of each partition; rows come in Arrow batches, as dicts."""
+    bounded(rows.sparkSession)
 
     def run(batches):
         import pyarrow as pa
 
         def each():
-            for batch in batches:
+            for batch in (b.slice(at, PY_ROWS) for b in batches for at in range(0, len(b), PY_ROWS)):
                 maps = [f.name for f in batch.schema if pa.types.is_map(f.type)]
                 for r in batch.to_pylist():
                     yield r | {m: None if r[m] is None else dict(r[m]) for m in maps}
@@ -101,7 +135,7 @@ def _by_partition(rows: DataFrame, work: Callable[[Iterator[dict]], tuple[int, i
 
 
 def write_files(docs: DataFrame, path: str, options: Options | dict | None = None) -> int:
-    """Writes document rows: a file each at the path of its URI, gzip files, or one zip a partition. Returns the number of documents.
+    """Writes document rows: a file each at the path of its URI, gzip files, or zips, one a partition and more of a partition beyond ``ZIP_BYTES``. Returns the number of documents.
 
     In a zip a document's metadata entry comes before it if any metadata column is set; rows without content are metadata alone.
     """
@@ -122,8 +156,6 @@ def write_files(docs: DataFrame, path: str, options: Options | dict | None = Non
     job = _job()  # the same for a task that runs again, whose file then takes the place of the first
 
     def write(found: Iterator[dict]) -> tuple[int, int]:
-        from pyspark import TaskContext
-
         n = 0
         if squeezed != "zip":
             for r in found:
@@ -132,18 +164,25 @@ def write_files(docs: DataFrame, path: str, options: Options | dict | None = Non
                     folder.put(r["__path"] + (".gz" if squeezed else ""), gzip.compress(content, mtime=0) if squeezed else content)
                     n += 1
             return n, 0
-        first = next(found, None)
-        if first is None:
-            return 0, 0
-        with folder.opened(f"{job}-{TaskContext.get().partitionId()}.zip") as f, zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as z:
-            for r in chain((first,), found):
-                if any(r[m] is not None for m in METADATA):
-                    z.writestr(r["__entry"], metadata.to_xml(r))
-                if r["content"] is not None:
-                    z.writestr(r["URI"], shown(r))
-                n += 1
-                if n == warn:
-                    log.warning("a zip has %d entries or more; more partitions make smaller ones", n)
+        with folder.together() as begin:
+            number, z = 0, None
+            try:
+                for r in found:
+                    if z is None or f.tell() >= ZIP_BYTES or len(z.filelist) + 2 > ZIP_ENTRIES:
+                        if z:
+                            z.close()
+                        f, held = begin(_numbered(job, number, ".zip")), 0
+                        z, number = zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED), number + 1
+                    if any(r[m] is not None for m in METADATA):
+                        z.writestr(r["__entry"], metadata.to_xml(r))
+                    if r["content"] is not None:
+                        z.writestr(r["URI"], shown(r))
+                    n, held = n + 1, held + 1
+                    if held == warn:
+                        log.warning("a zip has %d entries or more; more partitions make smaller ones", held)
+            finally:
+                if z:
+                    z.close()
         return n, 0
 
     return _by_partition(rows, write)[0]
@@ -158,7 +197,7 @@ def rdf_parts(content: bytes, syntax: str) -> tuple[bytes, bytes, bytes]:
 
 
 def write_rdf(rows: DataFrame, path: str, options: Options | dict | None = None) -> int:
-    """Writes triples, one file a partition that has any; ``write.files.rdf.format`` is ttl, nt, nq, trig or trix."""
+    """Writes triples, one file a partition that has any, or more beyond ``RDF_BYTES``; ``write.files.rdf.format`` is ttl, nt, nq, trig or trix."""
     options = Options.of(options)
     syntax = (options.text("write.files.rdf.format") or "ttl").lower()
     graph = options.text("write.files.rdf.graph")
@@ -172,19 +211,25 @@ def write_rdf(rows: DataFrame, path: str, options: Options | dict | None = None)
     job = _job()
 
     def write(found: Iterator[dict]) -> tuple[int, int]:
-        from pyspark import TaskContext
-
-        first = next(found, None)
-        if first is None:
-            return 0, 0
-        n, found = 0, chain((first,), found)
-        with folder.opened(f"{job}-{TaskContext.get().partitionId()}.{syntax}" + (".gz" if squeezed else "")) as f, gzip.GzipFile("", "wb", fileobj=f, mtime=0) if squeezed else nullcontext(f) as out:
-            end = b""
+        n = number = size = 0
+        end, out = b"", None
+
+        def ended() -> None:
+            if out is not None:
+                out.write(end)
+                if squeezed:
+                    out.close()
+
+        with folder.together() as begin:
             while block := list(islice(found, RDF_BLOCK)):
+                if out is None or size >= RDF_BYTES and not blank:
+                    ended()
+                    f = begin(_numbered(job, number, f".{syntax}" + (".gz" if squeezed else "")))
+                    out, number, size, blank = gzip.GzipFile("", "wb", fileobj=f, mtime=0) if squeezed else f, number + 1, 0, False
                 head, body, end = rdf_parts(serialized(block, syntax, graph), syntax)
-                out.write(body if n else head + body)
-                n += len(block)
-            out.write(end)
+                out.write(body if size else head + body)
+                n, size, blank = n + len(block), size + len(body), blank or any(str(r[c]).startswith(BLANK) for r in block for c in ("subject", "object", "graph"))
+            ended()
         return n, 0
 
     return _by_partition(rows, write)[0]
@@ -199,7 +244,7 @@ def ntriples(rows: DataFrame) -> DataFrame:
             text = F.replace(text, F.lit(raw), F.lit(made))
         return F.concat(F.lit('"'), text, F.lit('"'))
 
-    from ..sources.rdf import BLANK, XSD_STRING
+    from ..sources.rdf import XSD_STRING
 
     def node(c: str) -> F.Column:
         return F.when(F.col(c).startswith(BLANK), F.concat(F.lit("_:"), F.substring(c, len(BLANK) + 1, 1 << 30))).otherwise(F.concat(F.lit("<"), F.col(c), F.lit(">")))

@@ -19,6 +19,18 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+#: Rows and bytes of an Arrow batch, where the session has Spark's defaults: a worker holds a batch several times over, and a stage has a worker for each function and core.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": (str(64 << 20), str(4 << 20))}
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches of the size in ``BATCH`` unless it has a setting of its own."""
+    for name, (default, least) in BATCH.items():
+        if spark.conf.get(name, default).removesuffix("b") == default:
+            spark.conf.set(name, least)
+    return spark
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once and read again, for plans that are used more than once and cost much, or call what must be called once. The files go with the application."""
     spark = df.sparkSession

@@ -12,10 +12,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..options import OptionError, Options
 from ..schemas import DOCUMENT, TRIPLE
+from ..shared import bounded
 from . import rdf, readers
 
 #: Rows of one Arrow batch that a reader hands on, and the bytes of content it holds at most before it does.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 #: Spark's own file options, which are passed on.
 PASSED = ("pathGlobFilter", "recursiveFileLookup", "modifiedBefore", "modifiedAfter")
 TYPES = ("rdf", "archive", "bulk_archive", "json_lines", "aggregate_xml")
@@ -148,6 +149,7 @@ def json_lines(spark: SparkSession, paths: str | list[str], options: Options) ->
 
 def expanded(files: DataFrame, options: Options, schema) -> DataFrame:
     run, tolerant = row_reader(options)
+    bounded(files.sparkSession)
     arrow = to_arrow_schema(schema)
 
     def batches(found):
