@@ -216,7 +216,8 @@ def write(df: DataFrame, store, options: Options | dict | None = None, enrich: C
     if enrich or options.flag("write.incremental"):
         checked = kept(checked, "checked")  # used up to three times below; models and services are called once
     bad = checked.filter("__problem is not null")
-    failed = bad.count()
+    # rows without content or format take those that the store has; where there are none, what is stored isn't read
+    failed, partial = checked.agg(F.count(F.when(F.col("__problem").isNotNull(), 1)), F.count(F.when(F.col("content").isNull() | F.col("format").isNull(), 1))).first()
     if failed and options.flag("write.abortOnFailure", True):
         first = bad.select("URI", "__problem").first()
         raise ValueError(f"Unable to write {first['URI']}: {first['__problem']}")
@@ -233,7 +234,7 @@ def write(df: DataFrame, store, options: Options | dict | None = None, enrich: C
             log.info("skipped %d documents that have not changed", skipped)
     if every := options.number("write.logProgress", 0, 0):
         good = progressing(good, every, "documents written")
-    done = store.write(good, merge_metadata=True)
+    done = store.write(good, merge_metadata=partial > 0)
     return {"success": done["success"], "failed": failed, "skipped": skipped}
 
 
