@@ -272,3 +272,73 @@ def test_text_of_pages_as_in_sql(spark, tmp_path):
         db.execute(f"create view pages as select * from '{path}/*.parquet'")
         want = sorted(db.execute(ORACLE_SQL["html_text"]).fetchall())
     assert sorted(map(tuple, QUERIES["html_text"](spark, str(tmp_path)).collect())) == want
+
+
+def test_long_partitions_become_several_files(spark, tmp_path, monkeypatch):
+    from docloom.operators import sinks
+    from docloom.sources import files, rdf
+
+    monkeypatch.setattr(sinks, "ZIP_BYTES", 1000)
+    monkeypatch.setattr(sinks, "RDF_BYTES", 1000)
+    monkeypatch.setattr(sinks, "RDF_BLOCK", 10)
+    folder = sinks._Folder(str(tmp_path / "x"))
+    try:
+        with folder.together() as begin:
+            begin("a.zip").write(b"1")
+            begin("b.zip").write(b"2")
+            raise ValueError
+    except ValueError:
+        assert list((tmp_path / "x").iterdir()) == []
+    rows = docs(spark, [(f"/{k}.txt", f"text {k} " * 9, "TEXT") for k in range(60)]).coalesce(1)
+    assert sinks.write_files(rows, str(tmp_path / "z"), {"write.files.compression": "zip"}) == 60
+    assert len(list((tmp_path / "z").glob("*.zip"))) > 1
+    assert {r["URI"] for r in files.read(spark, str(tmp_path / "z"), {"read.files.type": "archive"}).collect()} == {f"/{k}.txt" for k in range(60)}
+    for syntax, blank in (("trix", False), ("nq", False), ("trix", True)):
+        node = rdf.BLANK if blank else "http://s/"
+        made = spark.createDataFrame([(f"{node}{k}", "http://p", "o", rdf.XSD + "string", None, f"http://g/{k % 3}") for k in range(90)], "subject string, predicate string, object string, datatype string, lang string, graph string").coalesce(1)
+        path = tmp_path / f"{syntax}{blank}"
+        assert sinks.write_rdf(made, str(path), {"write.files.rdf.format": syntax}) == 90
+        assert (len(list(path.iterdir())) == 1) == blank  # blank nodes are known inside one file alone
+        got = files.read(spark, str(path), {"read.files.type": "rdf"})
+        assert got.count() == 90 and got.select("subject").distinct().count() == 90 and {r[0] for r in got.select("graph").distinct().collect()} == {f"http://g/{k}" for k in range(3)}
+
+
+def test_graph_named_after_its_triples():
+    from docloom.sources import rdf
+
+    t = "<triple><uri>s{0}</uri><uri>p</uri><plainLiteral>o</plainLiteral></triple>"
+    text = f"<TriX><graph>{t.format(1)}<uri>g</uri>{t.format(2)}</graph><graph>{t.format(3)}</graph></TriX>"
+    assert [(r["subject"], r["graph"]) for r in rdf.parse("a.trix", text.encode())] == [("s1", "g"), ("s2", "g"), ("s3", "urn:x-arq:DefaultGraphNode")]
+
+
+def test_batches_of_python_functions_are_bounded(spark):
+    from docloom import shared
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    shared.bounded(spark)
+    assert int(spark.conf.get(name).removesuffix("b")) == 4 << 20
+    sizes = spark.range(0, 400, 1, 1).selectExpr("repeat('x', 100000) AS t").mapInPandas(lambda found: (f.assign(n=len(f))[["n"]].head(1) for f in found), "n long").collect()
+    assert max(r["n"] for r in sizes) < 60
+
+
+def test_whole_documents_are_written_without_reading_the_store(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from docloom.operators import documents
+
+    store = Store(spark, f"file://{tmp_path}/s")
+    seen = []
+    real = store.write
+    store.write = lambda rows, merge_metadata=False, order=None: seen.append(merge_metadata) or real(rows, merge_metadata, order)
+    documents.write(docs(spark, [("/1.txt", "a", "TEXT")]), store)
+    documents.write(docs(spark, [("/2.txt", "b", "TEXT")]), store)
+    documents.write(docs(spark, [("/1.txt", "", "TEXT")]).withColumn("content", F.lit(None).cast("binary")), store)
+    assert seen == [False, False, True] and sorted((r["URI"], bytes(r["content"])) for r in store.read().collect()) == [("/1.txt", b"a"), ("/2.txt", b"b")]
+
+
+def test_postings_are_one_row_a_word_of_a_document(spark):
+    from docloom.operators import postings
+
+    rows = docs(spark, [("/1.txt", "One two, ONE--two one", "TEXT"), ("/2.txt", " _ ", "TEXT")])
+    got = sorted((r["within"], r["term"], r["URI"], r["positions"]) for r in postings.of(rows).collect())
+    assert got == [("", "one", "/1.txt", [0, 2, 4]), ("", "two", "/1.txt", [1, 3])]
