@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -133,6 +134,15 @@ def slices(texts: list[str | None], limit: int = SLICE_BYTES) -> Iterator[tuple[
         yield start, len(texts)
 
 
+def spared() -> None:
+    """Gives memory that a task no longer needs back to the system, as its Python worker lives on: what Arrow keeps, and what the C library does, where it can be asked."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def replaced(batch: pa.RecordBatch, columns: dict[str, pa.Array], schema: pa.Schema) -> pa.RecordBatch:
     """A batch of ``schema``'s columns, from ``columns`` or else from ``batch``."""
     names = batch.schema.names

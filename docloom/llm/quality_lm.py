@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucketed, few_rows, mixed, slices, table, written
+from .common import bucketed, few_rows, mixed, slices, spared, table, written
 
 #: Length of the longest n-grams, in characters.
 ORDER = 5
@@ -385,6 +385,7 @@ def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) ->
             if size >= BLOCK_CHARS:
                 yield from _block(held, second, of)
                 held, size = [], 0
+                spared()
         if held:
             yield from _block(held, second, of)
         spared()
@@ -430,6 +431,7 @@ def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) ->
                 rest = [texts.column(c) for c in ("doc_id", "lang", "chars")]
                 yield pa.RecordBatch.from_arrays([*rest, pa.array(logp), *[texts.column(c) for c in ("words", "beat", "text_hash")]], names=["doc_id", "lang", "chars", "logp", "words", "beat", "text_hash"])
                 del texts, words_, value, known, logp, rest
+                spared()
         spared()
 
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in carried], "chars long", "logp double", "words long", "beat double", "text_hash long"])
@@ -440,11 +442,6 @@ def scored(docs: DataFrame, model: DataFrame, beat: DataFrame | None = None) ->
         spark.sql(f"DROP TABLE {name}")
 
 
-def spared() -> None:
-    """Gives memory that a task no longer needs back, as its Python worker waits for the next one."""
-    pa.default_memory_pool().release_unused()
-
-
 def _floats(payload: bytes) -> np.ndarray:
     return np.stack([c.to_numpy() for c in _unpacked(payload).columns], axis=1).reshape(-1).view("<f4")
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from .common import extended, replaced, slices
+from .common import extended, replaced, slices, spared
 
 SPACE = "▁"
 #: Entries of each half of a worker's memory of chunk encodings, and of its memory of pair checks.
@@ -275,6 +275,8 @@ def tokenized(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
                 same = [c.decode(i) == t.replace(SPACE, " ") for i, t in zip(ids, texts[a:b], strict=True)]
                 columns = {"tokens": pa.array(ids, pa.list_(pa.int32())).cast(arrow.field("tokens").type), "n_tokens": pa.array([len(i) for i in ids], pa.int64()), "round_trip": pa.array(same)}
                 yield replaced(batch.slice(a, b - a), columns, arrow)
+        c.known, c.recent = {}, {}  # other stages run in the same worker
+        spared()
 
     return base.mapInArrow(run, schema)
 
