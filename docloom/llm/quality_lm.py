@@ -152,6 +152,8 @@ def estimate(trusted: DataFrame) -> DataFrame:
     them; each order has three discounts, and what they take off a context goes to the next shorter one. All tables
     are joined by hashed n-gram or context, so each shard of a join holds the n-grams of its keys alone.
     An n-gram's shard_key is its two characters before the last, a context's its last two, so a text's lookups at one place share a shard.
+    Each order's tables are written as they are made and the model is read from them: one plan of all joins would run 9 times the shuffle partitions as tasks
+    of one stage, each of which reports the counters of every join to the driver.
     """
     top = written(_keyed(counts(trusted)), "lm-grams")
     levels: dict[int, DataFrame] = {ORDER: top.withColumnRenamed("n", "c")}
@@ -168,22 +170,28 @@ def estimate(trusted: DataFrame) -> DataFrame:
             total, took = rows.agg(F.sum("c"), F.sum(off)).first()
             total, took, kinds = total or 1, took or 0.0, nr["all"] + 1
             unseen = (took / total if nr["all"] else 1.0) / kinds
-            p = rows.select("k1", ((F.col("c") - off) / total + F.lit(unseen)).alias("p"))
-            out.append(p.select(F.lit(0).alias("kind"), F.lit(1).alias("k"), F.col("k1").alias("key"), F.lit(None).cast("long").alias("shard_key"), F.log("p").alias("value")))
-            spark = trusted.sparkSession
-            out.append(spark.createDataFrame([(1, 0, 0, None, math.log(unseen))], "kind int, k int, key long, shard_key long, value double"))
+            p = rows.select("k1", ((F.col("c") - off) / total + F.lit(unseen)).alias("p"), F.lit(None).cast("long").alias("shard_key"))
+            one = trusted.sparkSession.range(0, 1, 1, 1)
+            out.append(one.select(*_entry(1, 0, F.lit(0).cast("long"), F.lit(None).cast("long"), F.lit(math.log(unseen)))))
         else:
             x, shard = f"x{k - 1}", (F.col("x2") if k > 2 else F.lit(None).cast("long"))
             context = rows.groupBy(x).agg(F.sum("c").alias("total"), (F.sum(off) / F.sum("c")).alias("gamma"), F.first("x2").alias("shard") if k > 2 else F.first(F.lit(None).cast("long")).alias("shard"))
+            context = written(context, f"lm-context{k - 1}")
             p = rows.withColumn("off", off).join(context.select(x, "total", "gamma"), x).join(lower, f"k{k - 1}").withColumn("p", (F.col("c") - F.col("off")) / F.col("total") + F.col("gamma") * F.col("lower"))
-            out.append(p.select(F.lit(0).alias("kind"), F.lit(k).alias("k"), F.col(f"k{k}").alias("key"), shard.alias("shard_key"), F.log("p").alias("value")))
-            out.append(context.select(F.lit(1).alias("kind"), F.lit(k - 1).alias("k"), F.col(x).alias("key"), F.col("shard").alias("shard_key"), F.log("gamma").alias("value")))
-            p = p.select(f"k{k}", "p")
-        lower = written(p.withColumnRenamed("p", "lower"), f"lm-p{k}")
+            p = p.select(f"k{k}", "p", shard.alias("shard_key"))
+            out.append(context.select(*_entry(1, k - 1, F.col(x), F.col("shard"), F.log("gamma"))))
+        p = written(p, f"lm-p{k}")
+        out.append(p.select(*_entry(0, k, F.col(f"k{k}"), F.col("shard_key"), F.log("p"))))
+        lower = p.select(f"k{k}", F.col("p").alias("lower"))
     rows = out[0]
     for more in out[1:]:
         rows = rows.unionByName(more)
-    return written(rows, "lm")
+    return rows
+
+
+def _entry(kind: int, k: int, key: Column, shard_key: Column, value: Column) -> list[Column]:
+    """The columns of a model's rows."""
+    return [F.lit(kind).alias("kind"), F.lit(k).alias("k"), key.alias("key"), shard_key.alias("shard_key"), value.alias("value")]
 
 
 class Table:

@@ -113,6 +113,25 @@ def test_texts_are_not_shuffled(make, words, spark, monkeypatch):
     assert "Bucketed: true" in plan and "ShuffledHashJoin" in plan
 
 
+def test_no_stage_of_a_model_has_many_times_the_shuffle_partitions(make, words, spark):
+    good, _, _, _ = corpus(words)
+    context, conf = spark.sparkContext, {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        context.setJobGroup("lm-stages", "")
+        q.estimate(make(good))
+        tracker = context.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("lm-stages") for s in tracker.getJobInfo(j).stageIds]
+        tasks = [s.numTasks for s in stages if s]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert 16 <= max(tasks) <= 32  # one plan of all joins and sums: 88
+
+
 def test_windows_are_the_texts_last_characters():
     texts = ["", "ab", "abcabcabc", "é😀\0x"]
     want = set()
