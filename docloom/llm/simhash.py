@@ -28,6 +28,10 @@ HOT_CELLS = 200_000
 PART_CHARS = 1 << 20
 #: Word shingles and similarity of near copies, and the odds with which two texts just that similar may be missed.
 WIDTH, SIMILARITY, MISSED = 5, 0.8, 0.05
+#: Bits that a text's distinct shingles are marked in: two texts have at least as many shingles apart as marks apart.
+MARKS = 1024
+#: Pairs whose marks are compared at once.
+PAIRS = 1 << 14
 #: Bytes of keys up to which those of the rows that go are broadcast.
 BROADCAST_BYTES = 64 << 20
 
@@ -62,10 +66,11 @@ def shingle_hashes(text: str | None, width: int, seed: int) -> Iterator[np.ndarr
         yield np.array([digest(b" ".join(before), seed)], np.uint64)
 
 
-def fingerprint(text: str | None, width: int = 4, seed: int = 42, extra: int = 0) -> np.ndarray:
+def fingerprint(text: str | None, width: int = 4, seed: int = 42, extra: int = 0, marks: np.ndarray | None = None) -> np.ndarray:
     """The SimHash of a text's word shingles, repeats counted, as 1 + ``extra`` words of 64 bits; zero for a text without words.
 
-    The first word's hash is that of the shingle; each further word's is a scramble of it.
+    The first word's hash is that of the shingle; each further word's is a scramble of it. marks: ``MARKS`` flags, of which each shingle sets one, and the number of
+    shingles, which is added to.
     """
     ones, n = np.zeros((1 + extra, BITS), np.int64), 0
     for hashes in shingle_hashes(text, width, seed):
@@ -75,6 +80,10 @@ def fingerprint(text: str | None, width: int = 4, seed: int = 42, extra: int = 0
             bits = np.unpackbits(every.astype("<u8").view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little")
             ones += bits.sum(axis=0, dtype=np.int32).reshape(1 + extra, BITS)
             n += len(part)
+            if marks is not None:
+                marks[(part % np.uint64(MARKS)).astype(np.int64)] = 1
+    if marks is not None:
+        marks[MARKS] += n
     return np.packbits(2 * ones > n, axis=1, bitorder="little").reshape(-1).view("<u8")
 
 
@@ -175,9 +184,9 @@ def _row_batch(fp: np.ndarray, grid: int, cell: np.ndarray, visitor: bool) -> pa
 def _compared(cells: DataFrame, distance: int, across: bool = False) -> DataFrame:
     """The links (a, b) within ``distance`` of residents with each other and with visitors, of the rows (fp, grid, cell, visitor): of each cell a spanning forest.
 
-    ``across``: every link instead, between the ids of rows (..., id, class) of different classes.
+    ``across``: every link instead, between the ids of rows (..., id, class, marks, shingles) of different classes, but for those that can't have the similarity.
     """
-    more = ("id", "class") if across else ()
+    more = ("id", "class", "marks", "shingles") if across else ()
     sizes = cells.groupBy("grid", "cell").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK)
     hot = written(sizes.select("grid", "cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "hot-cells")
     many = hot.count()
@@ -233,14 +242,25 @@ def _compared(cells: DataFrame, distance: int, across: bool = False) -> DataFram
 
 def _across(rows: dict, among: bool, distance: int) -> Iterator[np.ndarray]:
     """All links of left rows with right ones, and with each other if ``among``, between rows of different classes."""
-    bits, ids, of = rows["fp"].view(np.uint64), rows["id"], rows["class"]
+    bits, ids, of, size = rows["fp"].view(np.uint64), rows["id"], rows["class"], rows["shingles"]
+    marks = np.frombuffer(b"".join(rows["marks"]), "<u8").reshape(len(bits), MARKS // 64)
     left, other = np.flatnonzero(~rows["right"]), np.flatnonzero(rows["right"])
     for right in ([None] if among else []) + ([other] if len(left) and len(other) else []):
         for i, j in _links(bits[left], None if right is None else bits[right], distance):
             i, j = left[i], (left if right is None else right)[j]
             apart = of[i] != of[j]
-            if apart.any():
-                yield np.stack([ids[i[apart]], ids[j[apart]]], axis=1)
+            i, j = i[apart], j[apart]
+            for a in range(0, len(i), PAIRS):
+                x, y = i[a : a + PAIRS], j[a : a + PAIRS]
+                can = alike(marks[x], marks[y], size[x] + size[y])
+                if can.any():
+                    yield np.stack([ids[x[can]], ids[y[can]]], axis=1)
+
+
+def alike(a: np.ndarray, b: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """Which pairs of texts may have the similarity, by their marks and the shingles of both, repeats counted: a mark that one of them lacks is a shingle that it lacks. None that has it is left out."""
+    apart = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+    return apart * (1 + SIMILARITY) <= shingles * (1 - SIMILARITY) + 1e-6
 
 
 def _edges(pairs: np.ndarray) -> pa.RecordBatch:
@@ -302,27 +322,29 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     At this similarity fingerprints differ by about ten of 64 bits, a distance at which no grid over 64 bits tells texts apart. So a text has many more SimHash bits
     here; texts that share a key, a run of them, meet in a cell, are compared there by popcounts and bits of the first 64, and links are verified by exact
-    shingles: first those of a forest of each cell's candidates, then all candidates that the verified ones leave in different components (see ``_apart``).
+    shingles: first those of a forest of each cell's candidates, then all candidates that the verified ones leave in different components (see ``_apart``) and whose marks allow the similarity (see ``alike``).
     Texts of the same words are one node; every other text is a node of its own.
     """
     width_bits, keys = tables(docs.count())
     each = BITS // width_bits
     extra = -(-keys // each)
     far = 22  # bits of 64 by which copies at the similarity differ with odds below 1 in 10,000: the mean is 9.7, the deviation 2.9
-    schema = "doc_id long, text_hash long, bits long, words binary, fp long"
+    schema = "doc_id long, text_hash long, bits long, words binary, fp long, marks binary, shingles long"
 
     def run(batches):
         for batch in batches:
             texts = batch.column(2).to_pylist()
             for a, b in slices(texts):
-                found = np.stack([fingerprint(t, WIDTH, extra=extra) for t in texts[a:b]])
+                marks = np.zeros((b - a, MARKS + 1), np.int64)
+                found = np.stack([fingerprint(t, WIDTH, extra=extra, marks=m) for t, m in zip(texts[a:b], marks, strict=True)])
+                marked = pa.array([m.tobytes() for m in np.packbits(marks[:, :MARKS].astype(bool), axis=1)], pa.binary())
                 rest = pa.array([w.tobytes() for w in found[:, 1:]], pa.binary())
                 same = np.array([words_hash(t) for t in texts[a:b]], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(found[:, 0].copy().view(np.int64)), rest, pa.array(same)], names=["doc_id", "text_hash", "bits", "words", "fp"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(found[:, 0].copy().view(np.int64)), rest, pa.array(same), marked, pa.array(marks[:, MARKS].copy())], names=["doc_id", "text_hash", "bits", "words", "fp", "marks", "shingles"])
 
     every = written(docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, schema), "wide-fingerprints")
     prints = every.select("doc_id", "text_hash", "fp")
-    nodes = written(every.groupBy("fp").agg(F.min("text_hash").alias("text_hash"), F.first("bits").alias("bits"), F.min("words").alias("words")), "wide-nodes")
+    nodes = written(every.groupBy("fp").agg(F.min("text_hash").alias("text_hash"), F.first("bits").alias("bits"), F.min("words").alias("words"), F.min("marks").alias("marks"), F.min("shingles").alias("shingles")), "wide-nodes")
 
     def cells(batches):
         low = np.uint64((1 << width_bits) - 1)
@@ -330,7 +352,7 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             fp = batch.column(0).to_numpy().view(np.uint64)
             words = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u8").reshape(len(fp), extra)
             more = [batch.column(k) for k in range(2, batch.num_columns)]
-            names = ["fp", "grid", "cell", "visitor", "id", "class"][: 4 + len(more)]
+            names = ["fp", "grid", "cell", "visitor", "id", "class", "marks", "shingles"][: 4 + len(more)]
             for k in range(keys):
                 made = _row_batch(fp, k, (words[:, k // each] >> np.uint64(width_bits * (k % each))) & low, False)
                 yield pa.RecordBatch.from_arrays([*made.columns, *more], names=names)
@@ -348,7 +370,7 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     apart = _apart(nodes, tried, edges)
     if apart is None:
         return prints, edges
-    rest = _compared(apart.select("bits", "words", "fp", "class").mapInArrow(cells, "fp long, grid int, cell long, visitor boolean, id long, class long"), far, across=True)
+    rest = _compared(apart.select("bits", "words", "fp", "class", "marks", "shingles").mapInArrow(cells, "fp long, grid int, cell long, visitor boolean, id long, class long, marks binary, shingles long"), far, across=True)
     rest = written(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near")
     return prints, edges.unionByName(verified(docs, nodes.select("fp", "text_hash"), rest))
 

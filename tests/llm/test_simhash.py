@@ -174,3 +174,28 @@ def test_texts_of_one_fingerprint_are_each_verified(make, words, monkeypatch):
 
 def test_empty_table(make):
     assert s.grouped(make([])).collect() == [] and s.deduplicated(make([])).collect() == []
+
+
+def test_pairs_that_cannot_be_alike_are_no_rows(spark, make, words, monkeypatch):
+    core, sizes = words(150, 1), []
+    plain = s.written
+    monkeypatch.setattr(s, "written", lambda df, name: (lambda out: (name == "near" and sizes.append(out.count())) or out)(plain(df, name)))
+    docs = make([(k, f"{core} {words(70, 100 + k)}") for k in range(40)] + [(50, core), (51, f"{core} {words(20, 9)}")])
+    kept = {r["doc_id"] for r in s.deduplicated(docs).select("doc_id").collect()}
+    assert kept == {*range(40), 50}
+    assert len(sizes) == 2 and sizes[1] < 100  # 780 pairs of those that share the core
+
+
+def test_marks_leave_out_no_pair_that_is_alike():
+    rng = random.Random(3)
+    for n in (1, 5, 40, 400, 5000):
+        for _ in range(30):
+            own = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+            other = [w if rng.random() > 0.03 else "x" for w in own]
+            a, b = np.zeros(s.MARKS + 1, np.int64), np.zeros(s.MARKS + 1, np.int64)
+            x, y = (set(np.concatenate(list(s.shingle_hashes(" ".join(t), 5, 42))).tolist()) for t in (own, other))
+            s.fingerprint(" ".join(own), 5, marks=a)
+            s.fingerprint(" ".join(other), 5, marks=b)
+            p, q = (np.packbits(m[: s.MARKS].astype(bool)).view("<u8")[None, :] for m in (a, b))
+            if len(x & y) >= s.SIMILARITY * len(x | y):
+                assert s.alike(p, q, np.array([a[-1] + b[-1]])).all()
