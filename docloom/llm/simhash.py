@@ -66,11 +66,10 @@ def shingle_hashes(text: str | None, width: int, seed: int) -> Iterator[np.ndarr
         yield np.array([digest(b" ".join(before), seed)], np.uint64)
 
 
-def fingerprint(text: str | None, width: int = 4, seed: int = 42, extra: int = 0, marks: np.ndarray | None = None) -> np.ndarray:
+def fingerprint(text: str | None, width: int = 4, seed: int = 42, extra: int = 0) -> np.ndarray:
     """The SimHash of a text's word shingles, repeats counted, as 1 + ``extra`` words of 64 bits; zero for a text without words.
 
-    The first word's hash is that of the shingle; each further word's is a scramble of it. marks: ``MARKS`` flags, of which each shingle sets one, and the number of
-    shingles, which is added to.
+    The first word's hash is that of the shingle; each further word's is a scramble of it.
     """
     ones, n = np.zeros((1 + extra, BITS), np.int64), 0
     for hashes in shingle_hashes(text, width, seed):
@@ -80,13 +79,18 @@ def fingerprint(text: str | None, width: int = 4, seed: int = 42, extra: int = 0
             bits = np.unpackbits(every.astype("<u8").view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little")
             ones += bits.sum(axis=0, dtype=np.int32).reshape(1 + extra, BITS)
             n += len(part)
-            if marks is not None:
-                marks[(part % np.uint64(MARKS)).astype(np.int64)] = 1
-    if marks is not None:
-        marks[MARKS] += n
     return np.packbits(2 * ones > n, axis=1, bitorder="little").reshape(-1).view("<u8")
 
 
+def marked(text: str | None) -> tuple[bytes, int]:
+    """``MARKS`` bits, of which each shingle of ``WIDTH`` words sets one, and the number of shingles, repeats counted."""
+    flags, n = np.zeros(MARKS, bool), 0
+    for hashes in shingle_hashes(text, WIDTH, 42):
+        flags[(hashes % np.uint64(MARKS)).astype(np.int64)] = True
+        n += len(hashes)
+    return np.packbits(flags).tobytes(), n
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
     """(doc_id, text_hash, fp): each row's fingerprint as a signed long, and the hash of its text; null and empty texts have fingerprint 0."""
 
@@ -335,12 +339,11 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         for batch in batches:
             texts = batch.column(2).to_pylist()
             for a, b in slices(texts):
-                marks = np.zeros((b - a, MARKS + 1), np.int64)
-                found = np.stack([fingerprint(t, WIDTH, extra=extra, marks=m) for t, m in zip(texts[a:b], marks, strict=True)])
-                marked = pa.array([m.tobytes() for m in np.packbits(marks[:, :MARKS].astype(bool), axis=1)], pa.binary())
+                found = np.stack([fingerprint(t, WIDTH, extra=extra) for t in texts[a:b]])
+                marks = [marked(t) for t in texts[a:b]]
                 rest = pa.array([w.tobytes() for w in found[:, 1:]], pa.binary())
                 same = np.array([words_hash(t) for t in texts[a:b]], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(found[:, 0].copy().view(np.int64)), rest, pa.array(same), marked, pa.array(marks[:, MARKS].copy())], names=["doc_id", "text_hash", "bits", "words", "fp", "marks", "shingles"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(found[:, 0].copy().view(np.int64)), rest, pa.array(same), pa.array([m for m, _ in marks], pa.binary()), pa.array([n for _, n in marks], pa.int64())], names=["doc_id", "text_hash", "bits", "words", "fp", "marks", "shingles"])
 
     every = written(docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, schema), "wide-fingerprints")
     prints = every.select("doc_id", "text_hash", "fp")

@@ -192,10 +192,8 @@ def test_marks_leave_out_no_pair_that_is_alike():
         for _ in range(30):
             own = [f"w{rng.randrange(10**6)}" for _ in range(n)]
             other = [w if rng.random() > 0.03 else "x" for w in own]
-            a, b = np.zeros(s.MARKS + 1, np.int64), np.zeros(s.MARKS + 1, np.int64)
             x, y = (set(np.concatenate(list(s.shingle_hashes(" ".join(t), 5, 42))).tolist()) for t in (own, other))
-            s.fingerprint(" ".join(own), 5, marks=a)
-            s.fingerprint(" ".join(other), 5, marks=b)
-            p, q = (np.packbits(m[: s.MARKS].astype(bool)).view("<u8")[None, :] for m in (a, b))
+            (a, m), (b, k) = s.marked(" ".join(own)), s.marked(" ".join(other))
+            p, q = (np.frombuffer(raw, "<u8")[None, :] for raw in (a, b))
             if len(x & y) >= s.SIMILARITY * len(x | y):
-                assert s.alike(p, q, np.array([a[-1] + b[-1]])).all()
+                assert s.alike(p, q, np.array([m + k])).all()
